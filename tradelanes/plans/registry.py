@@ -9,7 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from tradelanes.functions.scalar import safe_ratio
+from tradelanes.operators.anomaly import seasonal_baseline
+from tradelanes.operators.enrich import enrich_lanes, unmatched_keys, zone_key
+from tradelanes.operators.measures import distinct_counts, rollup_measures, share_of_total
+from tradelanes.operators.periods import latest, with_growth, with_previous
+from tradelanes.operators.ranking import composite_score, percent_ranks, percent_ranks_distributed, rank_within, top_ranked
 from tradelanes.plans import analogue, gold
 from tradelanes.plans.inputs import Inputs
 
@@ -54,3 +61,181 @@ def q_lane_scorecard(i: Inputs) -> DataFrame:
 def q_disruption(i: Inputs) -> DataFrame:
     """Seasonal z-scores, anomaly flag and severity."""
     return gold.disruption_indicators(i.indicators, season="hour_of_day")
+
+
+# ------------------------------------------------------------------ joins
+
+def _lane_totals(i: Inputs) -> DataFrame:
+    return rollup_measures(i.shipments, gold.LANE_KEYS + ["year"],
+                           {"total_tons": "tons", "total_value": "value", "total_tmiles": "tmiles"})
+
+
+@register("enrich_lanes")
+def q_enrich_lanes(i: Inputs) -> DataFrame:
+    """Lane totals with role-playing region, commodity and mode attributes."""
+    out = enrich_lanes(_lane_totals(i), i.regions, i.commodities, i.modes)
+    return out.select(*[c for c in gold.LANE_FLOW_COLUMNS if c not in ("prev_year_tons", "yoy_growth_pct")])
+
+
+@register("unmatched_keys")
+def q_unmatched_keys(i: Inputs) -> DataFrame:
+    """Zones of the fact without a region row, per role, with their row counts."""
+    key = zone_key("region_code")
+    o = unmatched_keys(i.shipments, "origin_zone", i.regions, key, "zone").withColumn("role", F.lit("origin"))
+    d = unmatched_keys(i.shipments, "destination_zone", i.regions, key, "zone").withColumn("role", F.lit("destination"))
+    return o.unionByName(d).select("role", "zone", "fact_rows")
+
+
+@register("share_of_total")
+def q_share_of_total(i: Inputs) -> DataFrame:
+    """Mode tonnage per corridor and year with the corridor total and share."""
+    m = rollup_measures(i.shipments, ["origin_zone", "destination_zone", "mode_code", "year"], {"mode_tons": "tons"})
+    return share_of_total(m, ["origin_zone", "destination_zone", "year"], "mode_tons", "corridor_total_tons",
+                          "mode_share_pct").withColumn("corridor_total_tons",
+                                                       F.col("corridor_total_tons").cast("decimal(38,2)"))
+
+
+# ------------------------------------------------------------------ aggregates (A1-A5)
+
+@register("sum_measures")
+def q_sum_measures(i: Inputs) -> DataFrame:
+    """A1: three measures summed per lane and year."""
+    return _lane_totals(i)
+
+
+@register("lane_diversity")
+def q_lane_diversity(i: Inputs) -> DataFrame:
+    """A2: distinct modes and commodities per corridor and year (pre-aggregated form)."""
+    return distinct_counts(i.shipments, ["origin_zone", "destination_zone", "year"],
+                           {"mode_count": "mode_code", "commodity_count": "commodity_code"})
+
+
+@register("lane_summary")
+def q_lane_summary(i: Inputs) -> DataFrame:
+    """A1-A3: corridor summary: sums, distinct counts, average growth."""
+    return gold.corridor_summary(i.flows())
+
+
+@register("value_per_ton")
+def q_value_per_ton(i: Inputs) -> DataFrame:
+    """A5: value per ton per origin zone and commodity, zero-guarded."""
+    g = rollup_measures(i.shipments, ["origin_zone", "commodity_code"], {"total_tons": "tons", "total_value": "value"})
+    return g.withColumn("value_per_ton", safe_ratio("total_value", "total_tons", 4))
+
+
+# ------------------------------------------------------------------ periods and windows
+
+@register("latest_period")
+def q_latest_period(i: Inputs) -> DataFrame:
+    """P5: corridor summary rows of the newest year."""
+    return latest(gold.corridor_summary(i.flows()), "year", mode="subquery")
+
+
+@register("previous_period")
+def q_previous_period(i: Inputs) -> DataFrame:
+    """Previous row's tonnage per lane (may span a gap) and the strict year-1 variant."""
+    t = with_previous(_lane_totals(i), "total_tons", gold.LANE_KEYS, "year", "prev_year_tons")
+    t = with_previous(t, "total_tons", gold.LANE_KEYS, "year", "prev_year_tons_strict", strict_period=True)
+    return t.drop("total_value", "total_tmiles")
+
+
+@register("growth_pct")
+def q_growth_pct(i: Inputs) -> DataFrame:
+    """Uncapped growth percent per lane and year."""
+    return with_growth(_lane_totals(i), "total_tons", gold.LANE_KEYS, capped=False).drop("total_value", "total_tmiles")
+
+
+@register("capped_growth_pct")
+def q_capped_growth(i: Inputs) -> DataFrame:
+    """Growth capped to [-100, 1000], a missing base floors at -100."""
+    return with_growth(_lane_totals(i), "total_tons", gold.LANE_KEYS, capped=True,
+                       missing_base="floor").drop("total_value", "total_tmiles")
+
+
+@register("capped_growth_pct_null")
+def q_capped_growth_null(i: Inputs) -> DataFrame:
+    """Growth capped to [-100, 1000], a missing base stays NULL."""
+    return with_growth(_lane_totals(i), "total_tons", gold.LANE_KEYS, capped=True,
+                       missing_base="null").drop("total_value", "total_tmiles")
+
+
+def _corridor_years(i: Inputs) -> DataFrame:
+    return rollup_measures(i.shipments, ["origin_zone", "destination_zone", "year"],
+                           {"corridor_tons": "tons", "corridor_value": "value"})
+
+
+@register("rank_within_year")
+def q_rank_within_year(i: Inputs) -> DataFrame:
+    """Rank of each corridor's tonnage within its year (descending)."""
+    return rank_within(_corridor_years(i), "year", "corridor_tons", "tonnage_rank")
+
+
+PR_COLUMNS = {"volume_pct_rank": "total_tons", "value_pct_rank": "total_value",
+              "growth_pct_rank": "avg_yoy_growth_pct", "diversity_pct_rank": "mode_count"}
+
+
+def _summary_all_years(i: Inputs) -> DataFrame:
+    # Growth with NULL for a missing base, so the average can be NULL (sorted last).
+    return gold.corridor_summary(i.flows(missing_base="null")).drop("total_tmiles", "commodity_count")
+
+
+@register("percent_ranks")
+def q_percent_ranks(i: Inputs) -> DataFrame:
+    """Percent ranks of four measures over all corridor-years (window form)."""
+    return percent_ranks(_summary_all_years(i), PR_COLUMNS)
+
+
+@register("percent_ranks_distributed")
+def q_percent_ranks_distributed(i: Inputs) -> DataFrame:
+    """The same percent ranks without a single-partition window."""
+    s = _summary_all_years(i).checkpoint(eager=True)
+    return percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
+
+
+@register("composite_score")
+def q_composite_score(i: Inputs) -> DataFrame:
+    """Weighted composite of the four percent ranks, rounded to 4."""
+    s = _summary_all_years(i).checkpoint(eager=True)
+    r = percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
+    return composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4).select(
+        "origin_zone", "destination_zone", "year", "composite_score")
+
+
+@register("top_ranked")
+def q_top_ranked(i: Inputs) -> DataFrame:
+    """Corridor-years ranked by composite score, rank <= 25, ties kept."""
+    s = _summary_all_years(i).checkpoint(eager=True)
+    r = percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
+    r = composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw")
+    return top_ranked(r, "_raw", gold.SCORECARD_TOP, "corridor_rank", distributed=True).select(
+        "origin_zone", "destination_zone", "year", "composite_score", "corridor_rank")
+
+
+@register("seasonal_baseline")
+def q_seasonal_baseline(i: Inputs) -> DataFrame:
+    """Per-season mean and sample stddev attached to every observation (rounded to 6)."""
+    b = seasonal_baseline(i.indicators, "hour_of_day", {"tsi_freight": "tsi", "truck_vmt": "vmt"})
+    return b.select("obs_date", "hour_of_day", "tsi_freight", "truck_vmt",
+                    *[F.round(c, 6).alias(c) for c in ("tsi_mean", "tsi_stddev", "vmt_mean", "vmt_stddev")])
+
+
+@register("seasonal_zscores")
+def q_seasonal_zscores(i: Inputs) -> DataFrame:
+    """Z-scores of the two metrics against their season, rounded to 2."""
+    d = gold.disruption_indicators(i.indicators, season="hour_of_day")
+    return d.select("obs_date", "hour_of_day", "tsi_zscore", "vmt_zscore")
+
+
+@register("anomaly_flags")
+def q_anomaly_flags(i: Inputs) -> DataFrame:
+    """Anomaly flag and severity per observation."""
+    d = gold.disruption_indicators(i.indicators, season="hour_of_day")
+    return d.select("obs_date", "is_anomaly", "severity")
+
+
+@register("share_decline_flag")
+def q_share_decline_flag(i: Inputs) -> DataFrame:
+    """The decline flag with another category and threshold (HIGH, 3 points)."""
+    m = gold.mode_share(i.flows(), "HIGH", points=3.0)
+    return m.select("origin_zone", "destination_zone", "mode_code", "year", "mode_share_pct",
+                    "prev_year_share_pct", F.col("truck_share_decline_flag").alias("decline_flag"))
