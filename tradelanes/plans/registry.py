@@ -11,13 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.functions.scalar import safe_ratio
+from tradelanes.functions.scalar import safe_ratio, surrogate_key
+from tradelanes.operators.conform import conform, split_quarantine
+from tradelanes.operators.keys import dedupe
+from tradelanes.operators.reshape import pivot_values, unpivot_union
 from tradelanes.operators.anomaly import seasonal_baseline
 from tradelanes.operators.enrich import enrich_lanes, unmatched_keys, zone_key
 from tradelanes.operators.measures import distinct_counts, rollup_measures, share_of_total
 from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import composite_score, percent_ranks, percent_ranks_distributed, rank_within, top_ranked
-from tradelanes.plans import analogue, gold
+from tradelanes.plans import analogue, gold, silver
 from tradelanes.plans.inputs import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,3 +242,96 @@ def q_share_decline_flag(i: Inputs) -> DataFrame:
     m = gold.mode_share(i.flows(), "HIGH", points=3.0)
     return m.select("origin_zone", "destination_zone", "mode_code", "year", "mode_share_pct",
                     "prev_year_share_pct", F.col("truck_share_decline_flag").alias("decline_flag"))
+
+
+# ------------------------------------------------------------------ silver, keys, reshape
+
+@register("silver_shipments")
+def q_silver_shipments(i: Inputs) -> DataFrame:
+    """B1 (P1-P3, K1): typed wide shipments, validity filter, surrogate key."""
+    return i.silver_shipments
+
+
+@register("unpivot_years")
+def q_unpivot_years(i: Inputs) -> DataFrame:
+    """B2 (R1): one row per shipment and year from a single scan."""
+    return silver.silver_shipments_long(i.silver_shipments, analogue.YEARS)
+
+
+@register("unpivot_union_check")
+def q_unpivot_union_check(i: Inputs) -> DataFrame:
+    """The union-of-projections spelling of the same unpivot."""
+    ids = ["shipment_id"] + silver.SHIPMENT_KEY_COLUMNS
+    return unpivot_union(i.silver_shipments, ids, silver.MEASURES, analogue.YEARS)
+
+
+@register("silver_monthly_trade")
+def q_silver_monthly_trade(i: Inputs) -> DataFrame:
+    """Typed monthly trade with surrogate key."""
+    return silver.silver_monthly_trade(i.raw_monthly_trade)
+
+
+@register("silver_indicators")
+def q_silver_indicators(i: Inputs) -> DataFrame:
+    """Typed indicator series parsed from text dates."""
+    return i.indicators
+
+
+@register("cast_quarantine")
+def q_cast_quarantine(i: Inputs) -> DataFrame:
+    """Rows whose text does not convert, with the offending columns."""
+    typed = conform(i.raw_shipments(corrupt=True), silver.shipment_spec(analogue.YEARS), on_error="quarantine")
+    _, bad = split_quarantine(typed)
+    return bad.select("origin_zone", "destination_zone", "mode_code", "commodity_code", "trade_type", "dist_band",
+                      F.concat_ws(",", "_bad_columns").alias("bad_columns"))
+
+
+@register("surrogate_key")
+def q_surrogate_key(i: Inputs) -> DataFrame:
+    """K1: md5 surrogate key over order columns (with NULLs and '-' in values), plain and length-prefixed."""
+    o = i.table("orders")
+    cols = [F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus"),
+            F.nullif(F.col("o_orderstatus"), F.lit("F"))]
+    return o.select("o_orderkey", surrogate_key(cols).alias("order_key"),
+                    surrogate_key(cols, length_prefixed=True).alias("order_key_lp"))
+
+
+@register("dedupe_keys")
+def q_dedupe_keys(i: Inputs) -> DataFrame:
+    """K2: one line item per (order, line number), earliest ship date first."""
+    return dedupe(i.table("lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@register("series_wide")
+def q_series_wide(i: Inputs) -> DataFrame:
+    """Tonnage per year with one column per commodity category."""
+    t = gold.commodity_trends(i.flows())
+    cats = sorted({c for _, _, _, c in analogue.COMMODITY_SEED})
+    return pivot_values(t, ["year"], "commodity_category", "total_tons", cats, agg="sum",
+                        names=[c.lower() for c in cats])
+
+
+@register("scalar_catalog")
+def q_scalar_catalog(i: Inputs) -> DataFrame:
+    """Every scalar function of the models on the orders table."""
+    o = i.table("orders")
+    d = F.to_date(F.date_format("o_orderdate", "MM/dd/yyyy"), "MM/dd/yyyy")
+    return o.select(
+        "o_orderkey",
+        F.round(F.col("o_totalprice").cast("decimal(18,2)"), 1).alias("price_r1"),
+        F.nullif(F.col("o_orderstatus"), F.lit("F")).alias("status_or_null"),
+        F.coalesce(F.nullif(F.col("o_orderstatus"), F.lit("F")), F.lit("none")).alias("status_filled"),
+        F.least(F.greatest(F.col("o_totalprice"), F.lit(1000.0)), F.lit(300000.0)).alias("capped_price"),
+        F.abs(F.col("o_totalprice") - F.lit(150000.0)).alias("price_gap"),
+        F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("cust_code"),
+        F.lpad(F.col("o_custkey").cast("string"), 2, "0").alias("cust_code_short"),
+        F.concat(F.col("o_orderstatus"), F.lit(" → "), F.col("o_orderpriority")).alias("label"),
+        d.alias("order_date"),
+        F.year(d).alias("order_year"),
+        F.month(d).alias("order_month"),
+        F.make_date(F.year("o_orderdate"), F.lit(6), F.lit(15)).alias("mid_year"),
+        F.md5("o_orderpriority").alias("priority_md5"),
+        F.sha2(F.col("o_orderpriority"), 256).alias("priority_sha256"),
+        (F.col("o_totalprice") * 2 - 1).alias("arith"),
+        ((F.col("o_totalprice") > 200000) & F.col("o_orderstatus").isNotNull()).alias("is_big"),
+    )
