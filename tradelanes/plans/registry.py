@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import safe_ratio, surrogate_key
 from tradelanes.operators.conform import conform, split_quarantine
+from tradelanes.operators import quality
 from tradelanes.operators.keys import dedupe
 from tradelanes.operators.reshape import pivot_values, unpivot_union
 from tradelanes.operators.anomaly import seasonal_baseline
@@ -335,3 +336,69 @@ def q_scalar_catalog(i: Inputs) -> DataFrame:
         (F.col("o_totalprice") * 2 - 1).alias("arith"),
         ((F.col("o_totalprice") > 200000) & F.col("o_orderstatus").isNotNull()).alias("is_big"),
     )
+
+
+# ------------------------------------------------------------------ quality (Q1-Q7)
+
+FLOW_NOT_NULL = ["origin_zone", "destination_zone", "commodity_code", "year", "total_tons", "origin_name",
+                 "yoy_growth_pct"]
+
+
+def _q_not_null(i: Inputs) -> DataFrame:
+    return quality.not_null(i.flows(), FLOW_NOT_NULL, "lane_flows")
+
+
+def _q_unique(i: Inputs) -> DataFrame:
+    return quality.report([
+        quality.unique(i.table("lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"),
+        quality.unique(i.regions, ["region_code"], "regions"),
+        quality.unique(i.indicators, ["obs_date"], "silver_indicators"),
+    ])
+
+
+def _q_accepted(i: Inputs) -> DataFrame:
+    return quality.report([
+        quality.accepted_values(i.table("lineitem"), "l_returnflag", ["A", "N", "R"], "lineitem"),
+        quality.accepted_values(i.table("orders"), "o_orderstatus", ["F", "O"], "orders"),
+        quality.accepted_values(gold.disruption_indicators(i.indicators, season="hour_of_day"), "severity",
+                                ["NORMAL", "MEDIUM", "HIGH"], "disruption_indicators"),
+    ])
+
+
+def _q_relationships(i: Inputs) -> DataFrame:
+    return quality.report([
+        quality.relationships(i.table("lineitem"), "l_partkey", i.table("part"), "p_partkey", "lineitem", "l_partkey"),
+        quality.relationships(i.table("orders"), "o_custkey", i.table("customer"), "c_custkey", "orders", "o_custkey"),
+        quality.relationships(i.shipments, "origin_zone", i.regions, zone_key("region_code"), "shipments",
+                              "origin_zone"),
+    ])
+
+
+def _q_ranges(i: Inputs) -> DataFrame:
+    return quality.report([
+        quality.ranges(i.table("lineitem"), [("l_quantity", 0, 50), ("l_discount", 0, 0.1), ("l_tax", 0, 0.05)],
+                       "lineitem"),
+        quality.ranges(i.table("events"), [("value", 0, None)], "events"),
+    ])
+
+
+def _q_variance(i: Inputs) -> DataFrame:
+    return quality.report([
+        quality.variance(i.indicators, ["tsi_freight", "truck_vmt", "rail_carloads"], "silver_indicators"),
+        quality.variance(i.table("lineitem"), ["l_tax", "l_discount"], "lineitem"),
+    ])
+
+
+register("quality_not_null")(_q_not_null)
+register("quality_unique")(_q_unique)
+register("quality_accepted_values")(_q_accepted)
+register("quality_relationships")(_q_relationships)
+register("quality_ranges")(_q_ranges)
+register("quality_variance")(_q_variance)
+
+
+@register("quality_report")
+def q_quality_report(i: Inputs) -> DataFrame:
+    """Q7: every rule above in one report (the gate reads it)."""
+    return quality.report([f(i) for f in (_q_not_null, _q_unique, _q_accepted, _q_relationships, _q_ranges,
+                                          _q_variance)])
