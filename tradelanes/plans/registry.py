@@ -17,15 +17,23 @@ from tradelanes.operators import quality
 from tradelanes.operators.keys import dedupe
 from tradelanes.operators.reshape import pivot_values, unpivot_union
 from tradelanes.operators.anomaly import seasonal_baseline
-from tradelanes.operators.enrich import enrich_lanes, unmatched_keys, zone_key
+from tradelanes.operators.enrich import checked_broadcast, enrich_lanes, unmatched_keys, zone_key
 from tradelanes.operators.measures import distinct_counts, rollup_measures, share_of_total
 from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import composite_score, percent_ranks, percent_ranks_distributed, rank_within, top_ranked
 from tradelanes.plans import analogue, gold, silver
 from tradelanes.plans.inputs import Inputs
+from tradelanes.session import scratch_path
+from tradelanes.sources import files, manifest, schemas
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Serving constants of the analogue (the newest full year of
+# shipments, one origin "state" = region name, the cross-zone tonnage floor).
+SERVE_YEAR = 2001
+SERVE_STATE = "AMERICA"
+SERVE_TONNAGE_FLOOR = 300
+
 
 def register(name: str):
     def deco(fn: Callable[[Inputs], DataFrame]):
@@ -402,3 +410,109 @@ def q_quality_report(i: Inputs) -> DataFrame:
     """Q7: every rule above in one report (the gate reads it)."""
     return quality.report([f(i) for f in (_q_not_null, _q_unique, _q_accepted, _q_relationships, _q_ranges,
                                           _q_variance)])
+
+
+# ------------------------------------------------------------------ sources and sinks
+# Each writes to a fresh folder under the shared checkpoint directory and reads back.
+
+@register("csv_roundtrip_scan")
+def q_csv_roundtrip_scan(i: Inputs) -> DataFrame:
+    """Land the monthly trade as CSV next to non-matching members, scan
+    with the declared schema, a name pattern and recursive lookup."""
+    base = scratch_path(i.spark, "landing")
+    i.raw_monthly_trade.write.option("header", True).csv(f"{base}/transborder")
+    i.raw_indicators.write.json(f"{base}/transborder_json")
+    return files.read_landed_csv(i.spark, base, schemas.RAW_TRADE_SCHEMA, glob="*.csv", recursive=True)
+
+
+@register("contract_report")
+def q_contract_report(i: Inputs) -> DataFrame:
+    """S3: required-column contract over every landed file: complete,
+    missing a column, and reordered (order does not matter to the contract)."""
+    base = scratch_path(i.spark, "contract")
+    raw = i.raw_monthly_trade
+    raw.write.option("header", True).csv(f"{base}/trade_full")
+    raw.drop("value").write.option("header", True).csv(f"{base}/trade_missing_value")
+    raw.select(*reversed(raw.columns)).write.option("header", True).csv(f"{base}/trade_reordered")
+    rep = files.contract_report(i.spark, base, schemas.REQUIRED_TRADE_COLUMNS, glob="*.csv")
+    return rep.select(F.regexp_extract("file_path", r"/(trade_[a-z_]+)/", 1).alias("dataset"),
+                      "missing_column").distinct()
+
+
+@register("landed_by_month")
+def q_landed_by_month(i: Inputs) -> DataFrame:
+    """Landing under source=/year=/month= and the row count per folder."""
+    base = scratch_path(i.spark, "bronze")
+    files.land(i.raw_monthly_trade, base, "transborder")
+    back = i.spark.read.option("header", True).csv(base)
+    return back.groupBy("source", "year", "month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _documents(i: Inputs) -> DataFrame:
+    d = i.table("documents")
+    return d.select("doc_id", "source", "lang", manifest.content_hash("text").alias("sha256"),
+                    F.size(F.split("text", "\n")).cast("long").alias("row_count"))
+
+
+@register("changed_items")
+def q_changed_items(i: Inputs) -> DataFrame:
+    """Arriving documents whose content is not yet recorded for their source
+    (recorded: the English documents)."""
+    d = _documents(i)
+    return manifest.changed_items(d.select("doc_id", "source", "sha256"), d.where(F.col("lang") == "en"))
+
+
+@register("ingest_manifest")
+def q_ingest_manifest(i: Inputs) -> DataFrame:
+    """Two ingestion runs appended to the manifest; an item is skipped when
+    its (source, sha256) was recorded before or arrived earlier in the same run."""
+    path = scratch_path(i.spark, "manifest")
+    d = _documents(i).select(
+        "doc_id", "source", "lang", "sha256", "row_count",
+        F.concat(F.lit("landing/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_url"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("filename"),
+        F.concat(F.lit("bronze/source="), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"))
+
+    def run(batch: DataFrame, recorded: DataFrame | None) -> DataFrame:
+        first = batch.groupBy("source", "sha256").agg(F.min("doc_id").alias("_first"))
+        b = batch.join(first, ["source", "sha256"])
+        skipped = F.col("doc_id") != F.col("_first")
+        if recorded is not None:
+            seen = recorded.select("source", "sha256").distinct().withColumn("_seen", F.lit(True))
+            b = b.join(checked_broadcast(seen), ["source", "sha256"], "left")
+            skipped = skipped | F.coalesce(F.col("_seen"), F.lit(False))
+        return manifest.manifest_records(b, skipped)
+
+    manifest.append_manifest(run(d.where(F.col("lang") == "en"), None), path)
+    manifest.append_manifest(run(d.where(F.col("lang") != "en"), manifest.read_manifest(i.spark, path)), path)
+    return manifest.read_manifest(i.spark, path).drop("timestamp")
+
+
+@register("load_row_counts")
+def q_load_row_counts(i: Inputs) -> DataFrame:
+    """Rows loaded per raw table, counted while writing (observation)."""
+    base = scratch_path(i.spark, "raw")
+    counts = [(name, files.write_counted(df, f"{base}/{name}", name)) for name, df in (
+        ("raw_shipments", i.raw_shipments()), ("raw_monthly_trade", i.raw_monthly_trade),
+        ("raw_indicators", i.raw_indicators))]
+    return i.spark.createDataFrame(counts, "table_name string, row_count long")
+
+
+@register("monthly_refresh")
+def q_monthly_refresh(i: Inputs) -> DataFrame:
+    """Full load, then a reload of the newest year with dynamic partition
+    overwrite; every other month survives."""
+    path = scratch_path(i.spark, "silver_trade")
+    t = silver.silver_monthly_trade(i.raw_monthly_trade)
+    files.refresh(t, path, ("year", "month"))
+    files.refresh(latest(t, "year"), path, ("year", "month"))
+    return i.spark.read.parquet(path)
+
+
+@register("gold_layout_read")
+def q_gold_layout_read(i: Inputs) -> DataFrame:
+    """Lane flows written with the read-optimised layout, then read
+    with a year (partition) and state (row-group) filter."""
+    path = scratch_path(i.spark, "gold_flows")
+    files.write_gold_flows(i.flows(), path, partitions=16)
+    return i.spark.read.parquet(path).where((F.col("year") == SERVE_YEAR) & (F.col("origin_state") == SERVE_STATE))
