@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,9 +50,10 @@ def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, value: str,
 
 
 def conditional_pivot(df: DataFrame, keys: Sequence[str], pivot_col: str, value: str,
-                      mapping: Sequence[tuple[str, str]], agg: str = "max") -> DataFrame:
+                      mapping: Sequence[tuple[str, str]], agg: str = "max", extra: Sequence[Column] = ()) -> DataFrame:
     """``agg(case when pivot_col = v then value end) as name`` for each (v, name):
-    the conditional-aggregate spelling of the same pivot."""
+    the conditional-aggregate spelling of the same pivot, in one aggregate
+    together with any ``extra`` aggregate columns."""
     fn = {"max": F.max, "sum": F.sum, "min": F.min}[agg]
     return df.groupBy(*keys).agg(*[fn(F.when(F.col(pivot_col) == F.lit(v), F.col(value))).alias(n)
-                                   for v, n in mapping])
+                                   for v, n in mapping], *extra)

@@ -21,7 +21,7 @@ from tradelanes.operators.enrich import checked_broadcast, enrich_lanes, unmatch
 from tradelanes.operators.measures import distinct_counts, rollup_measures, share_of_total
 from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import composite_score, percent_ranks, percent_ranks_distributed, rank_within, top_ranked
-from tradelanes.plans import analogue, gold, silver
+from tradelanes.plans import analogue, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
 from tradelanes.session import scratch_path
 from tradelanes.sources import files, manifest, schemas
@@ -516,3 +516,49 @@ def q_gold_layout_read(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "gold_flows")
     files.write_gold_flows(i.flows(), path, partitions=16)
     return i.spark.read.parquet(path).where((F.col("year") == SERVE_YEAR) & (F.col("origin_state") == SERVE_STATE))
+
+
+# ------------------------------------------------------------------ serving
+
+@register("serve_category_series")
+def q_serve_category_series(i: Inputs) -> DataFrame:
+    """Tonnage per commodity category and year at mid-year."""
+    return serve.category_series(gold.commodity_trends(i.flows()))
+
+
+@register("serve_scorecard")
+def q_serve_scorecard(i: Inputs) -> DataFrame:
+    """The scorecard table with display scaling."""
+    return serve.scorecard_table(gold.lane_scorecard(i.flows()))
+
+
+@register("serve_mode_share_top")
+def q_serve_mode_share_top(i: Inputs) -> DataFrame:
+    """D3: mode share pivot of the 5 largest cross-zone corridors of the serving year."""
+    ms = gold.mode_share(i.flows(), analogue.DECLINE_MODE_NAME)
+    return serve.mode_share_top(ms, SERVE_YEAR, SERVE_TONNAGE_FLOOR, [m for _, m, _ in analogue.MODE_SEED])
+
+
+@register("serve_state_lanes")
+def q_serve_state_lanes(i: Inputs) -> DataFrame:
+    """Top 15 corridor x category flows from one origin state."""
+    return serve.state_lanes(i.flows(), SERVE_YEAR, SERVE_STATE)
+
+
+@register("serve_indicator_series")
+def q_serve_indicator_series(i: Inputs) -> DataFrame:
+    """Indicator series since a year, rescaled."""
+    return serve.indicator_series(gold.disruption_indicators(i.indicators, season="hour_of_day"), 2024)
+
+
+@register("serve_anomaly_events")
+def q_serve_anomaly_events(i: Inputs) -> DataFrame:
+    """Anomaly event annotations."""
+    return serve.anomaly_events(gold.disruption_indicators(i.indicators, season="hour_of_day"))
+
+
+@register("serve_growth_bands")
+def q_serve_growth_bands(i: Inputs) -> DataFrame:
+    """Growth banded into display classes."""
+    f = i.flows().select(*gold.LANE_KEYS, "year", "yoy_growth_pct")
+    return serve.growth_bands(f)
