@@ -18,9 +18,13 @@ from tradelanes.functions.scalar import col_of
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
+def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    return dim.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
 def zone_key(code: str | Column, width: int = 3, pad: str = "0") -> Column:
@@ -53,21 +57,29 @@ def enrich_lanes(
     commodities: DataFrame,
     modes: DataFrame,
     region_code: str = "region_code",
+    seeds_hinted: bool = False,
 ) -> DataFrame:
     """Attach origin/destination region, commodity and mode attributes.
 
     The region dimension plays two roles (J2); its integer code is padded once
-    on the dimension side to match the text zone of the fact (J1).
+    on the dimension side to match the text zone of the fact (J1).  With
+    ``seeds_hinted`` the commodity and mode seeds are taken as already
+    broadcast-hinted (built from literal lists of known size).
     """
     key = zone_key(region_code)
     origin = role_dimension(regions, key, "origin_zone",
                             {"region_name": "origin_name", "state": "origin_state"})
     dest = role_dimension(regions, key, "destination_zone",
                           {"region_name": "destination_name", "state": "destination_state"})
-    out = enrich(lanes, origin, "origin_zone")
-    out = enrich(out, dest, "destination_zone")
-    out = enrich(out, commodities, "commodity_code")
-    return enrich(out, modes, "mode_code")
+    # One size check for both roles of the region dimension.
+    if fits_broadcast(regions):
+        origin, dest = F.broadcast(origin), F.broadcast(dest)
+    out = enrich(lanes, origin, "origin_zone", broadcast=None)
+    out = enrich(out, dest, "destination_zone", broadcast=None)
+    # Seed dimensions built from literal lists carry their broadcast hint already:
+    # their size is known when they are built, so no count is needed.
+    out = enrich(out, commodities, "commodity_code", broadcast=None if seeds_hinted else True)
+    return enrich(out, modes, "mode_code", broadcast=None if seeds_hinted else True)
 
 
 def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: Column | str,

@@ -34,7 +34,7 @@ SHARE_DECLINE_POINTS = 5.0
 
 
 def lane_flows(shipments: DataFrame, regions: DataFrame, commodities: DataFrame, modes: DataFrame,
-               missing_base: str = "floor", strict_period: bool = False) -> DataFrame:
+               missing_base: str = "floor", strict_period: bool = False, seeds_hinted: bool = False) -> DataFrame:
     """G1: tonnage, value and ton-miles per lane and year with capped growth.
 
     Aggregates on the codes first and attaches the dimension attributes to the
@@ -45,7 +45,7 @@ def lane_flows(shipments: DataFrame, regions: DataFrame, commodities: DataFrame,
     """
     totals = rollup_measures(shipments, LANE_KEYS + ["year"],
                              {"total_tons": "tons", "total_value": "value", "total_tmiles": "tmiles"})
-    enriched = enrich_lanes(totals, regions, commodities, modes)
+    enriched = enrich_lanes(totals, regions, commodities, modes, seeds_hinted=seeds_hinted)
     out = with_growth(enriched, "total_tons", LANE_KEYS, "year", "prev_year_tons", "yoy_growth_pct",
                       capped=True, missing_base=missing_base, strict_period=strict_period)
     return out.select(*LANE_FLOW_COLUMNS)

@@ -13,6 +13,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._flows: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         from tradelanes.session import read_table
@@ -35,7 +36,10 @@ class Inputs:
         return analogue.mode_dim(self.spark)
 
     def flows(self, missing_base: str = "floor") -> DataFrame:
-        return gold.lane_flows(self.shipments, self.regions, self.commodities, self.modes, missing_base=missing_base)
+        if missing_base not in self._flows:
+            self._flows[missing_base] = gold.lane_flows(self.shipments, self.regions, self.commodities, self.modes,
+                                                        missing_base=missing_base, seeds_hinted=True)
+        return self._flows[missing_base]
 
     @cached_property
     def raw_indicators(self) -> DataFrame:

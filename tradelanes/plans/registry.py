@@ -85,7 +85,7 @@ def _lane_totals(i: Inputs) -> DataFrame:
 @register("enrich_lanes")
 def q_enrich_lanes(i: Inputs) -> DataFrame:
     """Lane totals with role-playing region, commodity and mode attributes."""
-    out = enrich_lanes(_lane_totals(i), i.regions, i.commodities, i.modes)
+    out = enrich_lanes(_lane_totals(i), i.regions, i.commodities, i.modes, seeds_hinted=True)
     return out.select(*[c for c in gold.LANE_FLOW_COLUMNS if c not in ("prev_year_tons", "yoy_growth_pct")])
 
 
