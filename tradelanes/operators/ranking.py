@@ -14,9 +14,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelanes.operators.enrich import checked_broadcast
-
 DEFAULT_BUCKETS = 64
+# Most ranges the distinct values are cut into, and the target number of
+# distinct values per range (one window task each).
+MAX_BUCKETS = 4096
+VALUES_PER_BUCKET = 1_000_000
+# Largest input a plain global window (one task) may rank; above it the
+# distributed form is used.
+WINDOW_RANK_MAX_ROWS = 1_000_000
 
 
 def rank_within(df: DataFrame, period: str, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
@@ -35,32 +40,66 @@ def percent_ranks(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return out
 
 
-def _percent_rank_table(df: DataFrame, c: str, name: str, buckets: int) -> DataFrame:
+def _bucket_of(v, bounds: Sequence[float], lo: int = 0, hi: int | None = None):
+    """Index of the first bound >= v (``len(bounds)`` when v is above all of
+    them), as a balanced CASE tree: log2(len(bounds)) comparisons per value."""
+    hi = len(bounds) if hi is None else hi
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v <= F.lit(bounds[mid]), _bucket_of(v, bounds, lo, mid)).otherwise(
+        _bucket_of(v, bounds, mid + 1, hi))
+
+
+def _quantiles(counts: DataFrame, ranges: int) -> tuple[int, list[float]]:
+    """Number of distinct values and the ``ranges - 1`` inner approximate
+    quantiles of them, from one aggregate job (a fixed-size result)."""
+    aggs = [F.count(F.lit(1)).alias("ndv")]
+    if ranges > 1:
+        probs = [i / ranges for i in range(1, ranges)]
+        aggs.append(F.percentile_approx(F.col("v").cast("double"), probs, max(10_000, 4 * ranges)).alias("q"))
+    r = counts.where(F.col("v").isNotNull()).agg(*aggs).first()
+    return (r["ndv"] or 0), (list(r["q"] or []) if ranges > 1 else [])
+
+
+def _range_bounds(counts: DataFrame, min_buckets: int, values_per_bucket: int) -> list[float]:
+    """Range bounds over the distinct values, so that each range holds about
+    ``values_per_bucket`` distinct values and there are at least ``min_buckets``.
+
+    The first job asks for ``min_buckets`` ranges and counts the distinct
+    values; only when they need more ranges is a finer grid computed (capped
+    at ``MAX_BUCKETS``).  The bounds are literals in the plan, so a recomputed
+    task sees the same ranges.
+    """
+    ndv, q = _quantiles(counts, min_buckets)
+    want = min(MAX_BUCKETS, -(-ndv // values_per_bucket))
+    if want > min_buckets:
+        ndv, q = _quantiles(counts, want)
+    return sorted(set(q))
+
+
+def _percent_rank_table(df: DataFrame, c: str, name: str, buckets: int,
+                        values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """Exact percent rank per distinct value of ``c``, computed without one big task.
 
     percent_rank = (number of rows strictly before the value) / (n - 1), with
     NULLs sorted last.  Steps, all distributed:
     1. count rows per distinct value (partial aggregate: a hot value is combined map-side);
-    2. cut the distinct values into ranges at approximate quantiles (literals,
-       so recomputation after a lost executor gives the same ranges);
+    2. cut the distinct values into ranges at approximate quantiles, enough
+       ranges that each holds about ``values_per_bucket`` distinct values;
     3. count rows per range (one row per range) and turn that into a running
        offset with a window over the few range rows;
     4. inside each range, a running sum over its distinct values gives the
        number of rows before each value.
     """
     counts = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds_row = counts.where(F.col("v").isNotNull()).agg(
-        F.percentile_approx(F.col("v").cast("double"), probs, 10_000).alias("b")).first()
-    bounds = sorted(set(bounds_row["b"] or []))
-    bucket = F.lit(len(bounds))
-    for i in range(len(bounds) - 1, -1, -1):
-        bucket = F.when(F.col("v").cast("double") <= F.lit(bounds[i]), F.lit(i)).otherwise(bucket)
+    bounds = _range_bounds(counts, buckets, values_per_bucket)
     # NULL sorts after every value: its own last range.
-    bucket = F.when(F.col("v").isNull(), F.lit(len(bounds) + 1)).otherwise(bucket)
+    bucket = F.when(F.col("v").isNull(), F.lit(len(bounds) + 1)).otherwise(
+        _bucket_of(F.col("v").cast("double"), bounds))
     tagged = counts.withColumn("bucket", bucket)
     per_bucket = tagged.groupBy("bucket").agg(F.sum("cnt").alias("bucket_rows"))
-    # One row per range: at most ``buckets + 1`` rows, a bounded single-partition window.
+    # One row per range: at most MAX_BUCKETS + 1 rows, a bounded single-partition window.
     offsets = per_bucket.select(
         "bucket",
         (F.sum("bucket_rows").over(Window.orderBy("bucket")) - F.col("bucket_rows")).alias("offset"),
@@ -74,7 +113,8 @@ def _percent_rank_table(df: DataFrame, c: str, name: str, buckets: int) -> DataF
     return ranked.select(F.col("v"), pr.alias(name))
 
 
-def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str], buckets: int = DEFAULT_BUCKETS,
+                              values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """Same values as ``percent_ranks`` for inputs of any size (W5, large input).
 
     The per-value table is joined back on the value with a null-safe equality;
@@ -83,7 +123,7 @@ def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str], buckets
     """
     out = df
     for name, c in columns.items():
-        table = _percent_rank_table(df, c, name, buckets)
+        table = _percent_rank_table(df, c, name, buckets, values_per_bucket)
         out = out.join(table, out[c].eqNullSafe(table["v"]), "left").drop("v")
     return out
 
@@ -125,3 +165,16 @@ def top_ranked(df: DataFrame, score: str, n: int, name: str = "rank", distribute
         survivors = df.where(F.col(score).isNull() | (F.col(score) >= F.lit(cutoff)))
     ranked = survivors.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
     return ranked.where(F.col(name) <= n)
+
+
+def percent_ranks_checked(df: DataFrame, columns: Mapping[str, str], max_rows: int = WINDOW_RANK_MAX_ROWS,
+                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Percent ranks with the single-task window only behind a size check.
+
+    Counts at most ``max_rows + 1`` rows of ``df`` (pass a checkpointed or
+    written frame so the count does not recompute it); up to ``max_rows`` the
+    plain window is used, above it the distributed form.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return percent_ranks(df, columns)
+    return percent_ranks_distributed(df, columns, buckets)

@@ -12,11 +12,13 @@ from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import (
     composite_score,
     percent_ranks,
+    percent_ranks_checked,
     percent_ranks_distributed,
     rank_within,
     top_ranked,
 )
 from tradelanes.functions.scalar import safe_ratio
+from tradelanes.session import cut_lineage
 
 LANE_KEYS = ["origin_zone", "destination_zone", "commodity_code", "mode_code"]
 CORRIDOR_ATTRS = ["origin_zone", "destination_zone", "origin_name", "destination_name",
@@ -87,8 +89,16 @@ def mode_share(flows: DataFrame, decline_mode: str, points: float = SHARE_DECLIN
                     "mode_share_pct", "prev_year_share_pct", "truck_share_decline_flag")
 
 
-def corridor_summary(flows: DataFrame, pre_aggregate_distinct: bool = True) -> DataFrame:
-    """Per corridor and year: sums, distinct modes and commodities, average growth."""
+def corridor_summary(flows: DataFrame, pre_aggregate_distinct: bool = False) -> DataFrame:
+    """Per corridor and year: sums, distinct modes and commodities, average growth.
+
+    The lane flows hold one row per (corridor, commodity, mode, year), a table
+    bounded by the dimension domains, so the two ``count(distinct)`` run in the
+    same aggregate (Spark's Expand triples those rows) and the flows are
+    computed once.  ``pre_aggregate_distinct=True`` is the form for inputs
+    that are not yet at that grain: a distinct pre-aggregate per column,
+    joined on the keys.
+    """
     keys = CORRIDOR_ATTRS + ["year"]
     sums = flows.groupBy(*keys).agg(
         F.sum("total_tons").cast(SUM_TYPE).alias("total_tons"),
@@ -101,30 +111,39 @@ def corridor_summary(flows: DataFrame, pre_aggregate_distinct: bool = True) -> D
     )
     if not pre_aggregate_distinct:
         return sums
-    # Flows hold one row per (corridor, commodity, mode, year), so the distinct
-    # counts come from two small pre-aggregates instead of an Expand of every row.
     d = distinct_counts(flows, ["origin_zone", "destination_zone", "year"],
                         {"mode_count": "mode_code", "commodity_count": "commodity_code"})
     return sums.join(d, ["origin_zone", "destination_zone", "year"], "left")
 
 
-def lane_scorecard(flows: DataFrame, top_n: int = SCORECARD_TOP, rank_method: str = "window",
-                   latest_mode: str = "subquery") -> DataFrame:
+def lane_scorecard(flows: DataFrame, top_n: int = SCORECARD_TOP, rank_method: str = "checked",
+                   latest_mode: str = "literal") -> DataFrame:
     """Latest-year cross-zone corridors ranked by a weighted percentile score.
 
-    The latest-year summary holds one row per corridor (bounded by zones^2,
-    independent of the fact size).  It is checkpointed to the shared folder so
-    the several ranking passes read it instead of recomputing the lane flows.
-    ``rank_method='distributed'`` avoids every single-partition window.
+    The corridor summary is checkpointed to the shared folder so the ranking
+    passes read it instead of recomputing the lane flows; the latest year is
+    read from it as a literal filter.  ``rank_method='checked'`` (default) counts the corridors and
+    uses the global percent-rank window only up to
+    ``WINDOW_RANK_MAX_ROWS`` rows, the distributed form above;
+    ``'distributed'`` / ``'window'`` force one form.  The top-N cut always
+    reads the n-th best score first and ranks only the survivors.
     """
-    s = corridor_summary(flows)
+    # The summary of all years (corridors x years rows) is written once; the
+    # newest year is then read from those files, so the flows run only once.
+    s = cut_lineage(corridor_summary(flows))
     s = latest(s, "year", mode=latest_mode).where(F.col("origin_zone") != F.col("destination_zone"))
-    s = s.checkpoint(eager=True)
     cols = {"volume_pct_rank": "total_tons", "value_pct_rank": "total_value",
             "growth_pct_rank": "avg_yoy_growth_pct", "diversity_pct_rank": "mode_count"}
-    ranked = percent_ranks(s, cols) if rank_method == "window" else percent_ranks_distributed(s, cols)
+    if rank_method == "checked":
+        ranked = percent_ranks_checked(s, cols)
+    elif rank_method == "window":
+        ranked = percent_ranks(s, cols)
+    elif rank_method == "distributed":
+        ranked = percent_ranks_distributed(s, cols)
+    else:
+        raise ValueError(rank_method)
     scored = composite_score(ranked, SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw_score")
-    top = top_ranked(scored, "_raw_score", top_n, "corridor_rank", distributed=(rank_method != "window"))
+    top = top_ranked(scored, "_raw_score", top_n, "corridor_rank", distributed=True)
     return top.select(*CORRIDOR_ATTRS, "year", "total_tons", "total_value", "total_tmiles", "mode_count",
                       "commodity_count", "avg_yoy_growth_pct", "volume_pct_rank", "value_pct_rank",
                       "growth_pct_rank", "diversity_pct_rank", "composite_score", "corridor_rank")

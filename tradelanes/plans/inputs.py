@@ -14,10 +14,13 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self._flows: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         from tradelanes.session import read_table
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @cached_property
     def shipments(self) -> DataFrame:

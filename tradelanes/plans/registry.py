@@ -23,7 +23,7 @@ from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import composite_score, percent_ranks, percent_ranks_distributed, rank_within, top_ranked
 from tradelanes.plans import analogue, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
-from tradelanes.session import scratch_path
+from tradelanes.session import cut_lineage, scratch_path
 from tradelanes.sources import files, manifest, schemas
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,14 +200,14 @@ def q_percent_ranks(i: Inputs) -> DataFrame:
 @register("percent_ranks_distributed")
 def q_percent_ranks_distributed(i: Inputs) -> DataFrame:
     """The same percent ranks without a single-partition window."""
-    s = _summary_all_years(i).checkpoint(eager=True)
+    s = cut_lineage(_summary_all_years(i))
     return percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
 
 
 @register("composite_score")
 def q_composite_score(i: Inputs) -> DataFrame:
     """Weighted composite of the four percent ranks, rounded to 4."""
-    s = _summary_all_years(i).checkpoint(eager=True)
+    s = cut_lineage(_summary_all_years(i))
     r = percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
     return composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4).select(
         "origin_zone", "destination_zone", "year", "composite_score")
@@ -216,7 +216,7 @@ def q_composite_score(i: Inputs) -> DataFrame:
 @register("top_ranked")
 def q_top_ranked(i: Inputs) -> DataFrame:
     """Corridor-years ranked by composite score, rank <= 25, ties kept."""
-    s = _summary_all_years(i).checkpoint(eager=True)
+    s = cut_lineage(_summary_all_years(i))
     r = percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
     r = composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw")
     return top_ranked(r, "_raw", gold.SCORECARD_TOP, "corridor_rank", distributed=True).select(

@@ -44,6 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def cut_lineage(df):
+    """Reliable checkpoint to the shared folder: later jobs (and a task rerun
+    after a lost executor) read the written files instead of the upstream plan."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -54,4 +61,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A driver table, with its declared schema when it has one (no inference job)."""
+    from tradelanes.sources.schemas import DRIVER_TABLE_SCHEMAS
+
+    reader = spark.read
+    if name in DRIVER_TABLE_SCHEMAS:
+        reader = reader.schema(DRIVER_TABLE_SCHEMAS[name])
+    return reader.parquet(table_path(sf_dir, name))
