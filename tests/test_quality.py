@@ -47,3 +47,17 @@ def test_gate(spark, t):
     assert quality.gate(bad, raise_on_failure=False) is False
     with pytest.raises(quality.GateFailed, match=r"unique\(t.k\): 1"):
         quality.gate(bad)
+
+
+def test_profile_equals_separate_rules(spark, t):
+    sep = quality.report([
+        quality.not_null(t, ["k", "x"], "t"),
+        quality.accepted_values(t, "flag", ["A", "B"], "t"),
+        quality.ranges(t, [("x", 0, 3.5)], "t", min_rows=2),
+        quality.variance(t, ["x", "c"], "t"),
+    ])
+    one = quality.profile(t, "t", not_null=["k", "x"], accepted=[("flag", ["A", "B"])], bounds=[("x", 0, 3.5)],
+                          min_rows=2, variance=["x", "c"])
+    # One aggregate: a single exchange (the separate rules plan one per rule).
+    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, sep.collect()))

@@ -38,10 +38,46 @@ def _rows(df_one_row: DataFrame, items: Sequence[tuple[str, str, str]], table: s
     return out.withColumn("passed", F.col("failures") == 0)
 
 
+def _not_null_aggs(columns: Sequence[str], tag: str = "n"):
+    aggs = [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"_{tag}{i}") for i, c in enumerate(columns)]
+    return aggs, [("not_null", c, f"_{tag}{i}") for i, c in enumerate(columns)]
+
+
+def _accepted_aggs(accepted: Sequence[tuple[str, Sequence[str]]], tag: str = "a"):
+    aggs, items = [], []
+    for i, (column, values) in enumerate(accepted):
+        bad = F.col(column).isNotNull() & ~F.col(column).isin(list(values))
+        aggs.append(F.count(F.when(bad, F.lit(1))).alias(f"_{tag}{i}"))
+        items.append(("accepted_values", column, f"_{tag}{i}"))
+    return aggs, items
+
+
+def _range_aggs(bounds: Sequence[tuple[str, float | None, float | None]], min_rows: int | None, tag: str = "r"):
+    aggs, items = [], []
+    if min_rows is not None:
+        aggs.append(F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0)).alias(f"_{tag}c"))
+        items.append(("row_count", "*", f"_{tag}c"))
+    for i, (c, lo, hi) in enumerate(bounds):
+        cond = F.lit(False)
+        if lo is not None:
+            cond = cond | (F.col(c) < F.lit(lo))
+        if hi is not None:
+            cond = cond | (F.col(c) > F.lit(hi))
+        aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"_{tag}{i}"))
+        items.append(("range", c, f"_{tag}{i}"))
+    return aggs, items
+
+
+def _variance_aggs(columns: Sequence[str], tag: str = "v"):
+    aggs = [F.when(F.coalesce(F.stddev_samp(c), F.lit(0.0)) > 0, F.lit(0)).otherwise(F.lit(1)).alias(f"_{tag}{i}")
+            for i, c in enumerate(columns)]
+    return aggs, [("variance", c, f"_{tag}{i}") for i, c in enumerate(columns)]
+
+
 def not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
     """Q1: NULL count of many columns in one aggregate pass."""
-    agg = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"_n{i}") for i, c in enumerate(columns)])
-    return _rows(agg, [("not_null", c, f"_n{i}") for i, c in enumerate(columns)], table)
+    aggs, items = _not_null_aggs(columns)
+    return _rows(df.agg(*aggs), items, table)
 
 
 def unique(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
@@ -58,9 +94,8 @@ def unique(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, column: str, values: Sequence[str], table: str) -> DataFrame:
     """Q3: rows whose non-NULL value is outside the accepted list."""
-    bad = F.col(column).isNotNull() & ~F.col(column).isin(list(values))
-    agg = df.agg(F.count(F.when(bad, F.lit(1))).alias("_a"))
-    return _rows(agg, [("accepted_values", column, "_a")], table)
+    aggs, items = _accepted_aggs([(column, values)])
+    return _rows(df.agg(*aggs), items, table)
 
 
 def relationships(child: DataFrame, child_col: str | Column, parent: DataFrame, parent_col: str | Column,
@@ -83,25 +118,33 @@ def ranges(df: DataFrame, bounds: Sequence[tuple[str, float | None, float | None
     """Q5: row count at least ``min_rows`` and values inside [lo, hi], in one pass.
 
     For the row count rule ``failures`` is the shortfall (0 when enough rows)."""
-    aggs = [F.greatest(F.lit(min_rows) - F.count(F.lit(1)), F.lit(0)).alias("_rc")]
-    items = [("row_count", "*", "_rc")]
-    for i, (c, lo, hi) in enumerate(bounds):
-        cond = F.lit(False)
-        if lo is not None:
-            cond = cond | (F.col(c) < F.lit(lo))
-        if hi is not None:
-            cond = cond | (F.col(c) > F.lit(hi))
-        aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"_r{i}"))
-        items.append(("range", c, f"_r{i}"))
+    aggs, items = _range_aggs(bounds, min_rows)
     return _rows(df.agg(*aggs), items, table)
 
 
 def variance(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
     """Q6: a column fails when its sample standard deviation is NULL or 0
     (a constant column makes every z-score NULL)."""
-    aggs = [F.when(F.coalesce(F.stddev_samp(c), F.lit(0.0)) > 0, F.lit(0)).otherwise(F.lit(1)).alias(f"_v{i}")
-            for i, c in enumerate(columns)]
-    return _rows(df.agg(*aggs), [("variance", c, f"_v{i}") for i, c in enumerate(columns)], table)
+    aggs, items = _variance_aggs(columns)
+    return _rows(df.agg(*aggs), items, table)
+
+
+def profile(df: DataFrame, table: str, not_null: Sequence[str] = (),
+            accepted: Sequence[tuple[str, Sequence[str]]] = (),
+            bounds: Sequence[tuple[str, float | None, float | None]] = (), min_rows: int | None = None,
+            variance: Sequence[str] = ()) -> DataFrame:
+    """Q1, Q3, Q5, Q6 of one table in a single aggregate pass.
+
+    The same report rows as the separate rules, but the table is scanned
+    once: with several rules per table the separate form scans it once per
+    rule (a union does not share scans)."""
+    parts = [_not_null_aggs(not_null), _accepted_aggs(accepted), _range_aggs(bounds, min_rows),
+             _variance_aggs(variance)]
+    aggs = [x for a, _ in parts for x in a]
+    items = [x for _, i in parts for x in i]
+    if not aggs:
+        raise ValueError("profile needs at least one rule")
+    return _rows(df.agg(*aggs), items, table)
 
 
 def report(parts: Sequence[DataFrame]) -> DataFrame:
