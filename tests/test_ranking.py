@@ -21,7 +21,7 @@ def test_rank_nulls_first_when_descending(spark):
     df = spark.createDataFrame([(1, 2020, 5.0), (2, 2020, None), (3, 2020, 9.0), (4, 2020, 9.0), (5, 2021, 1.0)],
                                "id int, year int, v double")
     got = dict(rank_within(df, "year", "v", "r").select("id", "r").collect())
-    # T4: PostgreSQL puts NULLs first in a descending order; ties share a rank.
+    # T4: the reference SQL engine puts NULLs first in a descending order; ties share a rank.
     assert got == {2: 1, 3: 2, 4: 2, 1: 4, 5: 1}
     asc = dict(rank_within(df, "year", "v", "r", descending=False).select("id", "r").collect())
     assert asc == {1: 1, 3: 2, 4: 2, 2: 4, 5: 1}

@@ -66,17 +66,17 @@ def test_refresh_replaces_only_present_months(spark, tmp_dir, trade):
 
 
 def test_changed_items_and_manifest(spark, tmp_dir):
-    arrivals = spark.createDataFrame([("faf", "x"), ("faf", "y"), ("tb", "x")], "source string, content string")
+    arrivals = spark.createDataFrame([("wide", "x"), ("wide", "y"), ("monthly", "x")], "source string, content string")
     arrivals = arrivals.withColumn("sha256", manifest.content_hash("content"))
     first = manifest.manifest_records(
-        arrivals.where("content = 'x' and source = 'faf'").select(
+        arrivals.where("content = 'x' and source = 'wide'").select(
             "source", F.lit("u").alias("source_url"), F.lit("f").alias("filename"), F.lit("p").alias("path"),
             F.lit(1).alias("row_count"), "sha256"), F.lit(False), timestamp="2024-01-01T00:00:00+00:00")
     manifest.append_manifest(first, f"{tmp_dir}/m")
     recorded = manifest.read_manifest(spark, f"{tmp_dir}/m")
     changed = manifest.changed_items(arrivals, recorded)
     # Same content under another source is new for that source.
-    assert rows(changed, "source", "content") == [("faf", "y"), ("tb", "x")]
+    assert rows(changed, "source", "content") == [("monthly", "x"), ("wide", "y")]
     manifest.append_manifest(first.withColumn("timestamp", F.lit("2024-02-01T00:00:00+00:00")), f"{tmp_dir}/m")
     m = manifest.read_manifest(spark, f"{tmp_dir}/m")
     assert m.count() == 2 and m.columns == [f.name for f in schemas.MANIFEST_SCHEMA.fields]
@@ -102,3 +102,17 @@ def test_gold_layout_prunes(spark, tmp_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "EqualTo(origin_state,TX)" in plan
     assert q.count() == 2
+
+
+def test_load_dim_keeps_na_text(spark, tmp_dir):
+    path = f"{tmp_dir}/dim_regions.csv"
+    with open(path, "w") as f:
+        f.write("region_code,region_name,state,region_type\n1,Alabama,NA,State\n11,Birmingham,AL,Metro\n"
+                "12,,AL,Metro\n")
+    schema = "region_code int, region_name string, state string, region_type string"
+    dim = files.load_dim(spark, path, schema, max_rows=1000)
+    got = rows(dim)
+    assert got == [(1, "Alabama", "NA", "State"), (11, "Birmingham", "AL", "Metro"), (12, None, "AL", "Metro")]
+    assert "broadcast" in dim._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in files.load_dim(spark, path, schema, max_rows=2)._jdf.queryExecution() \
+        .analyzed().toString().lower()

@@ -29,6 +29,21 @@ def read_landed_csv(spark: SparkSession, path: str, schema: T.StructType, glob:
     return r.csv(path)
 
 
+def load_dim(spark: SparkSession, path: str, schema: T.StructType | str, max_rows: int | None = None) -> DataFrame:
+    """A seed dimension from CSV with a header and a declared schema.
+
+    No ``nullValue`` is set, so literal text such as ``NA`` (a state code)
+    stays text; only empty fields are NULL.  With ``max_rows`` the seed is
+    counted (at most ``max_rows + 1`` rows read) and broadcast-hinted when it
+    fits, so joins to it never shuffle the fact side.
+    """
+    dim = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("mode", "FAILFAST").csv(path))
+    if max_rows is not None and dim.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(dim)
+    return dim
+
+
 def file_headers(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """First line of every file under ``path``: (file_path, header).
 
