@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import col_of
+from tradelanes.operators.enrich import checked_broadcast
 
 # Anomaly thresholds on abs(z) and severity labels.
 MEDIUM_Z = 2
@@ -23,8 +24,9 @@ def seasonal_baseline(df: DataFrame, season: str, columns: Mapping[str, str],
     ``method='aggregate'`` (default) the statistics come from a grouped
     aggregate - partial aggregation makes it indifferent to a season holding
     most of the rows - and are joined back; the statistics table has one row
-    per season, bounded by the season domain (12 months, 24 hours), so it is
-    broadcast.  ``method='window'`` uses a full-partition window instead.
+    per season (12 months, 24 hours), and it is broadcast only after a size
+    check, otherwise joined by a shuffle.  ``method='window'`` uses a
+    full-partition window instead (one task per season).
 
     ``columns`` maps a metric column to the prefix of its statistics:
     ``{prefix}_mean`` and ``{prefix}_stddev``.
@@ -41,7 +43,7 @@ def seasonal_baseline(df: DataFrame, season: str, columns: Mapping[str, str],
     for c, p in columns.items():
         aggs += [F.avg(c).alias(f"{p}_mean"), F.stddev_samp(c).alias(f"{p}_stddev")]
     stats = df.groupBy(season).agg(*aggs)
-    return df.join(F.broadcast(stats), on=season, how="left")
+    return df.join(checked_broadcast(stats), on=season, how="left")
 
 
 def zscore(value: str | Column, mean: str | Column, stddev: str | Column) -> Column:
