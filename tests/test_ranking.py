@@ -78,3 +78,14 @@ def test_top_ranked_fewer_rows_and_nulls(spark, distributed):
     assert got == [(0, 1), (1, 2), (2, 3)]
     empty = df.where(F.lit(False))
     assert top_ranked(empty, "s", 5, "r", distributed=distributed).count() == 0
+
+
+def test_distributed_percent_rank_fine_grid_and_hot_value(spark):
+    rnd = random.Random(11)
+    # A third of the rows share one value; a small per-range target forces the second, finer job.
+    data = [(i, 5.0 if i % 3 == 0 else rnd.random() * 10, rnd.choice([None, 1.0, 2.0])) for i in range(1500)]
+    df = spark.createDataFrame(data, "id int, a double, b double")
+    cols = {"pa": "a", "pb": "b"}
+    w = rows(percent_ranks(df, cols), "id", "pa", "pb")
+    d = rows(percent_ranks_distributed(df, cols, buckets=2, values_per_bucket=50), "id", "pa", "pb")
+    assert w == d

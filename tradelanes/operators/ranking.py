@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
-# Most ranges the distinct values are cut into, and the target number of
-# distinct values per range (one window task each).
+# Most ranges a column is cut into, and the target number of rows per range
+# (one window task each, over at most that many distinct values).
 MAX_BUCKETS = 4096
 VALUES_PER_BUCKET = 1_000_000
 # Largest input a plain global window (one task) may rank; above it the
@@ -51,52 +51,57 @@ def _bucket_of(v, bounds: Sequence[float], lo: int = 0, hi: int | None = None):
         _bucket_of(v, bounds, mid + 1, hi))
 
 
-def _quantiles(counts: DataFrame, ranges: int) -> tuple[int, list[float]]:
-    """Number of distinct values and the ``ranges - 1`` inner approximate
-    quantiles of them, from one aggregate job (a fixed-size result)."""
-    aggs = [F.count(F.lit(1)).alias("ndv")]
+def _quantiles(df: DataFrame, columns: Sequence[str], ranges: int) -> tuple[int, dict[str, list[float]]]:
+    """Row count and the ``ranges - 1`` inner approximate quantiles of every
+    column, from one aggregate job over ``df`` (a fixed-size result)."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
     if ranges > 1:
         probs = [i / ranges for i in range(1, ranges)]
-        aggs.append(F.percentile_approx(F.col("v").cast("double"), probs, max(10_000, 4 * ranges)).alias("q"))
-    r = counts.where(F.col("v").isNotNull()).agg(*aggs).first()
-    return (r["ndv"] or 0), (list(r["q"] or []) if ranges > 1 else [])
-
-
-def _range_bounds(counts: DataFrame, min_buckets: int, values_per_bucket: int) -> list[float]:
-    """Range bounds over the distinct values, so that each range holds about
-    ``values_per_bucket`` distinct values and there are at least ``min_buckets``.
-
-    The first job asks for ``min_buckets`` ranges and counts the distinct
-    values; only when they need more ranges is a finer grid computed (capped
-    at ``MAX_BUCKETS``).  The bounds are literals in the plan, so a recomputed
+        acc = max(10_000, 4 * ranges)
+        aggs += [F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(f"_q{i}")
+                 for i, c in enumerate(columns)]
+    r = df.agg(*aggs).first()
+    bounds = {c: (sorted(set(r[f"_q{i}"] or [])) if ranges > 1 else []) for i, c in enumerate(columns)}
+    return (r["_n"] or 0), bounds
+
+
+def _range_bounds(df: DataFrame, columns: Sequence[str], min_buckets: int,
+                  values_per_bucket: int) -> dict[str, list[float]]:
+    """Range bounds for every column, so that each range holds at most about
+    ``values_per_bucket`` rows (so at most as many distinct values) and there
+    are at least ``min_buckets`` ranges.
+
+    Quantiles are taken over the rows: a value holding a large share of the
+    rows collapses several quantiles into one bound and gets a range of its
+    own, which holds a single distinct value.  The first job asks for
+    ``min_buckets`` ranges for all columns at once and counts the rows; only
+    when they need more ranges is a finer grid computed (capped at
+    ``MAX_BUCKETS``).  The bounds are literals in the plan, so a recomputed
     task sees the same ranges.
     """
-    ndv, q = _quantiles(counts, min_buckets)
-    want = min(MAX_BUCKETS, -(-ndv // values_per_bucket))
+    n, bounds = _quantiles(df, columns, min_buckets)
+    want = min(MAX_BUCKETS, -(-n // values_per_bucket))
     if want > min_buckets:
-        ndv, q = _quantiles(counts, want)
-    return sorted(set(q))
+        n, bounds = _quantiles(df, columns, want)
+    return bounds
 
 
-def _percent_rank_table(df: DataFrame, c: str, name: str, buckets: int,
-                        values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+def _percent_rank_table(df: DataFrame, c: str, name: str, bounds: Sequence[float]) -> DataFrame:
     """Exact percent rank per distinct value of ``c``, computed without one big task.
 
     percent_rank = (number of rows strictly before the value) / (n - 1), with
     NULLs sorted last.  Steps, all distributed:
     1. count rows per distinct value (partial aggregate: a hot value is combined map-side);
-    2. cut the distinct values into ranges at approximate quantiles, enough
-       ranges that each holds about ``values_per_bucket`` distinct values;
+    2. tag each distinct value with its range (a binary search over ``bounds``);
     3. count rows per range (one row per range) and turn that into a running
        offset with a window over the few range rows;
     4. inside each range, a running sum over its distinct values gives the
        number of rows before each value.
     """
     counts = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
-    bounds = _range_bounds(counts, buckets, values_per_bucket)
     # NULL sorts after every value: its own last range.
     bucket = F.when(F.col("v").isNull(), F.lit(len(bounds) + 1)).otherwise(
-        _bucket_of(F.col("v").cast("double"), bounds))
+        _bucket_of(F.col("v").cast("double"), list(bounds)))
     tagged = counts.withColumn("bucket", bucket)
     per_bucket = tagged.groupBy("bucket").agg(F.sum("cnt").alias("bucket_rows"))
     # One row per range: at most MAX_BUCKETS + 1 rows, a bounded single-partition window.
@@ -117,13 +122,15 @@ def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str], buckets
                               values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """Same values as ``percent_ranks`` for inputs of any size (W5, large input).
 
-    The per-value table is joined back on the value with a null-safe equality;
-    a value shared by a huge number of rows is a skewed key on the probe side
+    The range bounds of all columns come from one aggregate job.  The
+    per-value table is joined back on the value with a null-safe equality; a
+    value shared by a huge number of rows is a skewed key on the probe side
     only, which AQE's skew-join handling splits.
     """
+    bounds = _range_bounds(df, list(columns.values()), buckets, values_per_bucket)
     out = df
     for name, c in columns.items():
-        table = _percent_rank_table(df, c, name, buckets, values_per_bucket)
+        table = _percent_rank_table(df, c, name, bounds[c])
         out = out.join(table, out[c].eqNullSafe(table["v"]), "left").drop("v")
     return out
 
