@@ -89,3 +89,14 @@ def test_distributed_percent_rank_fine_grid_and_hot_value(spark):
     w = rows(percent_ranks(df, cols), "id", "pa", "pb")
     d = rows(percent_ranks_distributed(df, cols, buckets=2, values_per_bucket=50), "id", "pa", "pb")
     assert w == d
+
+
+def test_top_ranked_many_ties_at_cut_has_no_window(spark):
+    data = [(i, 10.0 if i < 3 else 5.0) for i in range(300)] + [(1000, None)]
+    df = spark.createDataFrame(data, "id int, s double")
+    top = top_ranked(df, "s", 5, "r")
+    assert "Window" not in top._jdf.queryExecution().executedPlan().toString()
+    got = rows(top, "r")
+    # NULL first (rank 1), three 10.0 (rank 2), then 297 rows tied at 5.0 (rank 5).
+    assert got == [(1,)] + [(2,)] * 3 + [(5,)] * 297
+    assert rows(top_ranked(df, "s", 5, "r", distributed=False), "id", "r") == rows(top, "id", "r")

@@ -151,27 +151,42 @@ def composite_score(df: DataFrame, weights: Sequence[tuple[str, float]], name: s
     return out.withColumn(name, F.round(expr, digits) if digits is not None else expr)
 
 
-def top_ranked(df: DataFrame, score: str, n: int, name: str = "rank", distributed: bool = True) -> DataFrame:
-    """Rows whose ``rank() over (order by score desc)`` is at most ``n`` (W7, L1); ties kept.
+def _sort_key_desc_nulls_first(v):
+    return (0, 0) if v is None else (1, -v)
+
 
-    ``distributed=True`` first reads the n-th best score with a top-n
-    (TakeOrderedAndProject: each task keeps n rows), keeps rows scoring at
-    least that much, and ranks only those survivors (n plus ties at the cut).
+def top_ranked(df: DataFrame, score: str, n: int, name: str = "rank", distributed: bool = True) -> DataFrame:
+    """Rows whose ``rank() over (order by score desc nulls first)`` is at most
+    ``n`` (W7, L1); ties kept.  ``score`` must be numeric.
+
+    ``distributed=True`` reads the n best scores with a top-n
+    (TakeOrderedAndProject: each task keeps n rows, the driver gets n values).
+    Every row that makes the cut has one of those values, and its rank is
+    1 + the number of collected scores strictly ahead of it, so the rank is a
+    CASE over at most n literals: no window and no single task, however many
+    rows tie at the cut.  ``distributed=False`` is the plain global window.
     """
     order = F.col(score).desc_nulls_first()
     if not distributed:
         ranked = df.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
         return ranked.where(F.col(name) <= n)
-    cut_rows = df.select(score).orderBy(order).limit(n).collect()
-    if not cut_rows:
+    scores = [r[0] for r in df.select(score).orderBy(order).limit(n).collect()]
+    if not scores:
         return df.withColumn(name, F.lit(None).cast("bigint")).limit(0)
-    cutoff = cut_rows[-1][score]
-    if len(cut_rows) < n or cutoff is None:
+    keys = [_sort_key_desc_nulls_first(v) for v in scores]
+    rank_expr = None
+    for v in sorted(set(scores), key=_sort_key_desc_nulls_first):
+        k = _sort_key_desc_nulls_first(v)
+        r = 1 + sum(1 for x in keys if x < k)
+        cond = F.col(score).isNull() if v is None else (F.col(score) == F.lit(v))
+        rank_expr = F.when(cond, F.lit(r)) if rank_expr is None else rank_expr.when(cond, F.lit(r))
+    if len(scores) < n:
         survivors = df
+    elif scores[-1] is None:
+        survivors = df.where(F.col(score).isNull())
     else:
-        survivors = df.where(F.col(score).isNull() | (F.col(score) >= F.lit(cutoff)))
-    ranked = survivors.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
-    return ranked.where(F.col(name) <= n)
+        survivors = df.where(F.col(score).isNull() | (F.col(score) >= F.lit(scores[-1])))
+    return survivors.withColumn(name, rank_expr.cast("bigint"))
 
 
 def percent_ranks_checked(df: DataFrame, columns: Mapping[str, str], max_rows: int = WINDOW_RANK_MAX_ROWS,

@@ -20,7 +20,13 @@ from tradelanes.operators.anomaly import seasonal_baseline
 from tradelanes.operators.enrich import checked_broadcast, enrich_lanes, unmatched_keys, zone_key
 from tradelanes.operators.measures import distinct_counts, rollup_measures, share_of_total
 from tradelanes.operators.periods import latest, with_growth, with_previous
-from tradelanes.operators.ranking import composite_score, percent_ranks, percent_ranks_distributed, rank_within, top_ranked
+from tradelanes.operators.ranking import (
+    composite_score,
+    percent_ranks_checked,
+    percent_ranks_distributed,
+    rank_within,
+    top_ranked,
+)
 from tradelanes.plans import analogue, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
 from tradelanes.session import cut_lineage, scratch_path
@@ -193,8 +199,9 @@ def _summary_all_years(i: Inputs) -> DataFrame:
 
 @register("percent_ranks")
 def q_percent_ranks(i: Inputs) -> DataFrame:
-    """Percent ranks of four measures over all corridor-years (window form)."""
-    return percent_ranks(_summary_all_years(i), PR_COLUMNS)
+    """Percent ranks of four measures over all corridor-years (window form,
+    used behind a row-count check; the distributed form above the bound)."""
+    return percent_ranks_checked(cut_lineage(_summary_all_years(i)), PR_COLUMNS)
 
 
 @register("percent_ranks_distributed")
