@@ -1 +1,9 @@
+"""Streaming: intentionally empty.
 
+The reference refreshes weekly in batch and fully rebuilds its marts; it has no
+watermark, window, state or late-data handling, so nothing here is built.
+Arriving files are handled by the batch path in ``tradelanes.sources``: a
+content-hash anti join against the manifest (S5).  A file source with
+``trigger(availableNow=True)`` would track paths, not content, so it would not
+replace that check.
+"""
