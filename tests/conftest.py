@@ -29,11 +29,6 @@ def spark():
     )
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # Tests only: a checkpoint folder of our own when the session names none.
-    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
-        d = tempfile.mkdtemp(prefix="tradelanes-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
     s.stop()
 

@@ -20,7 +20,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -28,19 +28,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Base folder shared by all executors.
+    """Base folder shared by the driver and all executors, as ``spark.checkpoint.dir`` names it.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset
-    (local tests) do we create one of our own and register it, so that
-    ``checkpoint()`` and our written intermediate tables land in the same place.
+    Where the session names none, a local master (one machine, so any local folder
+    is shared) gets a folder of its own; any other master gets an error, because a
+    machine-local folder would not be seen by the other machines.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tradelanes-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
+        base = spark.sparkContext.getCheckpointDir()
     return base.rstrip("/")
 
 
@@ -51,9 +52,28 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def scratch_base(spark: SparkSession) -> str:
+    """This application's own folder under the shared folder."""
+    return f"{shared_dir(spark)}/tradelanes-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused path under this application's scratch folder."""
+    return f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df, name: str):
+    """Write ``df`` as a Parquet table in the scratch folder and read it back: the
+    lineage ends there, and later steps get column pruning and statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application left in its scratch folder, once no result needs it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_base(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:
