@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import simhash
+from tradelanes.llm import bpe, simhash
 from tradelanes.llm.common import table
 
 
@@ -14,8 +14,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=3, most=2).select("doc_id", "fingerprint", "component_id")
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(spark, table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_bpe": op4_bpe,
 }
 
 ORACLE: dict[str, str] = {}
