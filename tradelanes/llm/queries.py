@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, lines, simhash
+from tradelanes.llm import bpe, lines, secrets, simhash
 from tradelanes.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, shingle=3, most=2).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"), rate=0.05)
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -31,6 +35,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_secrets": op2_secrets,
     "op4_bpe": op4_bpe,
     "op6_line_dedup": op6_line_dedup,
 }
