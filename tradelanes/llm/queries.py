@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, lines, secrets, simhash
+from tradelanes.llm import bpe, lines, secrets, simhash, urls
 from tradelanes.llm.common import table
+from tradelanes.llm.oracle import op10_sql, op6_sql
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,31 +34,25 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("clean", 256).alias("clean_sha256"))
 
 
+#: The rules that op10 is asked to apply.
+ALLOW = ("com/", "www.example.com/en/")
+BLOCK = ("example.com/en/", "net/es/", "net/fr/")
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages"), urls.as_rules(spark, ALLOW, BLOCK))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
     "op4_bpe": op4_bpe,
     "op6_line_dedup": op6_line_dedup,
+    "op10_urls": op10_urls,
 }
 
 ORACLE: dict[str, str] = {
-    "op6_line_dedup": """
-        WITH parts AS (
-            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
-                   generate_subscripts(string_split(text, chr(10)), 1) AS pos
-            FROM documents),
-        wide AS (
-            SELECT line, min({'doc_id': doc_id, 'pos': pos}) AS first
-            FROM parts WHERE regexp_matches(line, '[^ \t\r\f]')
-            GROUP BY line HAVING count(DISTINCT source) >= 5),
-        marked AS (
-            SELECT p.*, w.line IS NOT NULL AND w.first <> {'doc_id': p.doc_id, 'pos': p.pos} AS gone
-            FROM parts p LEFT JOIN wide w USING (line)),
-        cleaned AS (
-            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS clean
-            FROM marked GROUP BY doc_id)
-        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
-               CASE WHEN d.text IS NOT NULL THEN sha256(clean) END AS clean_sha256
-        FROM documents d LEFT JOIN cleaned c USING (doc_id)""",
+    "op6_line_dedup": op6_sql(min_sites=5),
+    "op10_urls": op10_sql(ALLOW, BLOCK, urls.LINK, urls.DAMPING, urls.ROUNDS, urls.THRESHOLD),
 }
