@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,3 +75,31 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = label[label]
         if np.array_equal(before, label):
             return label
+
+
+def word_counts(rows: DataFrame, group: str, words_of, held: int = 200_000) -> DataFrame:
+    """(group, word, n) over all rows (group, text): n counts what ``words_of(text)`` yields for each text.
+
+    Counts are added up in each task before they are shuffled; a task holds ``held`` words and passes
+    its counts on when it has more."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+
+        def flush():
+            keys = [(g, w) for g, words in sums.items() for w in words]
+            n = [c for words in sums.values() for c in words.values()]
+            sums.clear()
+            return pa.RecordBatch.from_arrays([pa.array([g for g, _ in keys], kind), pa.array([w for _, w in keys], pa.string()), pa.array(n, pa.int64())], [group, "word", "n"])
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for g, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums.setdefault(g, Counter()).update(words_of(t or ""))
+                if sum(map(len, sums.values())) > held:
+                    yield flush()
+        if sums:
+            yield flush()
+
+    schema = f"{group} {rows.schema[group].dataType.simpleString()}, word string, n long"
+    parts = rows.select(group, "text").mapInArrow(count, schema)
+    return parts.groupBy(group, "word").agg(F.sum("n").alias("n"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, lines, secrets, simhash, urls
+from tradelanes.llm import bpe, language, lines, secrets, simhash, toxicity, urls
 from tradelanes.llm.common import table
 from tradelanes.llm.oracle import op10_sql, op6_sql
 
@@ -34,6 +34,28 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("clean", 256).alias("clean_sha256"))
 
 
+def fold(folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def held_out(folds: int, rest: int) -> Column:
+    return F.coalesce(fold(folds) == rest, F.lit(False)).alias("held_out")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(fold(5) != 0).select("lang", "text"))
+    return language.predict(docs, model).select("doc_id", held_out(5, 0), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold(3) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.score(docs, model, threshold=0.7).select("doc_id", held_out(3, 1), "score", "predicted")
+
+
 #: The rules that op10 is asked to apply.
 ALLOW = ("com/", "www.example.com/en/")
 BLOCK = ("example.com/en/", "net/es/", "net/fr/")
@@ -49,6 +71,8 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op4_bpe": op4_bpe,
     "op6_line_dedup": op6_line_dedup,
+    "op8_language": op8_language,
+    "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
 }
 
