@@ -77,7 +77,7 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def word_counts(rows: DataFrame, group: str, words_of, held: int = 200_000) -> DataFrame:
+def word_counts(rows: DataFrame, group: str, words_of, word_type: str = "string", held: int = 200_000) -> DataFrame:
     """(group, word, n) over all rows (group, text): n counts what ``words_of(text)`` yields for each text.
 
     Counts are added up in each task before they are shuffled; a task holds ``held`` words and passes
@@ -89,7 +89,7 @@ def word_counts(rows: DataFrame, group: str, words_of, held: int = 200_000) -> D
             keys = [(g, w) for g, words in sums.items() for w in words]
             n = [c for words in sums.values() for c in words.values()]
             sums.clear()
-            return pa.RecordBatch.from_arrays([pa.array([g for g, _ in keys], kind), pa.array([w for _, w in keys], pa.string()), pa.array(n, pa.int64())], [group, "word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([g for g, _ in keys], kind), pa.array([w for _, w in keys]), pa.array(n, pa.int64())], [group, "word", "n"])
 
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -100,6 +100,6 @@ def word_counts(rows: DataFrame, group: str, words_of, held: int = 200_000) -> D
         if sums:
             yield flush()
 
-    schema = f"{group} {rows.schema[group].dataType.simpleString()}, word string, n long"
+    schema = f"{group} {rows.schema[group].dataType.simpleString()}, word {word_type}, n long"
     parts = rows.select(group, "text").mapInArrow(count, schema)
     return parts.groupBy(group, "word").agg(F.sum("n").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, language, lines, secrets, simhash, toxicity, urls
+from tradelanes.llm import bpe, language, lines, matching, secrets, simhash, toxicity, urls
 from tradelanes.llm.common import table
 from tradelanes.llm.oracle import op10_sql, op6_sql
 
@@ -19,6 +19,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"), rate=0.05)
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return matching.near_report(docs, matching.Lexicons(matching.band(docs)))
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -69,6 +74,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
+    "op3_imatch": op3_imatch,
     "op4_bpe": op4_bpe,
     "op6_line_dedup": op6_line_dedup,
     "op8_language": op8_language,

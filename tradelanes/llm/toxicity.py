@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from tradelanes.llm.common import text_key
 from tradelanes.session import stored
 
-WINDOW = 16  # words
+WINDOW = 12  # words
 LONGEST = 400  # characters of a window; longer words are cut
 STEM = (5, 12)  # characters of a word beginning, its leading space included
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
+ORDINARY_BYTES, TOXIC_BYTES = 31_000, 1024  # together within the compression window
+STEPS = (1, 2, 3, 4, 5, 6)  # bytes saved, from which windows are counted
+FEATURES = 5 + 2 * len(STEPS)
 TOXIC_ROWS, ORDINARY_ROWS, ORDINARY_WINDOWS = 4000, 8000, 20_000  # bounds of what is learnt from
 
 
@@ -80,8 +82,9 @@ class Model:
         saved = sorted((len(plain(w)) - len(both(w)) for w in windows(text)), reverse=True) if self.toxic else []
         n, gain = len(saved), sum(s for s in saved if s > 0)
         if not n:
-            return [0.0] * 6
-        return [saved[0], sum(saved[:3]) / 3, math.log1p(gain), math.log1p(sum(s >= 3 for s in saved)), math.log1p(n), gain / n]
+            return [0.0] * FEATURES
+        over = [sum(s >= step for s in saved) for step in STEPS]
+        return [saved[0], sum(saved[:3]) / 3, math.log1p(gain), math.log1p(n), gain / n, *map(math.log1p, over), *(c / n for c in over)]
 
     def score(self, features: np.ndarray) -> np.ndarray:
         x = np.c_[(features - self.centre) / self.scale, np.ones(len(features))]
@@ -154,7 +157,7 @@ def train(rows: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = OR
         lowest = known.where(F.col("toxic") == label).select("draw").orderBy("draw").limit(most)
         cut[label] = lowest.agg(F.max("draw")).first()[0]
     if cut[0] is None or cut[1] is None:
-        return Model(b"", b"", np.r_[np.zeros(6), -30.0 if cut[1] is None else 30.0])
+        return Model(b"", b"", np.r_[np.zeros(FEATURES), -30.0 if cut[1] is None else 30.0])
     chosen = known.where(F.col("draw") <= F.when(F.col("toxic") == 1, cut[1]).otherwise(cut[0])).dropDuplicates(["key", "toxic"])
     chosen = stored(chosen.select("text", "toxic", "draw"), "sample")
     rng = np.random.default_rng(seed)
@@ -191,7 +194,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([shared.value.features(t) for t in batch.column(1).to_pylist()]).reshape(-1, 6)
+            x = np.array([shared.value.features(t) for t in batch.column(1).to_pylist()]).reshape(-1, FEATURES)
             s = shared.value.score(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
