@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, language, lines, matching, secrets, simhash, toxicity, urls
+from tradelanes.llm import bpe, language, lines, matching, quality, secrets, simhash, toxicity, urls
 from tradelanes.llm.common import table
 from tradelanes.llm.oracle import op10_sql, op6_sql
 
@@ -34,6 +34,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(spark, table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents"), min_sites=5)
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("clean", 256).alias("clean_sha256"))
@@ -76,6 +81,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_imatch": op3_imatch,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
