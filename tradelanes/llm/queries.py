@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, language, lines, matching, quality, secrets, simhash, toxicity, urls
+from tradelanes.llm import bpe, contamination, language, lines, matching, quality, secrets, simhash, toxicity, urls
 from tradelanes.llm.common import table
 from tradelanes.llm.oracle import op10_sql, op6_sql
 
@@ -44,6 +44,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("clean", 256).alias("clean_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "covered", "consistent")
+
+
 def fold(folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
@@ -83,6 +88,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
