@@ -10,6 +10,9 @@ from tradelanes.llm.common import table
 from tradelanes.llm.oracle import op10_sql, op6_sql
 
 
+MIN_SITES = 5  # sites from which a line is boilerplate
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs, shingle=3, most=2).select("doc_id", "fingerprint", "component_id")
@@ -40,7 +43,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(table(spark, sf_dir, "documents"), min_sites=5)
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"), min_sites=MIN_SITES)
     return out.select("row.doc_id", "n_lines", "n_removed", F.sha2("clean", 256).alias("clean_sha256"))
 
 
@@ -95,6 +98,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op6_line_dedup": op6_sql(min_sites=5),
+    "op6_line_dedup": op6_sql(min_sites=MIN_SITES),
     "op10_urls": op10_sql(ALLOW, BLOCK, urls.LINK, urls.DAMPING, urls.ROUNDS, urls.THRESHOLD),
 }
