@@ -24,6 +24,7 @@ from tradelanes.session import stored
 BAD, GOOD, NONE = 0, 1, 2
 BUCKETS = 1024  # of hashed shapes
 FULL = 20  # words from which a text's shapes count in full; fewer tell less
+FALSE_ALARMS, TEMPER = 0.01, 0.5
 ROWS = 4000  # documents of each weak label that the scorer learns from, at most
 SYMBOLS = re.compile(r"[^\w\s]{2,}$")
 END = re.compile(r"[.!?]\W*$")
@@ -77,18 +78,22 @@ def pattern(text: str | None) -> int:
 
 def weak_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Probability of good for each vote pattern, by expectation-maximisation over two classes in which
-    labellers vote independently; no vote is no evidence.  It starts from "bad if any labeller says so", so the
-    classes keep their meaning; how far each labeller can be trusted is then learnt."""
+    labellers vote independently; no vote is no evidence.  It starts from "bad if any labeller says so" and takes it that
+    a labeller finds its defect in at most FALSE_ALARMS of the good documents, so the classes keep their meaning.  Labellers
+    overlap in the defects they do not find, so each good vote counts as TEMPER of an independent one."""
     vote = patterns[:, None] // 3 ** np.arange(LABELLERS) % 3
     said = np.stack([vote == BAD, vote == GOOD], 2).astype(float)  # patterns x labellers x votes
+    evidence = said * np.array([1.0, TEMPER])
     p = np.where((vote == BAD).any(1), 0.1, 0.95)
     for _ in range(rounds):
         weight = np.stack([counts * (1 - p), counts * p])  # class x patterns
         # Pseudo-counts: bad documents get one bad vote for four good ones, good documents hardly any
         behave = np.einsum("cp,plo->clo", weight, said) + np.array([[1.0, 4.0], [0.05, 10.0]])[:, None, :]
         behave /= behave.sum(2, keepdims=True)
+        behave[1, :, 0] = np.minimum(behave[1, :, 0], FALSE_ALARMS)
+        behave[1, :, 1] = 1 - behave[1, :, 0]
         prior = np.log((weight.sum(1) + 1) / (counts.sum() + 2))
-        odds = prior + np.einsum("plo,clo->pc", said, np.log(behave))
+        odds = prior + np.einsum("plo,clo->pc", evidence, np.log(behave))
         new = 1 / (1 + np.exp(np.clip(odds[:, 0] - odds[:, 1], -50, 50)))
         done, p = np.abs(new - p).max() < 1e-7, new
         if done:
