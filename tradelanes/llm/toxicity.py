@@ -146,20 +146,21 @@ def toxic_stems(rows: DataFrame, least: int = 8, ratio: float = 8.0, strength: f
     return out
 
 
-def train(rows: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS, seed: int = 7) -> Model:
-    """Model from labelled rows (doc_id, text, toxic): at most ``toxic_rows`` and ``ordinary_rows`` of them, those of
-    the lowest hash of the id; the calibration weighs them back to their shares.  Null labels teach nothing."""
-    known = rows.where("toxic is not null and text is not null").select("text", F.when(F.col("toxic") == 1, 1).otherwise(0).alias("toxic"), F.xxhash64("doc_id", F.lit(seed)).alias("draw"), text_key("text").alias("key"))
-    known = stored(known, "labelled")
+def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS, seed: int = 7) -> Model:
+    """Model from documents (doc_id, text) and labels (doc_id, toxic): at most ``toxic_rows`` and ``ordinary_rows`` labels,
+    those of the lowest hash of the id; the calibration weighs them back to their shares.  Null ids and labels teach nothing.
+
+    The ids are drawn from the labels alone, so no text is read for them and only drawn texts are shuffled."""
+    known = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"))
+             .select("doc_id", "toxic", F.xxhash64("doc_id", F.lit(seed)).alias("draw")))
     of = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cut = {}
-    for label, most in ((1, toxic_rows), (0, ordinary_rows)):
-        lowest = known.where(F.col("toxic") == label).select("draw").orderBy("draw").limit(most)
-        cut[label] = lowest.agg(F.max("draw")).first()[0]
-    if cut[0] is None or cut[1] is None:
-        return Model(b"", b"", np.r_[np.zeros(FEATURES), -30.0 if cut[1] is None else 30.0])
-    chosen = known.where(F.col("draw") <= F.when(F.col("toxic") == 1, cut[1]).otherwise(cut[0])).dropDuplicates(["key", "toxic"])
-    chosen = stored(chosen.select("text", "toxic", "draw"), "sample")
+    if not of.get(0) or not of.get(1):
+        return Model(b"", b"", np.r_[np.zeros(FEATURES), 30.0 if of.get(1) else -30.0])
+    drawn = [known.where(F.col("toxic") == label).orderBy("draw", "doc_id").limit(most) for label, most in ((1, toxic_rows), (0, ordinary_rows))]
+    drawn = stored(drawn[0].unionByName(drawn[1]), "drawn")  # at most toxic_rows + ordinary_rows ids
+    chosen = (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn), "doc_id")
+              .withColumn("key", text_key("text")).dropDuplicates(["key", "toxic"]))
+    chosen = stored(chosen.select("text", "toxic"), "sample")
     rng = np.random.default_rng(seed)
     stems = toxic_stems(chosen)
     bag = [s.encode() for s, n in sorted(stems.items()) for _ in range(min(n, 200))]
@@ -172,13 +173,15 @@ def train(rows: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = OR
     plain = (chosen.where("toxic = 0").select("text").mapInArrow(cut_windows, "w binary")
              .select("w", F.xxhash64("w", F.lit(seed)).alias("draw")).orderBy("draw", "w").limit(ORDINARY_WINDOWS))
     model = Model(trained([bytes(r.w) for r in plain.select("w").collect()], ORDINARY_BYTES), trained(mixed, TOXIC_BYTES))
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([shared.value.features(t) for t in batch.column(0).to_pylist()], pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
 
     found = chosen.select("text", "toxic").mapInArrow(features, "x array<double>, toxic int").collect()
+    if len({r.toxic for r in found}) < 2:  # labels of documents that are not there
+        return Model(b"", b"", np.r_[np.zeros(FEATURES), -30.0])
     x, y = np.array([r.x for r in found]), np.array([r.toxic for r in found])
     weight = np.where(y == 1, of[1] / max(1, (y == 1).sum()), of[0] / max(1, (y == 0).sum()))
     model.weights, model.centre, model.scale = calibrate(x, y, weight * len(y) / weight.sum())
