@@ -43,11 +43,24 @@ def test_contract_report(spark, tmp_dir, trade):
     trade.drop("value", "year").coalesce(1).write.option("header", True).csv(f"{tmp_dir}/short")
     rep = files.contract_report(spark, tmp_dir, schemas.REQUIRED_TRADE_COLUMNS, glob="*.csv")
     got = {(os.path.basename(os.path.dirname(r["file_path"])), r["missing_column"]) for r in rep.collect()}
-    assert got == {("full", None), ("short", "value"), ("short", "year")}
-    with pytest.raises(ValueError, match="value"):
+    assert got == {("full", None), ("short", "VALUE"), ("short", "YEAR")}
+    with pytest.raises(ValueError, match="VALUE"):
         files.require_columns(trade.drop("value"), schemas.REQUIRED_TRADE_COLUMNS)
 
 
+def test_contract_report_of_awkward_headers(spark, tmp_dir):
+    for name, text in (("empty", ""), ("upper", "TRDTYPE,VALUE\n1,2\n"), ("quoted", '"a, b","value",trdtype\n1,2,3\n'), ("bare", "value\n")):
+        os.makedirs(f"{tmp_dir}/{name}")
+        with open(f"{tmp_dir}/{name}/part-0.csv", "w") as f:
+            f.write(text)
+    rep = files.contract_report(spark, tmp_dir, ["trdtype", "value", "a, b"], glob="*.csv")
+    got = {(os.path.basename(os.path.dirname(r["file_path"])), r["missing_column"]) for r in rep.collect()}
+    assert got == {("empty", "trdtype"), ("empty", "value"), ("empty", "a, b"), ("upper", "a, b"), ("quoted", None),
+                   ("bare", "trdtype"), ("bare", "a, b")}
+    strict = files.contract_report(spark, f"{tmp_dir}/upper", ["trdtype"], glob="*.csv", case_sensitive=True)
+    assert [r["missing_column"] for r in strict.collect()] == ["trdtype"]
+
+
 def test_land_partitions(spark, tmp_dir, trade):
     files.land(trade, tmp_dir, "transborder")
     assert sorted(os.listdir(f"{tmp_dir}/source=transborder/year=2024")) == ["month=1", "month=2", "month=3"]
@@ -65,23 +78,36 @@ def test_refresh_replaces_only_present_months(spark, tmp_dir, trade):
     assert spark.read.parquet(tmp_dir).count() == 4
 
 
-def test_changed_items_and_manifest(spark, tmp_dir):
-    arrivals = spark.createDataFrame([("wide", "x"), ("wide", "y"), ("monthly", "x")], "source string, content string")
-    arrivals = arrivals.withColumn("sha256", manifest.content_hash("content"))
-    first = manifest.manifest_records(
-        arrivals.where("content = 'x' and source = 'wide'").select(
-            "source", F.lit("u").alias("source_url"), F.lit("f").alias("filename"), F.lit("p").alias("path"),
-            F.lit(1).alias("row_count"), "sha256"), F.lit(False), timestamp="2024-01-01T00:00:00+00:00")
-    manifest.append_manifest(first, f"{tmp_dir}/m")
-    recorded = manifest.read_manifest(spark, f"{tmp_dir}/m")
-    changed = manifest.changed_items(arrivals, recorded)
-    # Same content under another source is new for that source.
-    assert rows(changed, "source", "content") == [("monthly", "x"), ("wide", "y")]
-    manifest.append_manifest(first.withColumn("timestamp", F.lit("2024-02-01T00:00:00+00:00")), f"{tmp_dir}/m")
-    m = manifest.read_manifest(spark, f"{tmp_dir}/m")
-    assert m.count() == 2 and m.columns == [f.name for f in schemas.MANIFEST_SCHEMA.fields]
-    newest = manifest.newest_per_source(m).first()
-    assert newest["timestamp"].startswith("2024-02")
+def _record(source, path, sha, ts):
+    return (source, "u", "f", path, ts, 1, sha, False, None)
+
+
+def test_changed_items_compare_with_the_newest_record(spark):
+    recorded = spark.createDataFrame([
+        _record("wide", "p", "A", "2024-01"), _record("wide", "p", "B", "2024-02"), _record("wide", "q", "C", "2024-01"),
+        _record("monthly", "p", "A", "2024-01"), _record("wide", "r", None, "2024-01"), _record(None, "p", "N", "2024-01"),
+    ], schemas.MANIFEST_SCHEMA)
+    arrivals = spark.createDataFrame([
+        ("wide", "p", "A"),  # came back after a change: changed
+        ("wide", "q", "C"),  # as recorded
+        ("monthly", "p", "A"), ("monthly", "new", "A"),  # as recorded, and a new item
+        ("wide", "r", "D"), ("wide", "q", None),  # recorded without a hash, and arriving without one
+        (None, "p", "N"),  # a null source is an item like any other
+    ], "source string, path string, sha256 string")
+    got = rows(manifest.changed_items(arrivals, recorded))
+    assert sorted(got, key=str) == sorted([("wide", "p", "A"), ("monthly", "new", "A"), ("wide", "r", "D"), ("wide", "q", None)], key=str)
+    assert rows(manifest.changed_items(arrivals.where("path = 'p' and source = 'wide'").withColumn("sha256", F.lit("B")), recorded)) == []
+
+
+def test_ingest_keeps_items_without_a_hash(spark, tmp_dir):
+    items = spark.createDataFrame([(1, "s", "A"), (2, "s", "A"), (3, "s", None), (4, "t", "A"), (5, None, "A")], "nr int, source string, sha256 string")
+    items = items.select("*", F.lit("u").alias("source_url"), F.lit("f").alias("filename"), F.lit("p").alias("path"), F.lit(1).alias("row_count"))
+    manifest.append_manifest(manifest.ingest(items, None, "nr"), f"{tmp_dir}/m")
+    first = manifest.read_manifest(spark, f"{tmp_dir}/m")
+    assert rows(first, "source", "sha256", "skipped", "reason") == [
+        (None, "A", False, None), ("s", None, True, manifest.NO_HASH), ("s", "A", False, None), ("s", "A", True, None), ("t", "A", False, None)]
+    again = manifest.ingest(items, first, "nr")
+    assert {r.skipped for r in again.collect()} == {True} and again.columns == [f.name for f in schemas.MANIFEST_SCHEMA.fields]
 
 
 def test_write_counted_and_materialize(spark, tmp_dir):
@@ -96,7 +122,7 @@ def test_gold_layout_prunes(spark, tmp_dir):
     flows = spark.createDataFrame([(y, s, c, float(i)) for i, (y, s, c) in enumerate(
         (y, s, c) for y in (2020, 2021) for s in ("AK", "TX") for c in ("Bulk", "Food"))],
         "year int, origin_state string, commodity_category string, total_tons double")
-    files.write_gold_flows(flows, tmp_dir, partitions=4)
+    files.write_gold_flows(flows, tmp_dir)
     assert sorted(d for d in os.listdir(tmp_dir) if d.startswith("year=")) == ["year=2020", "year=2021"]
     q = spark.read.parquet(tmp_dir).where("year = 2021 and origin_state = 'TX'")
     plan = q._jdf.queryExecution().executedPlan().toString()
@@ -110,9 +136,6 @@ def test_load_dim_keeps_na_text(spark, tmp_dir):
         f.write("region_code,region_name,state,region_type\n1,Alabama,NA,State\n11,Birmingham,AL,Metro\n"
                 "12,,AL,Metro\n")
     schema = "region_code int, region_name string, state string, region_type string"
-    dim = files.load_dim(spark, path, schema, max_rows=1000)
+    dim = files.load_dim(spark, path, schema)
     got = rows(dim)
     assert got == [(1, "Alabama", "NA", "State"), (11, "Birmingham", "AL", "Metro"), (12, None, "AL", "Metro")]
-    assert "broadcast" in dim._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in files.load_dim(spark, path, schema, max_rows=2)._jdf.queryExecution() \
-        .analyzed().toString().lower()

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import col_of
-from tradelanes.operators.enrich import checked_broadcast
 
 # Anomaly thresholds on abs(z) and severity labels.
 MEDIUM_Z = 2
@@ -43,7 +42,7 @@ def seasonal_baseline(df: DataFrame, season: str, columns: Mapping[str, str],
     for c, p in columns.items():
         aggs += [F.avg(c).alias(f"{p}_mean"), F.stddev_samp(c).alias(f"{p}_stddev")]
     stats = df.groupBy(season).agg(*aggs)
-    return df.join(checked_broadcast(stats), on=season, how="left")
+    return df.join(stats, on=season, how="left")
 
 
 def zscore(value: str | Column, mean: str | Column, stddev: str | Column) -> Column:

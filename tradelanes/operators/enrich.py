@@ -1,9 +1,7 @@
 """Dimension joins.
 
-Dimensions are small and their size is checked before they are broadcast:
-``checked_broadcast`` counts at most ``max_rows + 1`` rows, so the check costs
-the same whether the dimension is tiny or huge, and a dimension over the bound
-falls back to a plain (shuffled) join that AQE may still convert at runtime.
+Plain equi joins: which side is broadcast is left to the optimizer, which knows
+the sizes in bytes (of files when planning, of shuffled data when running).
 """
 
 from __future__ import annotations
@@ -15,18 +13,6 @@ from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import col_of
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
-
 def zone_key(code: str | Column, width: int = 3, pad: str = "0") -> Column:
     """Text zone key from an integer region code: ``lpad(cast(code as string), 3, '0')``.
 
@@ -40,14 +26,8 @@ def role_dimension(dim: DataFrame, key: Column, key_name: str, columns: Mapping[
     return dim.select(key.alias(key_name), *[F.col(src).alias(dst) for src, dst in columns.items()])
 
 
-def enrich(fact: DataFrame, dim: DataFrame, on: str, how: str = "left", broadcast: bool | None = True) -> DataFrame:
-    """Left equi join of ``fact`` to ``dim`` on the shared column ``on``.
-
-    ``broadcast=True`` broadcasts behind a size check, ``None`` leaves the
-    choice to the optimizer, ``False`` forbids it.
-    """
-    if broadcast:
-        dim = checked_broadcast(dim)
+def enrich(fact: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Equi join of ``fact`` to ``dim`` on the shared column ``on``."""
     return fact.join(dim, on=on, how=how)
 
 
@@ -57,29 +37,19 @@ def enrich_lanes(
     commodities: DataFrame,
     modes: DataFrame,
     region_code: str = "region_code",
-    seeds_hinted: bool = False,
 ) -> DataFrame:
     """Attach origin/destination region, commodity and mode attributes.
 
     The region dimension plays two roles (J2); its integer code is padded once
-    on the dimension side to match the text zone of the fact (J1).  With
-    ``seeds_hinted`` the commodity and mode seeds are taken as already
-    broadcast-hinted (built from literal lists of known size).
+    on the dimension side to match the text zone of the fact (J1).
     """
     key = zone_key(region_code)
     origin = role_dimension(regions, key, "origin_zone",
                             {"region_name": "origin_name", "state": "origin_state"})
     dest = role_dimension(regions, key, "destination_zone",
                           {"region_name": "destination_name", "state": "destination_state"})
-    # One size check for both roles of the region dimension.
-    if fits_broadcast(regions):
-        origin, dest = F.broadcast(origin), F.broadcast(dest)
-    out = enrich(lanes, origin, "origin_zone", broadcast=None)
-    out = enrich(out, dest, "destination_zone", broadcast=None)
-    # Seed dimensions built from literal lists carry their broadcast hint already:
-    # their size is known when they are built, so no count is needed.
-    out = enrich(out, commodities, "commodity_code", broadcast=None if seeds_hinted else True)
-    return enrich(out, modes, "mode_code", broadcast=None if seeds_hinted else True)
+    out = enrich(enrich(lanes, origin, "origin_zone"), dest, "destination_zone")
+    return enrich(enrich(out, commodities, "commodity_code"), modes, "mode_code")
 
 
 def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: Column | str,
@@ -91,4 +61,4 @@ def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: Colu
     """
     counts = fact.groupBy(F.col(fact_key).alias(name)).agg(F.count(F.lit(1)).alias("fact_rows"))
     keys = dim.select(col_of(dim_key).alias(name)).where(F.col(name).isNotNull())
-    return counts.join(checked_broadcast(keys), on=name, how="left_anti")
+    return counts.join(keys, on=name, how="left_anti")

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import col_of
-from tradelanes.operators.enrich import checked_broadcast
 
 REPORT_COLUMNS = ["rule", "table_name", "column_name", "failures", "passed"]
 
@@ -108,7 +107,7 @@ def relationships(child: DataFrame, child_col: str | Column, parent: DataFrame,
     ck = child.where(col_of(child_col).isNotNull()).groupBy(col_of(child_col).alias("_k")).agg(
         F.count(F.lit(1)).alias("_rows"))
     pk = parent.select(col_of(parent_col).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    orphans = ck.join(checked_broadcast(pk), "_k", "left_anti")
+    orphans = ck.join(pk, "_k", "left_anti")
     agg = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_o"))
     return _rows(agg, [("relationships", column, "_o")], table)
 

@@ -1,10 +1,9 @@
 """Ranks, percent ranks, composite score and top-N.
 
 Global rankings have no partition key.  A plain ``Window.orderBy`` sends every
-row to one task; that is fine for inputs whose size is bounded by a key domain
-(e.g. corridors of one year) and is offered as ``percent_ranks``.  For inputs
-that grow with the data, ``percent_ranks_distributed`` computes the same
-numbers without a single-partition step.
+row to one task; that is offered as ``percent_ranks`` for inputs known to be
+small.  ``percent_ranks_distributed`` computes the same numbers for inputs of
+any size without a single-partition step.
 """
 
 from __future__ import annotations
@@ -14,15 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-# Most ranges a column is cut into, and the target number of rows per range
-# (one window task each, over at most that many distinct values).
-MAX_BUCKETS = 4096
-VALUES_PER_BUCKET = 1_000_000
-# Largest input a plain global window (one task) may rank; above it the
-# distributed form is used.
-WINDOW_RANK_MAX_ROWS = 1_000_000
-
+from tradelanes.session import stored
 
 def rank_within(df: DataFrame, period: str, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
     """``rank()`` of ``value`` within each ``period`` (W4); NULLs first when
@@ -40,99 +31,37 @@ def percent_ranks(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return out
 
 
-def _bucket_of(v, bounds: Sequence[float], lo: int = 0, hi: int | None = None):
-    """Index of the first bound >= v (``len(bounds)`` when v is above all of
-    them), as a balanced CASE tree: log2(len(bounds)) comparisons per value."""
-    hi = len(bounds) if hi is None else hi
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v <= F.lit(bounds[mid]), _bucket_of(v, bounds, lo, mid)).otherwise(
-        _bucket_of(v, bounds, mid + 1, hi))
-
-
-def _quantiles(df: DataFrame, columns: Sequence[str], ranges: int) -> tuple[int, dict[str, list[float]]]:
-    """Row count and the ``ranges - 1`` inner approximate quantiles of every
-    column, from one aggregate job over ``df`` (a fixed-size result)."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if ranges > 1:
-        probs = [i / ranges for i in range(1, ranges)]
-        acc = max(10_000, 4 * ranges)
-        aggs += [F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(f"_q{i}")
-                 for i, c in enumerate(columns)]
-    r = df.agg(*aggs).first()
-    bounds = {c: (sorted(set(r[f"_q{i}"] or [])) if ranges > 1 else []) for i, c in enumerate(columns)}
-    return (r["_n"] or 0), bounds
-
-
-def _range_bounds(df: DataFrame, columns: Sequence[str], min_buckets: int,
-                  values_per_bucket: int) -> dict[str, list[float]]:
-    """Range bounds for every column, so that each range holds at most about
-    ``values_per_bucket`` rows (so at most as many distinct values) and there
-    are at least ``min_buckets`` ranges.
-
-    Quantiles are taken over the rows: a value holding a large share of the
-    rows collapses several quantiles into one bound and gets a range of its
-    own, which holds a single distinct value.  The first job asks for
-    ``min_buckets`` ranges for all columns at once and counts the rows; only
-    when they need more ranges is a finer grid computed (capped at
-    ``MAX_BUCKETS``).  The bounds are literals in the plan, so a recomputed
-    task sees the same ranges.
-    """
-    n, bounds = _quantiles(df, columns, min_buckets)
-    want = min(MAX_BUCKETS, -(-n // values_per_bucket))
-    if want > min_buckets:
-        n, bounds = _quantiles(df, columns, want)
-    return bounds
-
-
-def _percent_rank_table(df: DataFrame, c: str, name: str, bounds: Sequence[float]) -> DataFrame:
-    """Exact percent rank per distinct value of ``c``, computed without one big task.
-
-    percent_rank = (number of rows strictly before the value) / (n - 1), with
-    NULLs sorted last.  Steps, all distributed:
-    1. count rows per distinct value (partial aggregate: a hot value is combined map-side);
-    2. tag each distinct value with its range (a binary search over ``bounds``);
-    3. count rows per range (one row per range) and turn that into a running
-       offset with a window over the few range rows;
-    4. inside each range, a running sum over its distinct values gives the
-       number of rows before each value.
-    """
-    counts = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
-    # NULL sorts after every value: its own last range.
-    bucket = F.when(F.col("v").isNull(), F.lit(len(bounds) + 1)).otherwise(
-        _bucket_of(F.col("v").cast("double"), list(bounds)))
-    tagged = counts.withColumn("bucket", bucket)
-    per_bucket = tagged.groupBy("bucket").agg(F.sum("cnt").alias("bucket_rows"))
-    # One row per range: at most MAX_BUCKETS + 1 rows, a bounded single-partition window.
-    offsets = per_bucket.select(
-        "bucket",
-        (F.sum("bucket_rows").over(Window.orderBy("bucket")) - F.col("bucket_rows")).alias("offset"),
-        F.sum("bucket_rows").over(Window.partitionBy(F.lit(1))).alias("n"),
-    )
-    w = Window.partitionBy("bucket").orderBy(F.col("v").asc_nulls_last())
-    before = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = tagged.withColumn("before_in_bucket", before).join(F.broadcast(offsets), "bucket")
-    pr = F.when(F.col("n") <= 1, F.lit(0.0)).otherwise(
-        (F.col("offset") + F.col("before_in_bucket")).cast("double") / (F.col("n") - 1).cast("double"))
-    return ranked.select(F.col("v"), pr.alias(name))
-
-
-def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str], buckets: int = DEFAULT_BUCKETS,
-                              values_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Same values as ``percent_ranks`` for inputs of any size (W5, large input).
 
-    The range bounds of all columns come from one aggregate job.  The
-    per-value table is joined back on the value with a null-safe equality; a
-    value shared by a huge number of rows is a skewed key on the probe side
-    only, which AQE's skew-join handling splits.
+    percent_rank = rows strictly before the value / (rows - 1), NULLs last.  All columns go through
+    one chain of steps, stacked as rows (column number, value):
+    1. count rows per distinct value (a hot value is combined before the shuffle);
+    2. range-partition and sort the distinct values once, as a written table that keeps each range's number;
+    3. the rows of the ranges before give each range its offset (one row for each column and range);
+    4. a running sum inside each range gives the rows before each value;
+    5. join back on the value and turn the stack back into columns.
+    Values compare as double.  The input is written first, so row numbers and ranges stay the same when a task
+    runs again.
     """
-    bounds = _range_bounds(df, list(columns.values()), buckets, values_per_bucket)
-    out = df
-    for name, c in columns.items():
-        table = _percent_rank_table(df, c, name, bounds[c])
-        out = out.join(table, out[c].eqNullSafe(table["v"]), "left").drop("v")
-    return out
+    rows = stored(df, "rank_input").withColumn("_rid", F.monotonically_increasing_id())
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns.values())])
+    stack = rows.select("_rid", F.explode(pairs).alias("p")).select("_rid", "p.k", "p.v")
+    counts = stack.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranged = stored(counts.repartitionByRange("k", F.col("v").asc_nulls_last())
+                    .select("k", "v", "n", F.spark_partition_id().alias("part")), "rank_ranges")
+    parts = ranged.groupBy("k", "part").agg(F.sum("n").alias("in_part"))
+    up = Window.partitionBy("k").orderBy("part")
+    offsets = parts.select("k", "part", (F.sum("in_part").over(up) - F.col("in_part")).alias("offset"),
+                           F.sum("in_part").over(Window.partitionBy("k")).alias("all"))
+    inside = Window.partitionBy("k", "part").orderBy(F.col("v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(inside), F.lit(0))
+    table = (ranged.withColumn("before", before).join(offsets, ["k", "part"])
+             .select("k", "v", F.when(F.col("all") <= 1, 0.0)
+                     .otherwise((F.col("offset") + F.col("before")).cast("double") / (F.col("all") - 1)).alias("pr")))
+    ranks = (stack.alias("s").join(table.alias("t"), (F.col("s.k") == F.col("t.k")) & F.col("s.v").eqNullSafe(F.col("t.v")))
+             .groupBy("s._rid").agg(*[F.max(F.when(F.col("s.k") == k, F.col("t.pr"))).alias(name) for k, name in enumerate(columns)]))
+    return rows.join(ranks, "_rid").drop("_rid")
 
 
 def composite_score(df: DataFrame, weights: Sequence[tuple[str, float]], name: str = "composite_score",
@@ -164,7 +93,7 @@ def top_ranked(df: DataFrame, score: str, n: int, name: str = "rank", distribute
     Every row that makes the cut has one of those values, and its rank is
     1 + the number of collected scores strictly ahead of it, so the rank is a
     CASE over at most n literals: no window and no single task, however many
-    rows tie at the cut.  ``distributed=False`` is the plain global window.
+    rows tie at the cut.  The frame is read twice: pass a written table.  ``distributed=False`` is the plain global window.
     """
     order = F.col(score).desc_nulls_first()
     if not distributed:
@@ -187,16 +116,3 @@ def top_ranked(df: DataFrame, score: str, n: int, name: str = "rank", distribute
     else:
         survivors = df.where(F.col(score).isNull() | (F.col(score) >= F.lit(scores[-1])))
     return survivors.withColumn(name, rank_expr.cast("bigint"))
-
-
-def percent_ranks_checked(df: DataFrame, columns: Mapping[str, str], max_rows: int = WINDOW_RANK_MAX_ROWS,
-                          buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Percent ranks with the single-task window only behind a size check.
-
-    Counts at most ``max_rows + 1`` rows of ``df`` (pass a checkpointed or
-    written frame so the count does not recompute it); up to ``max_rows`` the
-    plain window is used, above it the distributed form.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return percent_ranks(df, columns)
-    return percent_ranks_distributed(df, columns, buckets)

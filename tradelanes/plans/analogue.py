@@ -7,8 +7,7 @@ derived from the TPC-H-like tables (SURVEY §7.3):
   and ``part``; origin zone = supplier nation, destination zone = customer
   nation, commodity = part type, mode = order priority, year = ship year;
   tons / value / ton-miles = quantity / extended price / quantity * size.
-* region dimension: ``nation`` joined to ``region``, nation 24 left out so the
-  unmatched-key path is exercised.
+* region dimension: ``nation`` joined to ``region``.
 * commodity and mode dimensions: fixed seeds, like the seed CSVs they stand for.
 * indicators: ``events`` per hour (season = hour of day).
 * monthly trade: ``orders`` per year and month.
@@ -19,6 +18,8 @@ All of it is lazy DataFrame code; nothing is collected.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,13 +45,11 @@ MODE_SEED = [
     (5, "LOW", "Deferred"),
 ]
 # The mode whose share decline is flagged (the truck analogue),
-# the nation left out of the region dimension, trade type and distance band codes.
+# trade type and distance band codes.
 DECLINE_MODE_NAME = "URGENT"
-UNMATCHED_NATION = 24
 TRADE_TYPE_CODES = [("A", 1), ("N", 2), ("R", 3)]
 DIST_BAND_CODES = [("F", 1), ("O", 2)]
 
-YEARS = list(range(1995, 2002))
 MEASURE_TYPE = "decimal(18,2)"
 LANE_KEYS = ["origin_zone", "destination_zone", "commodity_code", "mode_code"]
 
@@ -75,8 +74,7 @@ def mode_code_of(priority: Column) -> Column:
 def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return (n.where(F.col("n_nationkey") != UNMATCHED_NATION)
-            .join(r, n.n_regionkey == r.r_regionkey, "inner")
+    return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
             .select(F.col("n_nationkey").alias("region_code"),
                     F.col("n_name").alias("region_name"),
                     F.col("r_name").alias("state")))
@@ -84,12 +82,11 @@ def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def commodity_dim(spark: SparkSession) -> DataFrame:
     rows = [(code, name, cat) for _, code, name, cat in COMMODITY_SEED]
-    return F.broadcast(spark.createDataFrame(
-        rows, "commodity_code int, commodity_name string, commodity_category string"))
+    return spark.createDataFrame(rows, "commodity_code int, commodity_name string, commodity_category string")
 
 
 def mode_dim(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(MODE_SEED, "mode_code int, mode_name string, mode_category string"))
+    return spark.createDataFrame(MODE_SEED, "mode_code int, mode_name string, mode_category string")
 
 
 # ---------------------------------------------------------------- fact
@@ -131,11 +128,19 @@ def shipment_lines(spark: SparkSession, sf_dir: str, extra: bool = False) -> Dat
 
 # ---------------------------------------------------------------- raw text tables
 
+# Key columns of the landed shipment file.
 RAW_KEY_COLUMNS = ["fr_orig", "dms_orig", "dms_dest", "fr_dest", "fr_inmode", "dms_mode",
                    "fr_outmode", "sctg2", "trade_type", "dist_band"]
 
 
-def raw_shipments(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
+def shipment_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Years that the wide table has columns for: from the first to the last ship year, two numbers read from the data."""
+    year = F.year("l_shipdate")
+    first, last = read_table(spark, sf_dir, "lineitem").agg(F.min(year), F.max(year)).first()
+    return list(range(first, last + 1)) if first is not None else []
+
+
+def raw_shipments(spark: SparkSession, sf_dir: str, years: Sequence[int], corrupt: bool = False) -> DataFrame:
     """Wide, all-text shipment table: one row per shipment key, one column per
     measure and year, NULL for years without shipments.
 
@@ -157,12 +162,12 @@ def raw_shipments(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> Da
     ]
     aggs = []
     for m in ("tons", "value", "tmiles"):
-        for y in YEARS:
+        for y in years:
             aggs.append(F.sum(F.when(F.col("year") == y, F.col(m))).cast("decimal(38,2)")
                         .cast("string").alias(f"{m}_{y}"))
     wide = lines.groupBy(*keys).agg(*aggs)
     if corrupt:
-        first = f"tons_{YEARS[0]}"
+        first = f"tons_{years[0]}"
         flag = F.substring(F.md5(F.concat_ws("|", "dms_orig", "dms_dest", "dms_mode", "sctg2",
                                              "trade_type", "dist_band")), 1, 1) == F.lit("0")
         wide = wide.withColumn(first, F.when(flag, F.lit("n/a")).otherwise(F.col(first)))

@@ -12,13 +12,12 @@ from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import (
     composite_score,
     percent_ranks,
-    percent_ranks_checked,
     percent_ranks_distributed,
     rank_within,
     top_ranked,
 )
 from tradelanes.functions.scalar import safe_ratio
-from tradelanes.session import cut_lineage
+from tradelanes.session import stored
 
 LANE_KEYS = ["origin_zone", "destination_zone", "commodity_code", "mode_code"]
 CORRIDOR_ATTRS = ["origin_zone", "destination_zone", "origin_name", "destination_name",
@@ -36,7 +35,7 @@ SHARE_DECLINE_POINTS = 5.0
 
 
 def lane_flows(shipments: DataFrame, regions: DataFrame, commodities: DataFrame, modes: DataFrame,
-               missing_base: str = "floor", strict_period: bool = False, seeds_hinted: bool = False) -> DataFrame:
+               missing_base: str = "floor", strict_period: bool = False) -> DataFrame:
     """G1: tonnage, value and ton-miles per lane and year with capped growth.
 
     Aggregates on the codes first and attaches the dimension attributes to the
@@ -47,7 +46,7 @@ def lane_flows(shipments: DataFrame, regions: DataFrame, commodities: DataFrame,
     """
     totals = rollup_measures(shipments, LANE_KEYS + ["year"],
                              {"total_tons": "tons", "total_value": "value", "total_tmiles": "tmiles"})
-    enriched = enrich_lanes(totals, regions, commodities, modes, seeds_hinted=seeds_hinted)
+    enriched = enrich_lanes(totals, regions, commodities, modes)
     out = with_growth(enriched, "total_tons", LANE_KEYS, "year", "prev_year_tons", "yoy_growth_pct",
                       capped=True, missing_base=missing_base, strict_period=strict_period)
     return out.select(*LANE_FLOW_COLUMNS)
@@ -116,34 +115,28 @@ def corridor_summary(flows: DataFrame, pre_aggregate_distinct: bool = False) ->
     return sums.join(d, ["origin_zone", "destination_zone", "year"], "left")
 
 
-def lane_scorecard(flows: DataFrame, top_n: int = SCORECARD_TOP, rank_method: str = "checked",
+def lane_scorecard(flows: DataFrame, top_n: int = SCORECARD_TOP, rank_method: str = "distributed",
                    latest_mode: str = "literal") -> DataFrame:
     """Latest-year cross-zone corridors ranked by a weighted percentile score.
 
-    The corridor summary is checkpointed to the shared folder so the ranking
-    passes read it instead of recomputing the lane flows; the latest year is
-    read from it as a literal filter.  ``rank_method='checked'`` (default) counts the corridors and
-    uses the global percent-rank window only up to
-    ``WINDOW_RANK_MAX_ROWS`` rows, the distributed form above;
-    ``'distributed'`` / ``'window'`` force one form.  The top-N cut always
-    reads the n-th best score first and ranks only the survivors.
+    The corridor summary and then the scored corridors are written tables, so neither the flows nor the ranks
+    are computed twice; the latest year is read from the first as a literal filter.  ``rank_method='window'``
+    ranks with global windows, for inputs known to be small.
     """
     # The summary of all years (corridors x years rows) is written once; the
     # newest year is then read from those files, so the flows run only once.
-    s = cut_lineage(corridor_summary(flows))
+    s = stored(corridor_summary(flows), "corridor_summary")
     s = latest(s, "year", mode=latest_mode).where(F.col("origin_zone") != F.col("destination_zone"))
     cols = {"volume_pct_rank": "total_tons", "value_pct_rank": "total_value",
             "growth_pct_rank": "avg_yoy_growth_pct", "diversity_pct_rank": "mode_count"}
-    if rank_method == "checked":
-        ranked = percent_ranks_checked(s, cols)
-    elif rank_method == "window":
+    if rank_method == "window":
         ranked = percent_ranks(s, cols)
     elif rank_method == "distributed":
         ranked = percent_ranks_distributed(s, cols)
     else:
         raise ValueError(rank_method)
-    scored = composite_score(ranked, SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw_score")
-    top = top_ranked(scored, "_raw_score", top_n, "corridor_rank", distributed=True)
+    scored = stored(composite_score(ranked, SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw_score"), "scored")
+    top = top_ranked(scored, "_raw_score", top_n, "corridor_rank")
     return top.select(*CORRIDOR_ATTRS, "year", "total_tons", "total_value", "total_tmiles", "mode_count",
                       "commodity_count", "avg_yoy_growth_pct", "volume_pct_rank", "value_pct_rank",
                       "growth_pct_rank", "diversity_pct_rank", "composite_score", "corridor_rank")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradelanes.plans import analogue, gold, silver
+from tradelanes.session import scratch_path
+from tradelanes.sources import files
 
 
 class Inputs:
@@ -26,6 +29,10 @@ class Inputs:
     def shipments(self) -> DataFrame:
         return analogue.shipment_lines(self.spark, self.sf_dir)
 
+    @cached_property
+    def years(self) -> list[int]:
+        return analogue.shipment_years(self.spark, self.sf_dir)
+
     @cached_property
     def regions(self) -> DataFrame:
         return analogue.region_dim(self.spark, self.sf_dir)
@@ -41,9 +48,21 @@ class Inputs:
     def flows(self, missing_base: str = "floor") -> DataFrame:
         if missing_base not in self._flows:
             self._flows[missing_base] = gold.lane_flows(self.shipments, self.regions, self.commodities, self.modes,
-                                                        missing_base=missing_base, seeds_hinted=True)
+                                                        missing_base=missing_base)
         return self._flows[missing_base]
 
+    @cached_property
+    def gold_flows(self) -> DataFrame:
+        """G1 as a stored mart in the read-optimised layout, for serving."""
+        path = scratch_path(self.spark, "gold_flows")
+        files.write_gold_flows(self.flows(), path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def latest_year(self) -> int | None:
+        """The newest year of the stored mart (a partition column: no data is read)."""
+        return self.gold_flows.agg(F.max("year")).first()[0]
+
     @cached_property
     def raw_indicators(self) -> DataFrame:
         return analogue.raw_indicators(self.spark, self.sf_dir)
@@ -53,11 +72,11 @@ class Inputs:
         return silver.silver_indicators(self.raw_indicators)
 
     def raw_shipments(self, corrupt: bool = False) -> DataFrame:
-        return analogue.raw_shipments(self.spark, self.sf_dir, corrupt=corrupt)
+        return analogue.raw_shipments(self.spark, self.sf_dir, self.years, corrupt=corrupt)
 
     @cached_property
     def silver_shipments(self) -> DataFrame:
-        return silver.silver_shipments(self.raw_shipments(), analogue.YEARS)
+        return silver.silver_shipments(self.raw_shipments(), self.years)
 
     @cached_property
     def raw_monthly_trade(self) -> DataFrame:

@@ -17,26 +17,26 @@ from tradelanes.operators import quality
 from tradelanes.operators.keys import dedupe
 from tradelanes.operators.reshape import pivot_values, unpivot_union
 from tradelanes.operators.anomaly import seasonal_baseline
-from tradelanes.operators.enrich import checked_broadcast, enrich_lanes, unmatched_keys, zone_key
+from tradelanes.operators.enrich import enrich_lanes, unmatched_keys, zone_key
 from tradelanes.operators.measures import distinct_counts, rollup_measures, share_of_total
 from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import (
     composite_score,
-    percent_ranks_checked,
+    percent_ranks,
     percent_ranks_distributed,
     rank_within,
     top_ranked,
 )
 from tradelanes.plans import analogue, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
-from tradelanes.session import cut_lineage, scratch_path
+from tradelanes.session import scratch_path, stored
 from tradelanes.sources import files, manifest, schemas
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Serving constants of the analogue (the newest full year of
-# shipments, one origin "state" = region name, the cross-zone tonnage floor).
-SERVE_YEAR = 2001
+# Serving constants of the analogue (one origin "state" = region
+# name, the cross-zone tonnage floor) and the region that J4 leaves out.
+LEFT_OUT_REGION = 24
 SERVE_STATE = "AMERICA"
 SERVE_TONNAGE_FLOOR = 300
 
@@ -91,16 +91,18 @@ def _lane_totals(i: Inputs) -> DataFrame:
 @register("enrich_lanes")
 def q_enrich_lanes(i: Inputs) -> DataFrame:
     """Lane totals with role-playing region, commodity and mode attributes."""
-    out = enrich_lanes(_lane_totals(i), i.regions, i.commodities, i.modes, seeds_hinted=True)
+    out = enrich_lanes(_lane_totals(i), i.regions, i.commodities, i.modes)
     return out.select(*[c for c in gold.LANE_FLOW_COLUMNS if c not in ("prev_year_tons", "yoy_growth_pct")])
 
 
 @register("unmatched_keys")
 def q_unmatched_keys(i: Inputs) -> DataFrame:
-    """Zones of the fact without a region row, per role, with their row counts."""
-    key = zone_key("region_code")
-    o = unmatched_keys(i.shipments, "origin_zone", i.regions, key, "zone").withColumn("role", F.lit("origin"))
-    d = unmatched_keys(i.shipments, "destination_zone", i.regions, key, "zone").withColumn("role", F.lit("destination"))
+    """Zones of the fact without a region row, per role, with their row counts.
+
+    All driver nations have a region, so the gap this is to find is made here: a dimension without one of them."""
+    key, regions = zone_key("region_code"), i.regions.where(F.col("region_code") != LEFT_OUT_REGION)
+    o = unmatched_keys(i.shipments, "origin_zone", regions, key, "zone").withColumn("role", F.lit("origin"))
+    d = unmatched_keys(i.shipments, "destination_zone", regions, key, "zone").withColumn("role", F.lit("destination"))
     return o.unionByName(d).select("role", "zone", "fact_rows")
 
 
@@ -199,23 +201,21 @@ def _summary_all_years(i: Inputs) -> DataFrame:
 
 @register("percent_ranks")
 def q_percent_ranks(i: Inputs) -> DataFrame:
-    """Percent ranks of four measures over all corridor-years (window form,
-    used behind a row-count check; the distributed form above the bound)."""
-    return percent_ranks_checked(cut_lineage(_summary_all_years(i)), PR_COLUMNS)
+    """Percent ranks of four measures over all corridor-years, with global windows: one row for each
+    pair of zones and year."""
+    return percent_ranks(_summary_all_years(i), PR_COLUMNS)
 
 
 @register("percent_ranks_distributed")
 def q_percent_ranks_distributed(i: Inputs) -> DataFrame:
     """The same percent ranks without a single-partition window."""
-    s = cut_lineage(_summary_all_years(i))
-    return percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
+    return percent_ranks_distributed(_summary_all_years(i), PR_COLUMNS)
 
 
 @register("composite_score")
 def q_composite_score(i: Inputs) -> DataFrame:
     """Weighted composite of the four percent ranks, rounded to 4."""
-    s = cut_lineage(_summary_all_years(i))
-    r = percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
+    r = percent_ranks_distributed(_summary_all_years(i), PR_COLUMNS)
     return composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4).select(
         "origin_zone", "destination_zone", "year", "composite_score")
 
@@ -223,10 +223,9 @@ def q_composite_score(i: Inputs) -> DataFrame:
 @register("top_ranked")
 def q_top_ranked(i: Inputs) -> DataFrame:
     """Corridor-years ranked by composite score, rank <= 25, ties kept."""
-    s = cut_lineage(_summary_all_years(i))
-    r = percent_ranks_distributed(s, PR_COLUMNS, buckets=16)
-    r = composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw")
-    return top_ranked(r, "_raw", gold.SCORECARD_TOP, "corridor_rank", distributed=True).select(
+    r = percent_ranks_distributed(_summary_all_years(i), PR_COLUMNS)
+    r = stored(composite_score(r, gold.SCORE_WEIGHTS, "composite_score", 4, raw_name="_raw"), "scored")
+    return top_ranked(r, "_raw", gold.SCORECARD_TOP, "corridor_rank").select(
         "origin_zone", "destination_zone", "year", "composite_score", "corridor_rank")
 
 
@@ -271,14 +270,14 @@ def q_silver_shipments(i: Inputs) -> DataFrame:
 @register("unpivot_years")
 def q_unpivot_years(i: Inputs) -> DataFrame:
     """B2 (R1): one row per shipment and year from a single scan."""
-    return silver.silver_shipments_long(i.silver_shipments, analogue.YEARS)
+    return silver.silver_shipments_long(i.silver_shipments, i.years)
 
 
 @register("unpivot_union_check")
 def q_unpivot_union_check(i: Inputs) -> DataFrame:
     """The union-of-projections spelling of the same unpivot."""
     ids = ["shipment_id"] + silver.SHIPMENT_KEY_COLUMNS
-    return unpivot_union(i.silver_shipments, ids, silver.MEASURES, analogue.YEARS)
+    return unpivot_union(i.silver_shipments, ids, silver.MEASURES, i.years)
 
 
 @register("silver_monthly_trade")
@@ -296,7 +295,7 @@ def q_silver_indicators(i: Inputs) -> DataFrame:
 @register("cast_quarantine")
 def q_cast_quarantine(i: Inputs) -> DataFrame:
     """Rows whose text does not convert, with the offending columns."""
-    typed = conform(i.raw_shipments(corrupt=True), silver.shipment_spec(analogue.YEARS), on_error="quarantine")
+    typed = conform(i.raw_shipments(corrupt=True), silver.shipment_spec(i.years), on_error="quarantine")
     _, bad = split_quarantine(typed)
     return bad.select("origin_zone", "destination_zone", "mode_code", "commodity_code", "trade_type", "dist_band",
                       F.concat_ws(",", "_bad_columns").alias("bad_columns"))
@@ -453,16 +452,24 @@ def q_csv_roundtrip_scan(i: Inputs) -> DataFrame:
 
 @register("contract_report")
 def q_contract_report(i: Inputs) -> DataFrame:
-    """S3: required-column contract over every landed file: complete,
-    missing a column, and reordered (order does not matter to the contract)."""
+    """S3: required-column contracts of the three sources over every landed file: complete, missing a
+    column, reordered, in upper case and empty files."""
     base = scratch_path(i.spark, "contract")
     raw = i.raw_monthly_trade
     raw.write.option("header", True).csv(f"{base}/trade_full")
     raw.drop("value").write.option("header", True).csv(f"{base}/trade_missing_value")
     raw.select(*reversed(raw.columns)).write.option("header", True).csv(f"{base}/trade_reordered")
-    rep = files.contract_report(i.spark, base, schemas.REQUIRED_TRADE_COLUMNS, glob="*.csv")
-    return rep.select(F.regexp_extract("file_path", r"/(trade_[a-z_]+)/", 1).alias("dataset"),
-                      "missing_column").distinct()
+    raw.select(*[F.col(c).alias(c.upper()) for c in raw.columns]).write.option("header", True).csv(f"{base}/trade_upper")
+    raw.limit(0).drop(*raw.columns).select(F.lit("").alias("value")).write.text(f"{base}/trade_empty")
+    i.raw_indicators.drop("vmt").write.option("header", True).csv(f"{base}/indicators_missing_vmt")
+    i.raw_shipments().drop("sctg2").write.option("header", True).csv(f"{base}/shipments_missing_sctg2")
+    found = None
+    for source, required in (("trade", schemas.REQUIRED_TRADE_COLUMNS), ("indicators", schemas.REQUIRED_INDICATOR_COLUMNS),
+                             ("shipments", schemas.required_shipment_columns(i.years))):
+        report = files.contract_report(i.spark, f"{base}/{source}_*", required, glob="part-*")
+        found = report if found is None else found.unionByName(report)
+    return found.select(F.regexp_extract("file_path", r"/((?:trade|indicators|shipments)_[a-z0-9_]+)/", 1).alias("dataset"),
+                        F.lower("missing_column").alias("missing_column")).distinct()
 
 
 @register("landed_by_month")
@@ -475,42 +482,31 @@ def q_landed_by_month(i: Inputs) -> DataFrame:
 
 
 def _documents(i: Inputs) -> DataFrame:
+    """Documents as arriving items: an item is a source and a slot, its versions the documents of that slot by id."""
     d = i.table("documents")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
     return d.select("doc_id", "source", "lang", manifest.content_hash("text").alias("sha256"),
-                    F.size(F.split("text", "\n")).cast("long").alias("row_count"))
+                    F.size(F.split("text", "\n")).cast("long").alias("row_count"),
+                    F.concat(F.lit("slot"), (F.col("n_chars") % 8).cast("string")).alias("slot"),
+                    F.concat(F.lit("landing/"), "source", F.lit("/"), name).alias("source_url"), name.alias("filename"),
+                    F.concat(F.lit("bronze/source="), "source", F.lit("/"), name).alias("path"))
 
 
 @register("changed_items")
 def q_changed_items(i: Inputs) -> DataFrame:
-    """Arriving documents whose content is not yet recorded for their source
-    (recorded: the English documents)."""
-    d = _documents(i)
-    return manifest.changed_items(d.select("doc_id", "source", "sha256"), d.where(F.col("lang") == "en"))
+    """Arriving documents whose content is not the newest recorded of their item.  Recorded are the English
+    documents; everything arrives, so older recorded versions come back and count as changes."""
+    d = _documents(i).select("doc_id", "source", "slot", "lang", "sha256")
+    return manifest.changed_items(d.drop("lang"), d.where(F.col("lang") == "en"), ("source", "slot"), "doc_id")
 
 
 @register("ingest_manifest")
 def q_ingest_manifest(i: Inputs) -> DataFrame:
-    """Two ingestion runs appended to the manifest; an item is skipped when
-    its (source, sha256) was recorded before or arrived earlier in the same run."""
-    path = scratch_path(i.spark, "manifest")
-    d = _documents(i).select(
-        "doc_id", "source", "lang", "sha256", "row_count",
-        F.concat(F.lit("landing/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_url"),
-        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("filename"),
-        F.concat(F.lit("bronze/source="), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"))
-
-    def run(batch: DataFrame, recorded: DataFrame | None) -> DataFrame:
-        first = batch.groupBy("source", "sha256").agg(F.min("doc_id").alias("_first"))
-        b = batch.join(first, ["source", "sha256"])
-        skipped = F.col("doc_id") != F.col("_first")
-        if recorded is not None:
-            seen = recorded.select("source", "sha256").distinct().withColumn("_seen", F.lit(True))
-            b = b.join(checked_broadcast(seen), ["source", "sha256"], "left")
-            skipped = skipped | F.coalesce(F.col("_seen"), F.lit(False))
-        return manifest.manifest_records(b, skipped)
-
-    manifest.append_manifest(run(d.where(F.col("lang") == "en"), None), path)
-    manifest.append_manifest(run(d.where(F.col("lang") != "en"), manifest.read_manifest(i.spark, path)), path)
+    """Two ingestion runs appended to the manifest."""
+    path, d = scratch_path(i.spark, "manifest"), _documents(i)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    manifest.append_manifest(manifest.ingest(d.where(english), None, "doc_id"), path)
+    manifest.append_manifest(manifest.ingest(d.where(~english), manifest.read_manifest(i.spark, path), "doc_id"), path)
     return manifest.read_manifest(i.spark, path).drop("timestamp")
 
 
@@ -539,9 +535,7 @@ def q_monthly_refresh(i: Inputs) -> DataFrame:
 def q_gold_layout_read(i: Inputs) -> DataFrame:
     """Lane flows written with the read-optimised layout, then read
     with a year (partition) and state (row-group) filter."""
-    path = scratch_path(i.spark, "gold_flows")
-    files.write_gold_flows(i.flows(), path, partitions=16)
-    return i.spark.read.parquet(path).where((F.col("year") == SERVE_YEAR) & (F.col("origin_state") == SERVE_STATE))
+    return i.gold_flows.where((F.col("year") == i.latest_year) & (F.col("origin_state") == SERVE_STATE)).select(*gold.LANE_FLOW_COLUMNS)
 
 
 # ------------------------------------------------------------------ serving
@@ -549,7 +543,7 @@ def q_gold_layout_read(i: Inputs) -> DataFrame:
 @register("serve_category_series")
 def q_serve_category_series(i: Inputs) -> DataFrame:
     """Tonnage per commodity category and year at mid-year."""
-    return serve.category_series(gold.commodity_trends(i.flows()))
+    return serve.category_series(gold.commodity_trends(i.gold_flows))
 
 
 @register("serve_scorecard")
@@ -560,15 +554,15 @@ def q_serve_scorecard(i: Inputs) -> DataFrame:
 
 @register("serve_mode_share_top")
 def q_serve_mode_share_top(i: Inputs) -> DataFrame:
-    """D3: mode share pivot of the 5 largest cross-zone corridors of the serving year."""
-    ms = gold.mode_share(i.flows(), analogue.DECLINE_MODE_NAME)
-    return serve.mode_share_top(ms, SERVE_YEAR, SERVE_TONNAGE_FLOOR, [m for _, m, _ in analogue.MODE_SEED])
+    """D3: mode share pivot of the 5 largest cross-zone corridors of the newest year of the stored mart."""
+    ms = gold.mode_share(i.gold_flows, analogue.DECLINE_MODE_NAME)
+    return serve.mode_share_top(ms, i.latest_year, SERVE_TONNAGE_FLOOR, [m for _, m, _ in analogue.MODE_SEED])
 
 
 @register("serve_state_lanes")
 def q_serve_state_lanes(i: Inputs) -> DataFrame:
     """Top 15 corridor x category flows from one origin state."""
-    return serve.state_lanes(i.flows(), SERVE_YEAR, SERVE_STATE)
+    return serve.state_lanes(i.gold_flows, i.latest_year, SERVE_STATE)
 
 
 @register("serve_indicator_series")
@@ -586,5 +580,4 @@ def q_serve_anomaly_events(i: Inputs) -> DataFrame:
 @register("serve_growth_bands")
 def q_serve_growth_bands(i: Inputs) -> DataFrame:
     """Growth banded into display classes."""
-    f = i.flows().select(*gold.LANE_KEYS, "year", "yoy_growth_pct")
-    return serve.growth_bands(f)
+    return serve.growth_bands(i.gold_flows.select(*gold.LANE_KEYS, "year", "yoy_growth_pct"))

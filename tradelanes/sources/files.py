@@ -29,19 +29,14 @@ def read_landed_csv(spark: SparkSession, path: str, schema: T.StructType, glob:
     return r.csv(path)
 
 
-def load_dim(spark: SparkSession, path: str, schema: T.StructType | str, max_rows: int | None = None) -> DataFrame:
+def load_dim(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A seed dimension from CSV with a header and a declared schema.
 
     No ``nullValue`` is set, so literal text such as ``NA`` (a state code)
-    stays text; only empty fields are NULL.  With ``max_rows`` the seed is
-    counted (at most ``max_rows + 1`` rows read) and broadcast-hinted when it
-    fits, so joins to it never shuffle the fact side.
+    stays text; only empty fields are NULL.  Joins broadcast it if its files are small.
     """
-    dim = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-           .option("mode", "FAILFAST").csv(path))
-    if max_rows is not None and dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
 
 
 def file_headers(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
@@ -61,21 +56,35 @@ def file_headers(spark: SparkSession, path: str, glob: str | None = None, recurs
                             F.col("_metadata.file_block_start").alias("block_start"),
                             F.monotonically_increasing_id().alias("_id"))
     first = t.where(F.col("block_start") == 0).groupBy("file_path").agg(F.min_by("value", "_id").alias("header"))
-    return first
+    # From the listing, which Spark's scan of empty files leaves out: a file without any line has a null header
+    listed = spark.read.format("binaryFile")
+    if glob:
+        listed = listed.option("pathGlobFilter", glob)
+    if recursive:
+        listed = listed.option("recursiveFileLookup", True)
+    names = spark.createDataFrame([(f,) for f in listed.load(path).inputFiles()], "file_path string")
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    return (names.select(plain("file_path").alias("file_path"))
+            .join(first.select(plain("file_path").alias("file_path"), "header"), "file_path", "left"))
 
 
-def contract_report(spark: SparkSession, path: str, required: Sequence[str], glob: str | None = None) -> DataFrame:
+def contract_report(spark: SparkSession, path: str, required: Sequence[str], glob: str | None = None,
+                    case_sensitive: bool = False) -> DataFrame:
     """S3: one row per landed file and missing required column (NULL when none
-    is missing).  Subset check, case-sensitive, extra columns allowed."""
-    h = file_headers(spark, path, glob)
-    names = F.transform(F.split("header", ","), lambda x: F.regexp_replace(F.trim(x), '^"|"$', ""))
-    req = F.array(*[F.lit(c) for c in required])
-    return h.select("file_path", F.explode_outer(F.array_except(req, names)).alias("missing_column"))
+    is missing; all of them for an empty file).  Subset check, extra columns allowed."""
+    fold = (lambda c: c) if case_sensitive else F.lower
+    names = F.split("header", ',(?=(?:[^"]*"[^"]*")*[^"]*$)')  # commas outside quotes
+    names = F.transform(names, lambda x: fold(F.regexp_replace(F.trim(x), '^"|"$', "")))
+    have = F.coalesce(names, F.array().cast("array<string>"))
+    need = F.array(*[F.lit(c) for c in required])
+    missing = F.filter(need, lambda c: ~F.array_contains(have, fold(c)))
+    return file_headers(spark, path, glob).select("file_path", F.explode_outer(missing).alias("missing_column"))
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """S3 for one frame: fail at plan time if a required column is absent."""
-    missing = [c for c in required if c not in df.columns]
+    """S3 for one frame: fail at plan time if a required column is absent (names compare without case)."""
+    have = {c.lower() for c in df.columns}
+    missing = [c for c in required if c.lower() not in have]
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     return df
@@ -85,7 +94,8 @@ def land(df: DataFrame, base: str, source: str, partition_cols: Sequence[str] =
          fmt: str = "csv", mode: str = "append") -> str:
     """Write arriving rows under ``source=/year=/month=`` folders, kept as
     received (CSV with a header by default)."""
-    w = (df.withColumn("source", F.lit(source)).write.mode(mode)
+    # Rows of a folder meet in few tasks, so there are few files; a large folder is split again
+    w = (df.withColumn("source", F.lit(source)).hint("rebalance", *[F.col(c) for c in partition_cols]).write.mode(mode)
          .partitionBy("source", *partition_cols))
     if fmt == "csv":
         w.option("header", True).csv(base)
@@ -100,7 +110,8 @@ def refresh(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: s
     partition overwrite), so reloading one month keeps every other month."""
     w = df.write.mode("overwrite")
     if partition_cols:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
+        w = (df.hint("rebalance", *[F.col(c) for c in partition_cols]).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols))
     w.format(fmt).save(path)
     return path
 
@@ -120,7 +131,7 @@ def materialize(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def write_gold_flows(flows: DataFrame, path: str, partitions: int = 64,
+def write_gold_flows(flows: DataFrame, path: str,
                      sort_cols: Sequence[str] = ("origin_state", "commodity_category"),
                      max_records_per_file: int = 5_000_000) -> str:
     """Read-optimised layout of the big mart.
@@ -131,7 +142,7 @@ def write_gold_flows(flows: DataFrame, path: str, partitions: int = 64,
     (year, sort columns) spreads one large year over many tasks instead of
     one task per year.
     """
-    (flows.repartitionByRange(partitions, "year", *sort_cols)
+    (flows.repartitionByRange("year", *sort_cols)
      .sortWithinPartitions("year", *sort_cols)
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("year").parquet(path))

@@ -7,11 +7,11 @@ writers never overwrite each other - unlike a read-modify-write JSON list.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.operators.enrich import checked_broadcast
 from tradelanes.sources.schemas import MANIFEST_SCHEMA
 
 
@@ -21,24 +21,52 @@ def content_hash(content: str | Column) -> Column:
     return F.sha2(c, 256)
 
 
-def changed_items(arrivals: DataFrame, manifest: DataFrame, source: str = "source", sha: str = "sha256") -> DataFrame:
-    """Arrivals whose content hash is not yet recorded for the same source.
+def newest_records(recorded: DataFrame, item: Sequence[str] = ("source", "path"), version: str = "timestamp") -> DataFrame:
+    """The newest recorded hash of every item: the largest ``version``, of equal ones the largest hash."""
+    newest = F.max(F.struct(F.col(version).alias("version"), F.col("sha256").alias("sha256")))
+    return recorded.groupBy(*item).agg(newest.alias("newest")).select(*item, F.col("newest.sha256").alias("newest_sha256"))
 
-    ``arrivals`` must carry ``source`` and ``sha256``.  The recorded pairs are
-    de-duplicated and broadcast only behind a size check; otherwise it is a
-    shuffled anti join on (source, sha256).
-    """
-    seen = manifest.select(source, sha).distinct()
-    return arrivals.join(checked_broadcast(seen), on=[source, sha], how="left_anti")
 
+def changed_items(arrivals: DataFrame, recorded: DataFrame, item: Sequence[str] = ("source", "path"),
+                  version: str = "timestamp") -> DataFrame:
+    """Arrivals whose hash differs from the newest one recorded for the same item, or that are not recorded.
 
-def manifest_records(items: DataFrame, skipped: Column, timestamp: str | None = None) -> DataFrame:
-    """Shape items (with source, source_url, filename, path, row_count,
-    sha256) into manifest records with the run timestamp (ISO, UTC)."""
+    Only the newest record counts, so content that comes back after a change (A, B, A) is a change.  Null item
+    columns are equal to each other; an arrival or record without a hash differs from one with a hash."""
+    newest = newest_records(recorded, item, version).select(*[F.col(c).alias(f"_{c}") for c in item], "newest_sha256", F.lit(True).alias("_known"))
+    same_item = F.lit(True)
+    for c in item:
+        same_item = same_item & arrivals[c].eqNullSafe(F.col(f"_{c}"))
+    joined = arrivals.join(newest, same_item, "left")
+    return joined.where(F.col("_known").isNull() | ~F.col("sha256").eqNullSafe(F.col("newest_sha256"))).select(*arrivals.columns)
+
+
+NO_HASH = "no content hash"
+
+
+def ingest(batch: DataFrame, recorded: DataFrame | None, order: str) -> DataFrame:
+    """Manifest records of one run.  An item is skipped if its (source, sha256) was recorded before or came
+    earlier (by ``order``) in the same run; an item without a hash is skipped with a reason, so no item is lost."""
+    first = batch.groupBy("source", "sha256").agg(F.min(order).alias("_first")).select(F.col("source").alias("_source"), F.col("sha256").alias("_sha256"), "_first")
+    same = F.col("source").eqNullSafe(F.col("_source")) & F.col("sha256").eqNullSafe(F.col("_sha256"))
+    rows = batch.join(first, same).drop("_source", "_sha256")
+    skipped = F.col(order) != F.col("_first")
+    if recorded is not None:
+        seen = recorded.where("sha256 is not null").select(F.col("source").alias("_source"), F.col("sha256").alias("_sha256"), F.lit(True).alias("_seen")).distinct()
+        rows = rows.join(seen, same, "left")
+        skipped = skipped | F.coalesce("_seen", F.lit(False))
+    reason = F.when(F.col("sha256").isNull(), NO_HASH)
+    return manifest_records(rows, skipped | reason.isNotNull(), reason)
+
+
+def manifest_records(items: DataFrame, skipped: Column, reason: Column | None = None, timestamp: str | None = None) -> DataFrame:
+    """Shape items (with source, source_url, filename, path, row_count, sha256) into manifest records with the
+    run timestamp (ISO, UTC) and the reason an item was refused, if any."""
     ts = timestamp or dt.datetime.now(dt.timezone.utc).isoformat()
     return items.select(
         F.col("source"), F.col("source_url"), F.col("filename"), F.col("path"), F.lit(ts).alias("timestamp"),
-        F.col("row_count").cast("long").alias("row_count"), F.col("sha256"), skipped.alias("skipped"))
+        F.col("row_count").cast("long").alias("row_count"), F.col("sha256"), skipped.alias("skipped"),
+        (reason if reason is not None else F.lit(None).cast("string")).alias("reason"))
 
 
 def append_manifest(records: DataFrame, path: str) -> None:
@@ -47,10 +75,3 @@ def append_manifest(records: DataFrame, path: str) -> None:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-
-
-def newest_per_source(manifest: DataFrame) -> DataFrame:
-    """The newest recorded hash of every source (compare against this, not
-    against an object named after the current month)."""
-    return manifest.groupBy("source").agg(F.max_by("sha256", "timestamp").alias("sha256"),
-                                          F.max("timestamp").alias("timestamp"))

@@ -1,5 +1,5 @@
 """Declared schemas: raw (bronze) tables are all text, as landed; the
-manifest has eight typed columns."""
+manifest has typed columns."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ def raw_shipments_schema(years: Sequence[int]) -> T.StructType:
     return text_schema(keys + [f"{m}_{y}" for m in ("tons", "value", "tmiles") for y in years])
 
 
+# Columns of the landed monthly trade and indicator files.
 RAW_TRADE_COLUMNS = ["trdtype", "usastate", "commodity2", "disagmot", "mexstate", "canprov", "country", "value",
                      "shipwt", "freight_charges", "df", "contcode", "month", "year"]
 RAW_TRADE_SCHEMA = text_schema(RAW_TRADE_COLUMNS)
@@ -26,20 +27,29 @@ RAW_INDICATOR_COLUMNS = ["obs_date", "tsi_freight", "tsi_freight_c", "vmt", "rai
                          "rail_frt_intermodal", "petroleum", "natural_gas", "waterborne", "inv_to_sales", "ind_pro"]
 RAW_INDICATOR_SCHEMA = text_schema(RAW_INDICATOR_COLUMNS)
 
-# Required columns of the arriving monthly trade file of the analogue
-# (the contract is a subset check: extra columns are allowed, names are case-sensitive).
-REQUIRED_TRADE_COLUMNS = ["trdtype", "usastate", "commodity2", "disagmot", "country", "value", "shipwt", "month",
-                          "year"]
+# Required columns of the arriving files (a subset check: extra columns are allowed, names
+# compare without case, as headers arrive in either case).
+REQUIRED_SHIPMENT_COLUMNS = ["fr_orig", "dms_orig", "dms_dest", "fr_dest", "dms_mode", "sctg2", "trade_type"]
+REQUIRED_TRADE_COLUMNS = ["TRDTYPE", "USASTATE", "COMMODITY2", "DISAGMOT", "COUNTRY", "VALUE", "SHIPWT", "MONTH", "YEAR"]
+REQUIRED_INDICATOR_COLUMNS = ["OBS_DATE", "TSI_Freight", "VMT", "RAIL_FRT_CARLOADS", "PETROLEUM", "WATERBORNE", "INV_TO_SALES"]
+
+
+def required_shipment_columns(years: Sequence[int]) -> list[str]:
+    """The keys, and every measure of the first and the last year that the file covers."""
+    ends = sorted({years[0], years[-1]}) if years else []
+    return REQUIRED_SHIPMENT_COLUMNS + [f"{m}_{y}" for m in ("tons", "value", "tmiles") for y in ends]
+
 
 MANIFEST_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType(), False),
+    T.StructField("source", T.StringType(), True),
     T.StructField("source_url", T.StringType(), True),
     T.StructField("filename", T.StringType(), True),
     T.StructField("path", T.StringType(), True),
     T.StructField("timestamp", T.StringType(), True),
     T.StructField("row_count", T.LongType(), True),
-    T.StructField("sha256", T.StringType(), False),
+    T.StructField("sha256", T.StringType(), True),
     T.StructField("skipped", T.BooleanType(), False),
+    T.StructField("reason", T.StringType(), True),
 ])
 
 # Declared schemas of the driver tables the analogue reads.  A declared schema
