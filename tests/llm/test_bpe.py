@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from odd_inputs import no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm import bpe
 from tradelanes.llm.queries import vocabulary_path
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import pytest
 
+from odd_inputs import make_docs, no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm import contamination
 
 ITEMS = [

@@ -6,6 +6,8 @@ import hashlib
 import random
 from collections import Counter
 
+from odd_inputs import make_docs, no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm import matching
 
 

@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 from conftest import SF_SMALL
 
+from odd_inputs import no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm import language, quality, toxicity
 from tradelanes.llm.queries import op8_language
 

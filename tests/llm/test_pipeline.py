@@ -11,6 +11,8 @@ from test_lines import plain as plain_lines
 from test_simhash import plain_fingerprint, plain_roots
 from tokenizers import Tokenizer
 
+from odd_inputs import no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm.queries import MIN_SITES, vocabulary_path
 from tradelanes.session import stored
 

@@ -7,6 +7,8 @@ import random
 import re
 import string
 
+from odd_inputs import make_docs, no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm import secrets
 
 either = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)

@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from odd_inputs import make_docs, no_docs, odd_docs  # noqa: F401
+
 from tradelanes.llm import simhash
 from tradelanes.llm.common import components
 
