@@ -3,10 +3,10 @@
 Tokens that no pattern covers are tested against the uniform distribution over the alphabet of
 their inferred encoding: chi-squared of the symbol counts, runs above and below the middle of the
 alphabet, and lag-one serial correlation.  The three p-values are combined (Bonferroni).  For random
-tokens the combined value spreads over (0, 1); for words, paths and numbers it piles up at 0.  So
-within each stratum of encoding and length the share of ordinary tokens among those above a
-cut can be estimated from the top half of the values, and the cut is the lowest one that keeps this
-share, the false discovery rate, under a target.  Each encoding has a least length: below it the
+tokens the combined value spreads over (0, 1) in a known way; for words, paths and numbers it piles up at 0.
+So within each stratum of encoding and length the number of random tokens can be estimated from the higher
+values, and the cut is the lowest one above which the share of ordinary tokens, the false discovery rate, stays
+under a target; a token that fails the tests by itself is out in any case.  Each encoding has a least length: below it the
 chi-squared test could not tell its text from noise.
 """
 
@@ -46,6 +46,8 @@ ENCODINGS = [
 TEXT_COINCIDENCE = 0.065  # chance that two letters of ordinary text are the same (published for English)
 POWER = 4.0  # standard deviations by which ordinary text has to miss the chi-squared mean
 BINS = 20  # of the combined p-value
+FAILED = 0.01  # p-value under which a token is not random, however few such tokens its stratum has
+SURE = 5  # bin from which tokens are taken for random ones when these are counted
 
 
 def least_length(size: int) -> int:
@@ -125,8 +127,9 @@ def cuts(tested: DataFrame, rate: float) -> DataFrame:
     up = Window.partitionBy("encoding", "band").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("encoding", "band")
     above = counts.select("encoding", "band", "bin", F.sum("n").over(up).alias("above"),
-                          (2 * F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(whole)).alias("random"))
-    wrong = 1 - F.col("random") * (1 - F.col("bin") / BINS) / F.col("above")
+                          (F.sum(F.when(F.col("bin") >= SURE, F.col("n")).otherwise(0)).over(whole) / (1 - SURE / BINS / 3) ** 3).alias("random"))
+    # The least of three p-values, times three, is above b in (1 - b / 3) ** 3 of the random tokens
+    wrong = 1 - F.col("random") * F.pow(1 - F.col("bin") / BINS / 3, 3) / F.col("above")
     return above.where(wrong <= rate).groupBy("encoding", "band").agg(F.min("bin").alias("cut"))
 
 
@@ -151,7 +154,7 @@ def scan(docs: DataFrame, rate: float = 0.05, id_col: str = "doc_id", text_col:
             .where("match is not null and (left is null or left <= start) and (right is null or right >= end)").drop("left", "right"))
     tested = stored(battery(free), "tested_tokens")
     # The cuts are at most a few hundred rows, whatever the input
-    added = (tested.join(F.broadcast(cuts(tested, rate)), ["encoding", "band"]).where(F.col("p") * BINS >= F.col("cut"))
+    added = (tested.join(F.broadcast(cuts(tested, rate)), ["encoding", "band"]).where((F.col("p") * BINS >= F.col("cut")) & (F.col("p") >= FAILED))
              .select("doc_id", "key", "kind", "start", "end"))
     rank = F.array_position(F.array(*[F.lit(k) for k in (*PATTERNS, RANDOM)]), F.col("kind"))
     return (base.unionByName(added)
