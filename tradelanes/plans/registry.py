@@ -27,7 +27,7 @@ from tradelanes.operators.ranking import (
     rank_within,
     top_ranked,
 )
-from tradelanes.plans import analogue, gold, serve, silver
+from tradelanes.plans import analogue, chain, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
 from tradelanes.session import scratch_path, stored
 from tradelanes.sources import files, manifest, schemas
@@ -581,3 +581,17 @@ def q_serve_anomaly_events(i: Inputs) -> DataFrame:
 def q_serve_growth_bands(i: Inputs) -> DataFrame:
     """Growth banded into display classes."""
     return serve.growth_bands(i.gold_flows.select(*gold.LANE_KEYS, "year", "yoy_growth_pct"))
+
+
+# ------------------------------------------------------------------ the chain of layers
+
+@register("chain_lane_flows")
+def q_chain_lane_flows(i: Inputs) -> DataFrame:
+    """G1 at the end of the chain: landed CSV -> B1 -> B2 -> G1, with contracts and gates between."""
+    return chain.run(i)["lane_flows"]
+
+
+@register("chain_commodity_trends")
+def q_chain_commodity_trends(i: Inputs) -> DataFrame:
+    """G2 from the chain's stored G1."""
+    return chain.run(i)["commodity_trends"]
