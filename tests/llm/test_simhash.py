@@ -51,6 +51,18 @@ def test_fingerprint_is_the_contracts(text):
     assert simhash.fingerprint(text) % 2**64 == plain_fingerprint(text)
 
 
+def test_blocks_keep_every_pair():
+    """Codes that differ in at most k bits agree on one of the k + 1 blocks of the free bits, or the node is not split."""
+    for free in range(6):
+        mask = (1 << 64) - (1 << free)
+        kids = simhash._blocks(mask, 3)
+        for a in range(1 << free):
+            for bits in ((0, 0), *((i, j) for i in range(free) for j in range(i + 1))):
+                b = a ^ (1 << bits[0] | 1 << bits[1] if free else 0)
+                assert not kids or any(a & k & ~mask == b & k & ~mask for k in kids)
+        assert bool(kids) == (free >= 3)
+
+
 def clustered(rng, groups, size, flips):
     out = set()
     for _ in range(groups):
@@ -72,11 +84,12 @@ def test_tree_search_finds_all_pairs(most):
     assert len(q) == near.sum()
 
 
-@pytest.mark.parametrize("most,node_size", [(2, 4096), (2, 16)])
+@pytest.mark.parametrize("most,node_size", [(2, 4096), (2, 64)])
 def test_links_connect_as_all_pairs_do(spark, most, node_size):
-    """Small nodes force every level of the index to be split."""
+    """Small nodes force the index to be split below its first level."""
     rng = random.Random(node_size)
-    dense = {(0xABCDEF << 40) | rng.getrandbits(8) for _ in range(60)}  # one node that has to be split again and again
+    varying = rng.sample(range(64), 13)
+    dense = {(0xABCDEF << 20) ^ sum(1 << b for b in varying if rng.random() < 0.5) for _ in range(1500)}
     codes = sorted(set(clustered(rng, 20, 10, 3)) | dense)
     signed = [c - 2**64 if c >> 63 else c for c in codes]
     links = simhash.close_links(spark.createDataFrame([(c,) for c in signed], "fp long"), "fp", most, node_size)

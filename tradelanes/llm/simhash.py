@@ -73,10 +73,13 @@ def _signed(value: int) -> int:
 
 
 def _blocks(mask: int, parts: int) -> list[int]:
-    """The mask widened by each of ``parts`` blocks of its free bits (as unsigned numbers)."""
+    """The mask widened by each of ``parts`` blocks of its free bits (as unsigned numbers).  None with fewer free
+    bits than blocks: codes could then differ in every block; such a node has few members anyway."""
     free = [i for i in range(BITS - 1, -1, -1) if not mask >> i & 1]
+    if len(free) < parts:
+        return []
     cut = [round(k * len(free) / parts) for k in range(parts + 1)]
-    return [mask | sum(1 << i for i in free[s:e]) for s, e in zip(cut, cut[1:]) if e > s]
+    return [mask | sum(1 << i for i in free[s:e]) for s, e in zip(cut, cut[1:])]
 
 
 class GrayTree:
@@ -185,13 +188,15 @@ def close_links(codes: DataFrame, column: str = "fp", most: int = 2, node_size:
         close = (leaves.repartition("mask", "pattern")
                  .sortWithinPartitions("mask", "pattern", gray_rank(F.col("fp")).bitwiseXOR(F.lit(-(1 << 63))))
                  .select("mask", "pattern", "fp").mapInArrow(_links(most), "a long, b long"))
+        if any_large:
+            close = stored(close, "close_links")
         found = close if found is None else found.unionByName(close)
         if not any_large:
             return found
         # (most + 1) ** depth rows at most, from the masks alone
         children = spark.createDataFrame([(_signed(m), _signed(k)) for m, kids in split for k in kids], "mask long, child long")
-        dealt = (dealt.join(large, ["mask", "pattern"], "left_semi").join(F.broadcast(children), "mask")
-                 .select("fp", F.col("child").alias("mask")))
+        dealt = stored(dealt.join(large, ["mask", "pattern"], "left_semi").join(F.broadcast(children), "mask")
+                       .select("fp", F.col("child").alias("mask")), "dealt")
         level = [k for _, kids in split for k in kids]
 
 
