@@ -40,28 +40,63 @@ def _usual(share: float, usual: tuple, odd: tuple, enough: bool) -> int:
     return NONE if not enough else GOOD if usual[0] <= share <= usual[1] else BAD if not odd[0] <= share <= odd[1] else NONE
 
 
+class Words(dict):
+    """Word -> row of what is known of it, filled as words are met; one for each Python worker.
+
+    ``facts`` has for each word its letters, upper-case letters, letters and digits, characters, and whether it has no
+    letter or digit, ends in symbols, ends a sentence and is short; ``shape`` the number of its shape."""
+
+    def __init__(self, room: int = 1 << 19):
+        super().__init__()
+        self.room, self.shapes = room, {}
+        self.facts, self.shape = np.zeros((4096, 8)), np.zeros(4096, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        if row == len(self.shape):
+            self.facts = np.concatenate((self.facts, np.zeros_like(self.facts)))
+            self.shape = np.concatenate((self.shape, np.zeros_like(self.shape)))
+        # Most words are letters and at most one mark behind them; the others are taken character by character.
+        mark = word[-1] if word[-1] in ".,;:!?" else ""
+        bare = word[:-1] if mark else word
+        upper = 0 if bare.islower() else 1 if bare[:1].isupper() and (len(bare) == 1 or bare[1:].islower()) else None
+        if upper is not None and bare.isalpha():
+            self.facts[row] = len(bare), upper, len(bare), len(word), 0, 0, mark in (".", "!", "?"), len(word) <= 3
+            name = ("" if not upper else "A" if len(bare) == 1 else "Aa") or "a"
+            name += mark if len(bare) < 64 else ""
+        else:
+            alnum = sum(map(str.isalnum, word))
+            self.facts[row] = (sum(map(str.isalpha, word)), sum(map(str.isupper, word)), alnum, len(word), alnum == 0,
+                               SYMBOLS.search(word) is not None, END.search(word) is not None, len(word) <= 3 and alnum > 0)
+            name = shape(word)
+        self.shape[row] = self.shapes.setdefault(name, len(self.shapes))
+        return row
+
+    def rows(self, text: str) -> np.ndarray:
+        words = text.split()
+        if len(self) + len(words) > self.room:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+_WORDS = Words()
+
+
 def votes(text: str | None) -> list[int]:
     """What each labeller says of a text."""
-    text = text or ""
-    words = text.split()
-    n = len(words)
+    rows = _WORDS.rows(text or "")
+    n = len(rows)
     if not n:
         return [NONE] * LABELLERS
-    letters = sum(map(str.isalpha, text))
-    upper = sum(map(str.isupper, text))
-    printed = sum(map(len, words))
-    wordless = sum(not any(map(str.isalnum, w)) for w in words)
-    marked = sum(SYMBOLS.search(w) is not None for w in words)
-    again = sum(a == b for a, b in zip(words, words[1:]))
-    ends = sum(END.search(w) is not None for w in words)
-    short = sum(len(w) <= 3 and any(map(str.isalnum, w)) for w in words)
-    alnum = sum(map(str.isalnum, text))
+    letters, upper, alnum, printed, wordless, marked, ends, short = _WORDS.facts[rows].sum(0).tolist()
+    again = int((rows[1:] == rows[:-1]).sum())
+    distinct = len(np.unique(rows))
     return [
         _defect(again / n, 0.25, n >= 10),  # the same word again and again
         _defect(marked / n, 0.25, n >= 5),  # words that end in strings of symbols
         _defect(upper / max(1, letters), 0.60, letters >= 20),  # shouting
         _defect(wordless / n, 0.15, n >= 5),  # separators between words, as in tables and menus
-        _defect(1 - len(set(words)) / n, 0.90, 30 <= n <= 2000),  # few distinct words
+        _defect(1 - distinct / n, 0.90, 30 <= n <= 2000),  # few distinct words
         _defect(1 - alnum / max(1, printed), 0.20, printed >= 20),  # few letters and digits
         _usual(n / max(1, ends), (2, 40), (1.2, 80), n >= 20),  # words in a sentence
         _usual(short / n, (0.10, 0.75), (0.03, 0.90), n >= 30),  # function words
@@ -107,48 +142,54 @@ def shape(word: str) -> str:
     return "".join(k + ("+" if len(list(run)) > 1 and k not in "aA9" else "") for k, run in groupby(kinds))
 
 
-class Hasher:
-    """Hashed features of a text: shares of word shapes, of neighbouring shapes and of repeated words."""
-
-    def __init__(self, remember: int = 300_000):
-        self.remember, self.shapes, self.slots = remember, {}, {}
-
-    def slot(self, feature: str) -> tuple[int, int]:
-        if feature not in self.slots:
-            if len(self.slots) > self.remember:
-                self.slots = {}
-            h = xxhash.xxh64_intdigest(feature.encode())
-            self.slots[feature] = h % BUCKETS, 1 if h >> 63 else -1
-        return self.slots[feature]
-
-    def features(self, text: str | None) -> np.ndarray:
-        words = (text or "").split()
-        out = np.zeros(BUCKETS)
-        if not words:
-            return out
-        if len(self.shapes) > self.remember:
-            self.shapes = {}
-        shapes = []
-        for w in words:
-            s = self.shapes.get(w)
-            if s is None:
-                s = self.shapes[w] = shape(w)
-            shapes.append(s)
-        names, n = pd.Series(shapes).value_counts(), len(words)
-        parts = [(f"1 {s}", c) for s, c in zip(names.index, names)]
-        pairs: dict = {}
-        for p in zip(shapes, shapes[1:]):
-            pairs[p] = pairs.get(p, 0) + 1
-        parts += [(f"2 {a} {b}", c) for (a, b), c in pairs.items()]
-        parts.append(("again", sum(a == b for a, b in zip(words, words[1:]))))
-        parts.append(("distinct", len(set(words))))
-        for name, c in parts:
-            at, sign = self.slot(name)
-            out[at] += sign * c / n
-        return out
+class Slots(dict):
+    """Number of a shape, or of a pair of neighbouring shapes -> bucket and sign of its feature."""
+
+    def __init__(self, room: int = 1 << 18):
+        super().__init__()
+        self.room = room
+
+    def of(self, keys: np.ndarray, names) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > self.room:
+            self.clear()
+        found = []
+        for key in keys.tolist():
+            if (slot := self.get(key)) is None:
+                h = xxhash.xxh64_intdigest(names(key).encode())
+                slot = self[key] = h % BUCKETS, 1 if h >> 63 else -1
+            found.append(slot)
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
 
-_HASHER = Hasher()  # of this Python worker
+_SHAPES, _PAIRS = Slots(), Slots()  # of this Python worker, by the shape numbers of _WORDS
+_MORE = 1 << 31  # over any number of shapes
+
+
+def features(text: str | None) -> np.ndarray:
+    """Hashed features of a text: shares of word shapes, of neighbouring shapes, of repeated and of distinct words."""
+    rows = _WORDS.rows(text or "")
+    out, n = np.zeros(BUCKETS), len(rows)
+    if not n:
+        return out
+    if len(_WORDS.shapes) > _WORDS.room:  # shape numbers start anew
+        for kept in (_WORDS, _WORDS.shapes, _SHAPES, _PAIRS):
+            kept.clear()
+        rows = _WORDS.rows(text)
+    shapes = _WORDS.shape[rows]
+    if len(_NAMES) != len(_WORDS.shapes):
+        _NAMES[:] = _WORDS.shapes
+    pairs = shapes[:-1] * _MORE + shapes[1:]
+    for keys, slots, name in ((shapes, _SHAPES, lambda k: f"1 {_NAMES[k]}"), (pairs, _PAIRS, lambda k: f"2 {_NAMES[k // _MORE]} {_NAMES[k % _MORE]}")):
+        distinct, counts = np.unique(keys, return_counts=True)
+        at, sign = slots.of(distinct, name)
+        np.add.at(out, at, sign * counts / n)
+    at, sign = _SHAPES.of(np.array([-1, -2]), lambda k: f"again {k}")
+    np.add.at(out, at, sign * [(rows[1:] == rows[:-1]).sum() / n, len(np.unique(rows)) / n])
+    return out
+
+
+_NAMES: list[str] = []  # shapes by number
 
 
 class Scorer:
@@ -162,7 +203,7 @@ class Scorer:
         n = len((text or "").split())
         if not n:
             return 0.0
-        x = (_HASHER.features(text) - self.centre) * min(1.0, n / FULL)
+        x = (features(text) - self.centre) * min(1.0, n / FULL)
         return float(1 / (1 + np.exp(-np.clip(x @ self.weights + self.base, -30, 30))))
 
 
@@ -208,12 +249,12 @@ def train(docs: DataFrame, rows_each: int = ROWS, seed: int = 3, id_col: str = "
     chosen = labelled.where(F.col("draw") <= F.when(F.col("p") >= 0.5, limit(True)).otherwise(limit(False))).groupBy("draw").agg(F.first("p").alias("p"))
     few = docs.select(drawn.alias("draw"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "draw").dropDuplicates(["draw"])
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [_HASHER.features(t).astype(np.float32) for t in batch.column(0).to_pylist()]
+            x = [features(t).astype(np.float32) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary()), batch.column(1)], ["x", "p"])
 
-    sample = few.select("text", "p").mapInArrow(features, "x binary, p double").collect()
+    sample = few.select("text", "p").mapInArrow(hashed, "x binary, p double").collect()
     x = np.array([np.frombuffer(r.x, np.float32) for r in sample]).astype(float)
     p = np.array([r.p for r in sample])
     good = p >= 0.5
