@@ -208,16 +208,16 @@ class Scorer:
 
 
 def fit(x: np.ndarray, p: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, rounds: int = 400) -> Scorer:
-    """Logistic regression on probabilities as labels, by gradient steps with momentum (Nesterov)."""
-    weight = weight / weight.sum()
+    """Logistic regression on probabilities as labels, by gradient steps with momentum (Nesterov).  Centres ``x`` in place."""
+    weight = (weight / weight.sum()).astype(x.dtype)
     centre = weight @ x
-    x = x - centre
+    x -= centre
     w, b = np.zeros(x.shape[1]), 0.0
     rate = 4 / (np.einsum("nd,nd,n->", x, x, weight) + 1 + ridge)
     vw, vb = w.copy(), b
     for k in range(rounds):
-        error = weight * (1 / (1 + np.exp(-np.clip(x @ vw + vb, -30, 30))) - p)
-        nw, nb = vw - rate * (x.T @ error + ridge * vw), vb - rate * error.sum()
+        error = weight * (1 / (1 + np.exp(-np.clip(x @ vw.astype(x.dtype) + vb, -30, 30))) - p)
+        nw, nb = vw - rate * (x.T @ error.astype(x.dtype) + ridge * vw), vb - rate * error.sum()
         vw, vb = nw + k / (k + 3) * (nw - w), nb + k / (k + 3) * (nb - b)
         w, b = nw, nb
     return Scorer(w, b, centre)
@@ -255,8 +255,9 @@ def train(docs: DataFrame, rows_each: int = ROWS, seed: int = 3, id_col: str = "
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary()), batch.column(1)], ["x", "p"])
 
     sample = few.select("text", "p").mapInArrow(hashed, "x binary, p double").collect()
-    x = np.array([np.frombuffer(r.x, np.float32) for r in sample]).astype(float)
+    x = np.array([np.frombuffer(r.x, np.float32) for r in sample]).reshape(-1, BUCKETS)
     p = np.array([r.p for r in sample])
+    del sample
     good = p >= 0.5
     weight = np.where(good, shares[True] / max(1, good.sum()), shares[False] / max(1, (~good).sum()))
     return fit(x, p, weight)
