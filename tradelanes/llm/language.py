@@ -43,7 +43,8 @@ class Model:
     def __init__(self, languages: list[str], counts: dict[int, tuple[list[str], np.ndarray]], totals: dict[int, np.ndarray], remember: int = 300_000):
         """``counts`` has for words (0) and each n-gram length the entries and a row of counts by language for each;
         ``totals`` the counts of all words or n-grams, known or not, by language."""
-        self.languages, self.remember, self.scores = languages, remember, {}
+        self.languages, self.remember = languages, remember
+        self.seen = None  # scores of the words met so far, in the worker that meets them
         self.row, self.logs, self.floor = {}, {}, {}
         for n, (entries, found) in counts.items():
             # Add-half smoothing: an entry of one language leaves a little for the others
@@ -64,41 +65,83 @@ class Model:
         """Mean over the word's n-grams; n-grams that are not known go to the next shorter length."""
         n = GRAMS[step]
         parts = grams(word, n)
+        shorter = step + 1 < len(GRAMS)
         if not parts:
-            return BACK + self.backoff(word, step + 1) if step + 1 < len(GRAMS) else self.floor[GRAMS[-1]] + BACK
-        total = np.zeros(len(self.languages))
-        for part in parts:
-            known = self.known(n, part)
-            if known is None:
-                inner = part.strip("^$") or part
-                known = BACK + (self.backoff(inner, step + 1) if step + 1 < len(GRAMS) else self.floor[n])
-            total += known
+            return BACK + (self.backoff(word, step + 1) if shorter else self.floor[n])
+        rows = [self.row[n].get(p) for p in parts]
+        total = self.logs[n][[r for r in rows if r is not None]].sum(0, dtype=float)
+        for part, r in zip(parts, rows):
+            if r is None:
+                total += BACK + (self.backoff(part.strip("^$") or part, step + 1) if shorter else self.floor[n])
         return total / len(parts)
 
-    def centred(self, word: str) -> np.ndarray | None:
-        """Scores of a word less their mean, so common and rare words weigh by what they tell; None without letters."""
-        if word not in self.scores:
-            if len(self.scores) > self.remember:
-                self.scores = {}
-            s = self.word(word) if any(map(str.isalpha, word)) else None
-            self.scores[word] = None if s is None else s - s.mean()
-        return self.scores[word]
-
     def predict(self, text: str) -> tuple[str, float]:
-        total, n = np.zeros(len(self.languages)), 0
-        for word, count in Counter(words(text)).items():
-            s = self.centred(word)
-            if s is not None:
-                total += count * s
-                n += count
-        if not n or not self.languages:
+        counts = Counter(words(text))
+        if not counts or not self.languages:
+            return UNKNOWN, 0.0
+        if self.seen is None or self.seen.full(len(counts)):
+            self.seen = Seen(self, max(self.remember, len(counts)))
+        rows = self.seen.rows(counts)
+        n = np.fromiter(counts.values(), float, len(counts))
+        lettered = float(n @ self.seen.lettered[rows])
+        if not lettered:
             return UNKNOWN, 0.0
         # The evidence of a long text is that of many words that are not independent
-        total = total / max(1.0, n / 10)
+        total = n @ self.seen.scores[rows] / max(1.0, lettered / 10)
         best = int(np.argmax(total))
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
+class Grams(dict):
+    """Longest n-gram -> row of its scores, each with its way back to shorter ones walked once."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.scores = model, np.zeros((1024, len(model.languages)))
+
+    def __missing__(self, gram: str) -> int:
+        row = self[gram] = len(self)
+        if row == len(self.scores):
+            self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
+        known = self.model.known(GRAMS[0], gram)
+        self.scores[row] = known if known is not None else BACK + self.model.backoff(gram.strip("^$") or gram, 1)
+        return row
+
+
+class Seen:
+    """Scores of the words met so far, with room for a given number.
+
+    Scores are less their mean, so common and rare words weigh by what they tell; words without a letter score nothing."""
+
+    def __init__(self, model: Model, room: int):
+        self.model, self.room, self.row, self.grams = model, room, {}, Grams(model)
+        self.scores = np.zeros((room, len(model.languages)))
+        self.lettered = np.zeros(room)
+
+    def full(self, more: int) -> bool:
+        return len(self.row) + more > self.room or len(self.grams) > self.room
+
+    def rows(self, words) -> list[int]:
+        row = self.row
+        if new := [w for w in words if w not in row]:
+            at = range(len(row), len(row) + len(new))
+            row.update(zip(new, at))
+            self.lettered[at.start: at.stop] = [w.isalpha() or any(map(str.isalpha, w)) for w in new]
+            known = [self.model.row[0].get(w) for w in new]
+            scores = np.zeros((len(new), len(self.model.languages)))
+            old = [i for i, k in enumerate(known) if k is not None]
+            scores[old] = self.model.logs[0][[known[i] for i in old]]
+            fresh = [i for i, k in enumerate(known) if k is None]
+            if fresh:
+                size, grams = GRAMS[0], self.grams
+                parts = [[grams[m[j: j + size]] for j in range(max(1, len(m) - size + 1))] for m in (f"^{new[i]}$" for i in fresh)]
+                counts = np.array([len(p) for p in parts])
+                flat = grams.scores[[r for p in parts for r in p]]
+                scores[fresh] = np.add.reduceat(flat, np.concatenate(([0], np.cumsum(counts)[:-1])), axis=0) / counts[:, None]
+            self.scores[at.start: at.stop] = (scores - scores.mean(1, keepdims=True)) * self.lettered[at.start: at.stop, None]
+        return [row[w] for w in words]
+
+
 def frequent(counts: DataFrame, entries: int) -> DataFrame:
     """Rows (lang, word, n) of the words whose share of all counts is at least 1 / entries: at most ``entries`` words."""
     whole = counts.agg(F.sum("n")).first()[0] or 0
