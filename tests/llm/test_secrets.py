@@ -60,6 +60,44 @@ def test_random_tokens_are_found_and_words_are_not(make_docs):
     assert spans == {"random:5:45"}
 
 
+def of_tokens(spark, rows):
+    """Cuts of tokens (encoding, band, p) that all differ."""
+    tested = spark.createDataFrame([(e, b, f"{e}{i}", p) for i, (e, b, p) in enumerate(rows)], "encoding string, band int, match string, p double")
+    return {(r.encoding, r.band): r.cut for r in secrets.cuts(tested, 0.05).collect()}
+
+
+def p_values(rng, n):
+    """Combined p-values of n random tokens."""
+    return [min(1.0, 3 * min(rng.random() for _ in range(3))) for _ in range(n)]
+
+
+def test_few_random_tokens_are_found(spark):
+    assert of_tokens(spark, [("hex", 5, 0.52)]) == {("hex", 5): 0}  # one token, in bin 10
+    assert of_tokens(spark, [("hex", 5, 0.12)]) == {("hex", 5): 0}
+    rng = random.Random(8)
+    for n in (1, 2, 5):
+        # Many rare strata beside a common one that is random too
+        rows = [("base62", 5, p) for p in p_values(rng, 2000)] + [(f"rare{i}", 4, p) for i in range(200) for p in p_values(rng, n)]
+        cut = of_tokens(spark, rows)
+        rare = [(e, b, p) for e, b, p in rows if b == 4]
+        found = [p >= secrets.FAILED and p * secrets.BINS >= cut[e, b] for e, b, p in rare]
+        assert sum(found) >= 0.95 * len(rare), n
+
+
+def test_few_tokens_beside_many_ordinary_ones(spark):
+    rng = random.Random(9)
+    ordinary = [("lower", 5, rng.uniform(0, 0.25)) for _ in range(2000)] + [("lower", 5, 0.6)] * 5
+    cut = of_tokens(spark, ordinary + [("lower", 6, 0.52), ("lower", 9, 0.3), ("lower", 9, 0.1)])
+    assert cut == {("lower", 5): 5, ("lower", 6): 5, ("lower", 9): 5}
+
+
+def test_rare_tokens_of_a_text(make_docs):
+    rng = random.Random(12)
+    keys = ["".join(rng.choice(string.digits + "ABCDEF") for _ in range(64)) for _ in range(2)] + ["".join(rng.choice(string.ascii_lowercase) for _ in range(200))]
+    found = [r.spans for r in report(make_docs([(i, f"word {k} word", "en", "s") for i, k in enumerate(keys)]))]
+    assert found == ["random:5:69", "random:5:69", "random:5:205"]
+
+
 def test_odd_inputs(odd_docs, no_docs):
     rows = list(report(odd_docs))
     assert len(rows) == 12 and {r.base_sha256 for r in rows} == {hashlib.sha256(b"").hexdigest()}

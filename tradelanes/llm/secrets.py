@@ -6,7 +6,8 @@ alphabet, and lag-one serial correlation.  The three p-values are combined (Bonf
 tokens the combined value spreads over (0, 1) in a known way; for words, paths and numbers it piles up at 0.
 So within each stratum of encoding and length the number of random tokens can be estimated from the higher
 values, and the cut is the lowest one above which the share of ordinary tokens, the false discovery rate, stays
-under a target; a token that fails the tests by itself is out in any case.  Each encoding has a least length: below it the
+under a target; a token that fails the tests by itself is out in any case.  A stratum of few tokens is estimated together
+with its neighbours, its encoding or all tokens, so that a rare encoding or length is not lost.  Each encoding has a least length: below it the
 chi-squared test could not tell its text from noise.
 """
 
@@ -48,6 +49,8 @@ POWER = 4.0  # standard deviations by which ordinary text has to miss the chi-sq
 BINS = 20  # of the combined p-value
 FAILED = 0.01  # p-value under which a token is not random, however few such tokens its stratum has
 SURE = 5  # bin from which tokens are taken for random ones when these are counted
+THIN = 100  # tokens under which a stratum is estimated together with others
+ERRORS = 2.0  # standard errors that the estimate is given where all tokens together are so few
 
 
 def least_length(size: int) -> int:
@@ -120,17 +123,31 @@ def battery(tokens: DataFrame) -> DataFrame:
 
 
 def cuts(tested: DataFrame, rate: float) -> DataFrame:
-    """For each encoding and band the least bin of p from which the estimated share of ordinary tokens
-    is at most ``rate``.  At most one row for each encoding, band (log2 of a length) and bin."""
-    distinct = tested.select("encoding", "band", "match", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).alias("bin")).distinct()
-    counts = distinct.groupBy("encoding", "band", "bin").agg(F.count(F.lit(1)).alias("n"))
-    up = Window.partitionBy("encoding", "band").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("encoding", "band")
-    above = counts.select("encoding", "band", "bin", F.sum("n").over(up).alias("above"),
-                          (F.sum(F.when(F.col("bin") >= SURE, F.col("n")).otherwise(0)).over(whole) / (1 - SURE / BINS / 3) ** 3).alias("random"))
+    """For each encoding and band (log2 of a length) the least bin of p, at most SURE, from which the estimated share of
+    ordinary tokens is at most ``rate``.
+
+    Tokens under FAILED are out by themselves and not counted.  The estimate is taken at every bin, whether a token is in it or
+    not; at SURE it is 0 by construction.  A stratum of under THIN tokens is estimated together with the neighbouring
+    bands, where these are as few with its whole encoding, and else with all tokens.  If all tokens are under THIN, ordinary ones
+    have to exceed the rate by more than ERRORS standard errors of the estimate."""
+    bins = range(SURE + 1)
+    distinct = tested.where(F.col("p") >= FAILED).select("encoding", "band", "match", F.floor(F.col("p") * BINS).alias("bin")).distinct()
+    counts = distinct.groupBy("encoding", "band").agg(*(F.sum(F.when(F.col("bin") >= b, 1.0).otherwise(0.0)).alias(f"above{b}") for b in bins))
+    # At most a few hundred rows, whatever the input
+    whole = Window.partitionBy("encoding")
+    pools = [whole.orderBy("band").rangeBetween(0, 0), whole.orderBy("band").rangeBetween(-1, 1), whole, Window.partitionBy(F.lit(0))]
+    pools = [F.array(*(F.sum(f"above{b}").over(w) for b in bins)) for w in pools]
+    pool = F.coalesce(*(F.when(p[0] >= THIN, p) for p in pools), pools[-1])
     # The least of three p-values, times three, is above b in (1 - b / 3) ** 3 of the random tokens
-    wrong = 1 - F.col("random") * F.pow(1 - F.col("bin") / BINS / 3, 3) / F.col("above")
-    return above.where(wrong <= rate).groupBy("encoding", "band").agg(F.min("bin").alias("cut"))
+    chance = [(1 - max(b / BINS, FAILED) / 3) ** 3 for b in bins]
+    pooled = counts.select("encoding", "band", pool.alias("above"))
+
+    def few(b: int) -> Column:
+        above, share = F.col("above")[b], chance[SURE] / chance[b]  # share of the random tokens from b on that are SURE
+        error = F.when(F.col("above")[0] < THIN, ERRORS * F.sqrt((1 - share) / share / above)).otherwise(0.0)
+        return 1 - F.col("above")[SURE] / share / above <= rate + error
+
+    return pooled.select("encoding", "band", F.coalesce(*(F.when((F.col("above")[b] > 0) & few(b), b) for b in bins[:-1]), F.lit(SURE)).alias("cut"))
 
 
 def scan(docs: DataFrame, rate: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
