@@ -85,6 +85,27 @@ def test_toxicity_of_held_out_documents(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, none).count() == 0
 
 
+def test_toxic_phrases_of_ordinary_words(spark):
+    rng = random.Random(5)
+    parts = ["ba", "lo", "mi", "ter", "an", "sho", "ve", "gri", "pel", "und"]
+    lexicon = sorted({"".join(rng.choices(parts, k=3)) for _ in range(300)})
+    phrases = [" ".join(rng.sample(lexicon, 6)) for _ in range(8)]
+    rows = []
+    for i in range(600):
+        words = rng.choices(lexicon, k=rng.randint(30, 100))
+        if toxic := i % 4 == 0:
+            for _ in range(2 + len(words) // 30):
+                words.insert(rng.randrange(len(words)), rng.choice(phrases))
+        else:
+            words += rng.choice(phrases).split()[::-1]
+            rng.shuffle(words)
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.train(docs, docs.select("doc_id", "toxic").where("doc_id < 400"))).collect()}
+    assert np.mean([got[i] for i, _, t in rows[400:] if t]) >= 0.8
+    assert np.mean([got[i] for i, _, t in rows[400:] if not t]) <= 0.03
+
+
 def test_windows_cover_whole_texts():
     text = "Word " * 40 + "x" * 1000 + " end"
     joined = b"".join(toxicity.windows(text)).replace(b" ", b"")

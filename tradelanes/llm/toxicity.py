@@ -4,7 +4,10 @@ Two zstandard dictionaries are trained, one on ordinary text and one on toxic te
 toxic documents ordinary ones do not explain: word beginnings that occur in many different contexts there
 and in far fewer elsewhere (contexts, so copies of one document count once).  Every window of a text is
 compressed twice, with the ordinary dictionary alone and with both; the bytes that the toxic dictionary saves are
-the window's distance.  A logistic calibration on labelled rows turns a document's distances into a probability.
+the window's distance.  Where no word beginning marks toxic text, the toxic dictionary is trained on windows of toxic
+texts instead, and the distance is the difference of the lengths with either dictionary; both are then trained on one half of the
+rows and calibrated on the other, since a dictionary knows the texts it was trained on.  A logistic calibration on labelled rows
+turns a document's distances into a probability.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ STEM = (5, 12)  # characters of a word beginning, its leading space included
 ORDINARY_BYTES, TOXIC_BYTES = 31_000, 1024  # together within the compression window
 STEPS = (1, 2, 3, 4, 5, 6)  # bytes saved, from which windows are counted
 FEATURES = 5 + 2 * len(STEPS)
-TOXIC_ROWS, ORDINARY_ROWS, ORDINARY_WINDOWS = 4000, 8000, 20_000  # bounds of what is learnt from
+TOXIC_ROWS, ORDINARY_ROWS, MOST_WINDOWS = 4000, 8000, 20_000  # bounds of what is learnt from
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -74,11 +77,13 @@ def compressor(content: bytes) -> zs.ZstdCompressor:
 class Model:
     """Dictionaries and calibration; small and of fixed size."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes, weights: np.ndarray | None = None, centre=0.0, scale=1.0):
+    def __init__(self, ordinary: bytes, toxic: bytes, weights: np.ndarray | None = None, centre=0.0, scale=1.0, alone: bool = False):
+        """``alone``: the toxic dictionary stands against the ordinary one, not beside it."""
+        self.alone = alone
         self.ordinary, self.toxic, self.weights, self.centre, self.scale = ordinary, toxic, weights, centre, scale
 
     def features(self, text: str | None) -> list[float]:
-        plain, both = compressor(self.ordinary).compress, compressor(self.toxic + self.ordinary).compress
+        plain, both = compressor(self.ordinary).compress, compressor(self.toxic if self.alone else self.toxic + self.ordinary).compress
         saved = sorted((len(plain(w)) - len(both(w)) for w in windows(text)), reverse=True) if self.toxic else []
         n, gain = len(saved), sum(s for s in saved if s > 0)
         if not n:
@@ -160,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
     drawn = stored(drawn[0].unionByName(drawn[1]), "drawn")  # at most toxic_rows + ordinary_rows ids
     chosen = (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn), "doc_id")
               .withColumn("key", text_key("text")).dropDuplicates(["key", "toxic"]))
-    chosen = stored(chosen.select("text", "toxic"), "sample")
+    chosen = stored(chosen.select("text", "toxic", F.pmod("key", F.lit(2)).alias("half")), "sample")
     rng = np.random.default_rng(seed)
     stems = toxic_stems(chosen)
     bag = [s.encode() for s, n in sorted(stems.items()) for _ in range(min(n, 200))]
@@ -170,9 +175,16 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([w for t in batch.column(0).to_pylist() for w in windows(t)], pa.binary())], ["w"])
 
-    plain = (chosen.where("toxic = 0").select("text").mapInArrow(cut_windows, "w binary")
-             .select("w", F.xxhash64("w", F.lit(seed)).alias("draw")).orderBy("draw", "w").limit(ORDINARY_WINDOWS))
-    model = Model(trained([bytes(r.w) for r in plain.select("w").collect()], ORDINARY_BYTES), trained(mixed, TOXIC_BYTES))
+    def drawn_windows(rows: DataFrame) -> list[bytes]:
+        found = (rows.select("text").mapInArrow(cut_windows, "w binary")
+                 .select("w", F.xxhash64("w", F.lit(seed)).alias("draw")).orderBy("draw", "w").limit(MOST_WINDOWS))
+        return [bytes(r.w) for r in found.select("w").collect()]
+
+    if mixed:
+        model = Model(trained(drawn_windows(chosen.where("toxic = 0")), ORDINARY_BYTES), trained(mixed, TOXIC_BYTES))
+    else:
+        learnt, chosen = chosen.where("half = 0"), chosen.where("half = 1")
+        model = Model(*(trained(drawn_windows(learnt.where(F.col("toxic") == label)), ORDINARY_BYTES) for label in (0, 1)), alone=True)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
