@@ -48,6 +48,25 @@ def test_planted_cases(make_docs, items):
     assert got == {i: right for i, (_, right) in CASES.items() if right}
 
 
+def pairs(make_docs, spark, item, texts):
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r.doc_id: r.covered for r in contamination.leaks(make_docs([(i, t, "en", "s") for i, t in enumerate(texts)]), items).collect()}
+
+
+def test_words_put_into_a_long_item(make_docs, spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(59)]
+    item = " ".join(words)
+    inside = lambda n: " ".join(words[:30] + ["more"] * n + words[30:])
+    apart = " ".join(words[:30] + ["more"] * 200 + words[30:])
+    assert pairs(make_docs, spark, item, [f"{FILL} {inside(6)} {FILL}", inside(30), apart]) == {0: 51 / 55, 1: 51 / 55}
+
+
+def test_every_place_is_judged(make_docs, spark):
+    item = ITEMS[1][1]
+    other = CASES[13][0]
+    assert pairs(make_docs, spark, item, [f"{other} {item} {other}", f"{other} {FILL * 5} {item}", f"{other} {other}", f"{item} {other}"]).keys() == {0, 1, 3}
+
+
 def test_odd_inputs(odd_docs, no_docs, items, spark):
     quick = spark.createDataFrame([(9, "the quick brown fox jumps over the lazy dog today")], "item_id long, text string")
     found = [(r.doc_id, r.item_id) for r in contamination.leaks(odd_docs, quick).collect()]

@@ -1,14 +1,15 @@
 """Benchmark decontamination by templates.
 
 Numbers, units and names become typed placeholders, so a question asked again with other numbers or names has the same
-template.  Windows of template words are hash-joined with those of the benchmark.  Where enough windows of an item line
-up in a document, the values that fill its placeholders are compared: they have to be put in consistently, each value of
+template.  Windows of template words are hash-joined with those of the benchmark.  Where enough windows of an item lie
+in one stretch of a document, the values that fill its placeholders are compared: they have to be put in consistently, each value of
 the item replaced by one value all through, else the likeness is one of form only.
 """
 
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from tradelanes.session import stored
 WINDOW = 5  # words
 LIKENESS = 0.8  # share of an item's windows that have to line up, and of its slots that have to be consistent
 PLAIN = 3  # words of a window that are no placeholders, at least
-DRIFT = 5  # words by which a passage may shift within a document, by words added or left out
+STRETCH = 2  # an item lies in a stretch of a document of at most so many times its words
 FILTER_BITS = 22  # the window filter has 2 ** FILTER_BITS bits, whatever the size of the benchmark
 
 # Words that stand for numbers, and units of measure.
@@ -142,6 +143,41 @@ def _windows(sizes: tuple[int, ...], whole_short: bool, wanted=None):
     return of
 
 
+def _places(least: float):
+    """Rows of one pair of document and item (q, windows, words, item_slots, pos, slots) -> its best place that passes, if any.
+
+    A place is a stretch from a matched window on.  Of the places of a window of the item the one counts that follows
+    the window before most closely."""
+    def best(table: pa.Table) -> pa.Table:
+        order = table.sort_by([("pos", "ascending"), ("q", "ascending")])
+        pos, q, item_slots, slots = (order[c].to_pylist() for c in ("pos", "q", "item_slots", "slots"))
+        windows, span = order["windows"][0].as_py(), STRETCH * order["words"][0].as_py()
+        found, held, end = None, {}, 0  # rows of each window of the item within the stretch
+        for start in range(len(pos)):
+            while end < len(pos) and pos[end] < pos[start] + span:
+                held.setdefault(q[end], deque()).append(end)
+                end += 1
+            covered = len(held) / windows
+            if (start == 0 or pos[start] > pos[start - 1]) and covered >= least and (not found or (covered, 1.0) > found):
+                filled, before = {}, None
+                for i in sorted(held):
+                    row = held[i][0] if before is None else min(held[i], key=lambda r: abs(pos[r] - i - pos[before] + q[before]))
+                    for own, value in zip(item_slots[row], slots[row]):
+                        filled.setdefault(own, set()).add(value)
+                    before = row
+                consistent = sum(len(v) == 1 for v in filled.values()) / len(filled) if filled else 1.0
+                if consistent >= least:
+                    found = max(found or (covered, consistent), (covered, consistent))
+            held[q[start]].popleft()
+            if not held[q[start]]:
+                del held[q[start]]
+        row = [[order[c][0].as_py()] for c in ("id", "key", "item_id")] + [[x] for x in found] if found else [[]] * 5
+        return pa.table([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
+                        ["doc_id", "key", "item_id", "covered", "consistent"])
+
+    return best
+
+
 def _rows(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return frame.select(F.col(id_col).cast("long").alias("id"), text_key(text).alias("key"), text.alias("text"))
@@ -151,8 +187,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Pairs (doc_id, key, item_id, covered, consistent) of documents that hold a benchmark item.
 
-    ``covered`` is the share of the item's windows that line up in the document, ``consistent`` the share of its slots
-    that have one value there; both are ``least`` or more.  An item of fewer than WINDOW template words is one window of
+    ``covered`` is the share of the item's windows that lie in one stretch of the document, of at most STRETCH times the
+    item's words, ``consistent`` the share of its slots that have one value there; both are ``least`` or more, and of all
+    places where they are the best counts.  An item of fewer than WINDOW template words is one window of
     all of them.  Windows, and so items, without PLAIN plain words, and null or empty texts, match nothing.  A text that occurs
     under several ids counts for each; rows that repeat id and text give one pair; null ids are kept."""
     spark = docs.sparkSession
@@ -165,7 +202,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col
     ranked = (items.join(seen, "h").withColumn("windows", F.count(F.lit(1)).over(of_item))
               .withColumn("nr", F.row_number().over(of_item.orderBy("seen", "q"))))
     anchors = ranked.where(F.col("nr") <= F.col("windows") - F.ceil(F.col("windows") * least) + 1).select("h", "item_id", "item_key").distinct()
-    sized = ranked.select("item_id", "item_key", "q", "h", "item_slots", "windows")
+    sized = ranked.select("item_id", "item_key", "q", "h", "item_slots", "windows", "words")
 
     # At most 2 ** FILTER_BITS positions, however large the benchmark
     bits = np.zeros(1 << FILTER_BITS, bool)
@@ -180,27 +217,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col
     wanted = spark.sparkContext.broadcast(bits)
     hits = stored(_rows(docs, id_col, text_col).mapInArrow(_windows(used, False, wanted), SCHEMA).join(seen.select("h"), "h", "left_semi"), "window_hits")
 
-    pairs = hits.select("id", "key", "h").join(anchors, "h").select("id", "key", "item_id", "item_key").distinct()
-    wide = pairs.join(sized, ["item_id", "item_key"]).withColumnsRenamed({"id": "__id"})
-    lined = (wide.join(hits.select(F.col("id").alias("hit_id"), "key", "h", "pos", "slots"), ["key", "h"]).where(F.col("__id").eqNullSafe(F.col("hit_id")))
-             .select("__id", "key", "item_id", "item_key", "q", "windows", "item_slots", "slots", (F.col("pos") - F.col("q")).alias("shift")))
-    of_pair = ["__id", "key", "item_id", "item_key"]
-    per_shift = lined.groupBy(*of_pair, "shift").agg(F.countDistinct("q").alias("n"))
-    main = per_shift.groupBy(*of_pair).agg(F.max(F.struct("n", (-F.col("shift")).alias("back"))).alias("best")).select(*of_pair, (-F.col("best.back")).alias("main"))
-    near = stored(lined.withColumn("id", F.col("__id")).join(main.withColumnRenamed("__id", "main_id"), ["key", "item_id", "item_key"])
-                  .where(F.col("id").eqNullSafe(F.col("main_id")) & (F.abs(F.col("shift") - F.col("main")) <= DRIFT)).drop("__id", "main_id"), "lined_up")
     of_pair = ["id", "key", "item_id", "item_key"]
-    cover = near.groupBy(*of_pair).agg((F.countDistinct("q") / F.first("windows")).alias("covered"))
-    # Slots of the main line only: a shifted window may pair other words
-    filled = near.where("shift = main").select(*of_pair, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-    one = filled.groupBy(*of_pair, "s.item_slots").agg((F.countDistinct("s.slots") == 1).cast("int").alias("same"))
-    slots = one.groupBy(*of_pair).agg(F.avg("same").alias("consistent")).withColumnsRenamed({c: f"slot_{c}" for c in of_pair})
-    same = F.lit(True)
-    for c in of_pair:
-        same = same & F.col(c).eqNullSafe(F.col(f"slot_{c}"))
-    return (cover.where(F.col("covered") >= least).join(slots, same, "left")
-            .select(F.col("id").alias("doc_id"), "key", "item_id", "covered", F.coalesce("consistent", F.lit(1.0)).alias("consistent"))
-            .where(F.col("consistent") >= least).groupBy("doc_id", "key", "item_id").agg(F.max("covered").alias("covered"), F.max("consistent").alias("consistent")))
+    pairs = hits.select("id", "key", "h").join(anchors, "h").select(*of_pair).distinct()
+    wide = pairs.join(sized, ["item_id", "item_key"]).withColumnRenamed("id", "__id")
+    lined = (wide.join(hits.select("id", "key", "h", "pos", "slots"), ["key", "h"]).where(F.col("__id").eqNullSafe(F.col("id")))
+             .select(*of_pair, "q", "windows", "words", "item_slots", "pos", "slots")
+             .withColumn("met", F.size(F.collect_set("q").over(Window.partitionBy(*of_pair)))))
+    judged = lined.where(F.col("met") >= least * F.col("windows")).drop("met").groupBy(*of_pair).applyInArrow(
+        _places(least), "doc_id long, key long, item_id long, covered double, consistent double")
+    return (judged.groupBy("doc_id", "key", "item_id").agg(F.max(F.struct("covered", "consistent")).alias("best"))
+            .select("doc_id", "key", "item_id", "best.*"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
