@@ -26,7 +26,7 @@ CASES = {
     13: (f"{FILL} If Hans buys 7 apples and gives 2 apples to Klara, how many apples are left for him? {FILL}", set()),  # 5 becomes 7 and 2
     14: (f"{FILL} A train leaves the old station with 120 passengers and then nothing more is told of it. {FILL}", set()),  # too little of it
     15: (f"{FILL} short item, only here {FILL}", {3}),
-    16: ("1 2 3 4 5 6 7 8 9", set()),  # no plain words
+    16: ("1 2 3 4 5 6 7 8 9", {4}),  # no plain words, but the same ones
     17: (FILL, set()),
     18: ("Tiny. " + FILL, set()),
     19: ("A train leaves the *old* station, with 120 passengers and after 3 hours it slowly has carried Anna 240 km through the green valley.", set()),  # a word more costs 5 of 19 windows
@@ -67,6 +67,19 @@ def test_every_place_is_judged(make_docs, spark):
     assert pairs(make_docs, spark, item, [f"{other} {item} {other}", f"{other} {FILL * 5} {item}", f"{other} {other}", f"{item} {other}"]).keys() == {0, 1, 3}
 
 
+def test_verbatim_copies_without_a_template(make_docs, spark):
+    for item in ("12 kg 340 cm 7 miles 99 percent 8", "Ask Anna Maria Peter Hans Klara Otto", "Paris 1789"):
+        alone = len(item.split()) < 3
+        texts = [item.lower(), f"{FILL} {item} {FILL}", f"{FILL} {item.replace(' 7 ', ' 5 ').replace('Peter', 'Bob').replace('17', '18')}"]
+        assert pairs(make_docs, spark, item, texts).keys() == ({0} if alone else {0, 1}), item
+
+
+def test_capital_after_a_heading(make_docs, spark):
+    item = "The quick fox jumps over 3 fences"
+    texts = [f"Heading\n{item}", f"as they say, {item}", "Heading\nThe quick fox jumps over 5 fences", "and The quick fox jumps over 5 fences"]
+    assert pairs(make_docs, spark, item, texts).keys() == {0, 1, 2, 3}
+
+
 def test_odd_inputs(odd_docs, no_docs, items, spark):
     quick = spark.createDataFrame([(9, "the quick brown fox jumps over the lazy dog today")], "item_id long, text string")
     found = [(r.doc_id, r.item_id) for r in contamination.leaks(odd_docs, quick).collect()]

@@ -3,7 +3,8 @@
 Numbers, units and names become typed placeholders, so a question asked again with other numbers or names has the same
 template.  Windows of template words are hash-joined with those of the benchmark.  Where enough windows of an item lie
 in one stretch of a document, the values that fill its placeholders are compared: they have to be put in consistently, each value of
-the item replaced by one value all through, else the likeness is one of form only.
+the item replaced by one value all through, else the likeness is one of form only.  Windows of the raw lower-case words stand
+beside them: a copy word for word is found whatever its words are.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from tradelanes.session import stored
 
 WINDOW = 5  # words
 LIKENESS = 0.8  # share of an item's windows that have to line up, and of its slots that have to be consistent
-PLAIN = 3  # words of a window that are no placeholders, at least
+PLAIN = 3  # words of a template window that are no placeholders, at least
+RAW = 100  # apart from any size: marks windows of raw words
 STRETCH = 2  # an item lies in a stretch of a document of at most so many times its words
 FILTER_BITS = 22  # the window filter has 2 ** FILTER_BITS bits, whatever the size of the benchmark
 
@@ -66,8 +68,8 @@ class Words:
 
 
 def templates(texts: list[str | None], words: Words) -> tuple[np.ndarray, ...]:
-    """Template words of all texts in a row: text number, code, slot kind ('' for plain words) and raw word number.
-    Bare marks between words are left out."""
+    """Template words of all texts in a row: text number, code, slot kind ('' for plain words), raw word number and code
+    of the raw word.  Bare marks between words are left out."""
     numbers = [[words.number(w) for w in (t or "").split()] for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(n) for n in numbers])
     ids = np.array([i for n in numbers for i in n], np.int64)
@@ -79,6 +81,7 @@ def templates(texts: list[str | None], words: Words) -> tuple[np.ndarray, ...]:
         starts[1:] = (owner[1:] != owner[:-1]) | (kinds[:-1] & 8 > 0)
     owner, ids, kinds, starts = owner[kept], ids[kept], kinds[kept], starts[kept]
     codes = np.array(words.codes, np.uint64)[ids] if len(ids) else np.zeros(0, np.uint64)
+    raw = codes.copy()
     number = kinds & 1 > 0
     unit = np.zeros(len(ids), bool)
     unit[1:] = (kinds[1:] & 2 > 0) & number[:-1] & (owner[1:] == owner[:-1])
@@ -86,19 +89,26 @@ def templates(texts: list[str | None], words: Words) -> tuple[np.ndarray, ...]:
     slot = np.full(len(ids), "", "U1")
     for kind, mark in ((number, "n"), (unit, "u"), (name, "p")):
         codes[kind], slot[kind] = words.slot_codes[mark], mark
-    return owner, codes, slot, ids
+    return owner, codes, slot, ids, raw
 
 
-def windows(owner: np.ndarray, codes: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of all windows of ``size`` template words within one text that have PLAIN plain words."""
+def windows(owner: np.ndarray, codes: np.ndarray, slot: np.ndarray | None, size: int, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of all windows of ``size`` template words within one text that have PLAIN plain words; without
+    ``slot`` of raw words, where any will do.  ``first`` has other codes for the first word: only windows that begin with a
+    name are told, with that word taken as a plain one."""
     n = len(codes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = np.full(n, size, np.uint64)
+    hashes = np.full(n, size if slot is not None else size + RAW, np.uint64)
     for j in range(size):
-        hashes = (hashes * np.uint64(_BASE)) ^ (codes[j: j + n] + (hashes >> np.uint64(29)))
-    plain = np.concatenate(([0], np.cumsum(slot == "")))
-    good = (owner[:n] == owner[size - 1:]) & (plain[size:] - plain[:-size] >= PLAIN)
+        code = first if first is not None and j == 0 else codes
+        hashes = (hashes * np.uint64(_BASE)) ^ (code[j: j + n] + (hashes >> np.uint64(29)))
+    good = owner[:n] == owner[size - 1:]
+    if slot is not None:
+        plain = np.concatenate(([0], np.cumsum(slot == "")))
+        good &= plain[size:] - plain[:-size] + (first is not None) >= PLAIN
+    if first is not None:
+        good &= slot[:n] == SLOTS["<name>"]
     at = np.flatnonzero(good)
     return at, hashes[at]
 
@@ -107,13 +117,14 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
     return ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-SCHEMA = "id long, key long, pos int, h long, words int, slots array<string>"
-_KIND = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("words", pa.int32()), ("slots", pa.list_(pa.string()))])
+SCHEMA = "id long, key long, pos int, h long, words int, raw boolean, slots array<string>"
+_KIND = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("words", pa.int32()), ("raw", pa.bool_()), ("slots", pa.list_(pa.string()))])
 
 
-def _windows(sizes: tuple[int, ...], whole_short: bool, wanted=None):
-    """Rows (id, key, text) -> windows with the values of their slots.  With ``whole_short`` a text of fewer than
-    WINDOW template words is one window; ``wanted`` is a filter of hashes."""
+def _windows(sizes: tuple[int, ...], item: bool, wanted=None):
+    """Rows (id, key, text) -> windows of template words, with the values of their slots, and of raw words.  Of an ``item``
+    with fewer than WINDOW words all of them are one window; under PLAIN words they match texts that have no others.  In
+    other texts a name that begins a window may also be a plain word with a capital.  ``wanted`` is a filter of hashes."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
@@ -121,24 +132,28 @@ def _windows(sizes: tuple[int, ...], whole_short: bool, wanted=None):
                 part = batch.slice(at, 500)
                 if len(words.codes) > 500_000:
                     words = Words()
-                owner, codes, slot, ids = templates(part.column(2).to_pylist(), words)
+                owner, codes, slot, ids, raw = templates(part.column(2).to_pylist(), words)
                 length = np.bincount(owner, minlength=part.num_rows)
                 first = np.concatenate(([0], np.cumsum(length)))
                 out = []
                 for size in sizes:
-                    pos, hashes = windows(owner, codes, slot, size)
-                    keep = np.ones(len(pos), bool)
-                    if whole_short and size < WINDOW:
-                        keep = length[owner[pos]] == size
-                    if wanted is not None:
-                        keep &= wanted.value[_bits(hashes)]
-                    for p, h in zip(pos[keep].tolist(), hashes[keep].view(np.int64).tolist()):
-                        values = [f"{slot[i]}:{words.bare[ids[i]]}" if slot[i] else "" for i in range(p, p + size)]
-                        out.append((owner[p], p - first[owner[p]], h, length[owner[p]], [v for v in values if v]))
+                    found = [(False, 0, *windows(owner, codes, slot, size))] if size >= PLAIN else []
+                    if size >= PLAIN and not item:
+                        found.append((False, 1, *windows(owner, codes, slot, size, raw)))
+                    for is_raw, skip, pos, hashes in [*found, (True, 0, *windows(owner, raw, None, size))]:
+                        keep = np.ones(len(pos), bool)
+                        if size < PLAIN or item and size < WINDOW:
+                            keep = length[owner[pos]] == size
+                        if wanted is not None:
+                            keep &= wanted.value[_bits(hashes)]
+                        for p, h in zip(pos[keep].tolist(), hashes[keep].view(np.int64).tolist()):
+                            values = [] if is_raw else [f"{slot[i]}:{words.bare[ids[i]]}" for i in range(p + skip, p + size) if slot[i]]
+                            out.append((owner[p], p - first[owner[p]], h, length[owner[p]], is_raw, values))
                 rows = np.array([o[0] for o in out], np.int64)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array([int(o[1]) for o in out], pa.int32()),
-                    pa.array([o[2] for o in out], pa.int64()), pa.array([int(o[3]) for o in out], pa.int32()), pa.array([o[4] for o in out], pa.list_(pa.string()))], schema=_KIND)
+                    pa.array([o[2] for o in out], pa.int64()), pa.array([int(o[3]) for o in out], pa.int32()), pa.array([o[4] for o in out], pa.bool_()),
+                    pa.array([o[5] for o in out], pa.list_(pa.string()))], schema=_KIND)
 
     return of
 
@@ -189,20 +204,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col
 
     ``covered`` is the share of the item's windows that lie in one stretch of the document, of at most STRETCH times the
     item's words, ``consistent`` the share of its slots that have one value there; both are ``least`` or more, and of all
-    places where they are the best counts.  An item of fewer than WINDOW template words is one window of
-    all of them.  Windows, and so items, without PLAIN plain words, and null or empty texts, match nothing.  A text that occurs
+    places where they are the best counts.  Windows of raw words and of template words are counted apart, and either may do.  An item of fewer than WINDOW words is one window of
+    all of them; one under PLAIN words is found only as a whole text.  Items without PLAIN plain words in a window are found by their
+    raw words; null or empty texts match nothing.  A text that occurs
     under several ids counts for each; rows that repeat id and text give one pair; null ids are kept."""
     spark = docs.sparkSession
-    sizes = tuple(range(PLAIN, WINDOW + 1))
+    sizes = tuple(range(1, WINDOW + 1))
     items = stored(_rows(benchmark, item_col, item_text_col).where("id is not null").dropDuplicates(["id", "key"])
                    .mapInArrow(_windows(sizes, True), SCHEMA).withColumnsRenamed({"id": "item_id", "key": "item_key", "pos": "q", "slots": "item_slots"}), "item_windows")
-    of_item = Window.partitionBy("item_id", "item_key")
+    of_item = Window.partitionBy("item_id", "item_key", "raw")
     # An item needs least of its windows, so at least one of its rarest others-plus-one windows is in the document.
     seen = items.groupBy("h").agg(F.count(F.lit(1)).alias("seen"))
     ranked = (items.join(seen, "h").withColumn("windows", F.count(F.lit(1)).over(of_item))
               .withColumn("nr", F.row_number().over(of_item.orderBy("seen", "q"))))
-    anchors = ranked.where(F.col("nr") <= F.col("windows") - F.ceil(F.col("windows") * least) + 1).select("h", "item_id", "item_key").distinct()
-    sized = ranked.select("item_id", "item_key", "q", "h", "item_slots", "windows", "words")
+    anchors = ranked.where(F.col("nr") <= F.col("windows") - F.ceil(F.col("windows") * least) + 1).select("h", "item_id", "item_key", "raw").distinct()
+    sized = ranked.select("item_id", "item_key", "raw", "q", "h", "item_slots", "windows", "words")
 
     # At most 2 ** FILTER_BITS positions, however large the benchmark
     bits = np.zeros(1 << FILTER_BITS, bool)
@@ -215,11 +231,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col
         bits[r.bit] = True
     used = tuple(sorted({r.size for r in items.select(F.least("words", F.lit(WINDOW)).alias("size")).distinct().collect()} & set(sizes)))
     wanted = spark.sparkContext.broadcast(bits)
-    hits = stored(_rows(docs, id_col, text_col).mapInArrow(_windows(used, False, wanted), SCHEMA).join(seen.select("h"), "h", "left_semi"), "window_hits")
+    hits = stored(_rows(docs, id_col, text_col).mapInArrow(_windows(used, False, wanted), SCHEMA).drop("raw", "words").join(seen.select("h"), "h", "left_semi"), "window_hits")
 
-    of_pair = ["id", "key", "item_id", "item_key"]
+    of_pair = ["id", "key", "item_id", "item_key", "raw"]
     pairs = hits.select("id", "key", "h").join(anchors, "h").select(*of_pair).distinct()
-    wide = pairs.join(sized, ["item_id", "item_key"]).withColumnRenamed("id", "__id")
+    wide = pairs.join(sized, ["item_id", "item_key", "raw"]).withColumnRenamed("id", "__id")
     lined = (wide.join(hits.select("id", "key", "h", "pos", "slots"), ["key", "h"]).where(F.col("__id").eqNullSafe(F.col("id")))
              .select(*of_pair, "q", "windows", "words", "item_slots", "pos", "slots")
              .withColumn("met", F.size(F.collect_set("q").over(Window.partitionBy(*of_pair)))))
