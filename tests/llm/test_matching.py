@@ -55,6 +55,15 @@ def test_fingerprint_is_sorted_terms_of_each_lexicon():
     assert matching.likeness(lexicons.fingerprint("alpha"), lexicons.fingerprint("theta")) == 0.0
 
 
+def test_texts_without_lexicon_terms():
+    lexicons = matching.Lexicons(sorted(matching.terms("alpha beta gamma delta")))
+    marks = [lexicons.fingerprint(t) for t in ("ein Text", "ganz anders", "Text, ein", "...", "!!")]
+    assert matching.EMPTY * matching.LEXICONS not in marks
+    assert matching.likeness(marks[0], marks[2]) == 1.0
+    assert [matching.likeness(marks[0], m) for m in (marks[1], marks[3], lexicons.fingerprint("alpha beta gamma"))] == [0.0] * 3
+    assert matching.likeness(marks[3], marks[4]) == 0.0
+
+
 def test_odd_inputs(odd_docs, no_docs, make_docs):
     lexicons = matching.Lexicons(matching.band(odd_docs))
     rows = matching.near_report(odd_docs, lexicons).collect()

@@ -5,7 +5,8 @@ errors, cut words) and terms of every other document say little about which docu
 lexicons keeps a random part of it, some a quarter, some one in five hundred, so short and long documents both have lexicons
 that hold a handful of their terms.  A document's distinct terms in a lexicon are sorted and hashed; the fingerprint
 is the row of hashes.  Documents agree on a lexicon if its hash is equal, and the share of lexicons, among those where
-either has a term, is their likeness.
+either has a term, is their likeness.  A text without any term of the lexicon is hashed by all its own terms, so two such
+texts are alike only with the same terms; these hashes are even, those of lexicon terms odd.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ LEXICONS = 32
 LEVELS = 8  # lexicon i keeps a term with chance 1 / 2 ** (2 + i % LEVELS)
 DIGITS = 8  # hexadecimal digits of one lexicon's hash
 EMPTY = "0" * DIGITS  # no term of the lexicon
+ODD = "13579bdf"  # last digits of the hashes of lexicon terms
 COMMON = 0.25  # largest share of documents a term may be in
 ENTRIES = 1 << 17  # terms of the lexicon at most
 SEED = 11
@@ -51,20 +53,26 @@ class Lexicons:
         self.within = np.array(draw, np.uint64).reshape(-1, LEXICONS) < np.array([2 ** (30 - i % LEVELS) for i in range(LEXICONS)], np.uint64)
 
     def fingerprint(self, text: str | None) -> str:
-        found = sorted(i for t in terms(text or "") if (i := self.row.get(t)) is not None)
+        own = terms(text or "")
+        found = sorted(i for t in own if (i := self.row.get(t)) is not None)
         rows = np.array(found, np.int64)
         within, hashes, out = self.within[rows], self.keys[rows], []
         for i in range(LEXICONS):
             kept = hashes[within[:, i]]
             out.append(f"{xxhash.xxh32_intdigest(kept.tobytes(), SEED) | 1:0{DIGITS}x}" if len(kept) else EMPTY)
+        if text and out.count(EMPTY) == LEXICONS:
+            whole = np.array(sorted(own), np.int64).tobytes() or text.encode()
+            out = [f"{xxhash.xxh32_intdigest(whole, SEED + 1 + i) & ~1 | 2:0{DIGITS}x}" for i in range(LEXICONS)]
         return "".join(out)
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of lexicons with equal hashes among those where either side has a term; without any, 1 if equal."""
+    """Share of lexicons with equal hashes among those where either side has a term.  Without any, 1 if the fingerprints
+    are equal, or if one is of an empty text."""
     parts = [(a[i: i + DIGITS], b[i: i + DIGITS]) for i in range(0, len(a), DIGITS)]
-    told = [x == y for x, y in parts if (x, y) != (EMPTY, EMPTY)]
-    return sum(told) / len(told) if told else float(a == b)
+    told = [x == y for x, y in parts if x[-1] in ODD or y[-1] in ODD]
+    empty = EMPTY * LEXICONS
+    return sum(told) / len(told) if told else float(a == b or empty in (a, b))
 
 
 def band(docs: DataFrame, text_col: str = "text", common: float = COMMON, entries: int = ENTRIES) -> list[int]:
