@@ -53,6 +53,17 @@ def test_language_of_odd_inputs(odd_docs, no_docs, small_language):
     assert language.predict(no_docs, empty).count() == 0
 
 
+def test_language_with_a_thousandth_of_the_rows(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    large, small = ([word() for _ in range(n)] for n in (150, 40))
+    text_of = lambda lexicon, n: " ".join(rng.choices(lexicon, k=n))
+    rows = [("aa", text_of(large, 50)) for _ in range(1998)] + [("bb", text_of(small, 50)) for _ in range(2)]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string"), entries=200)
+    assert np.mean([model.predict(text_of(small, 12))[0] == "bb" for _ in range(50)]) >= 0.95
+    assert np.mean([model.predict(text_of(large, 12))[0] == "aa" for _ in range(50)]) >= 0.95
+
+
 def toxic_corpus(n=600):
     rng = random.Random(8)
     parts = ["ba", "lo", "mi", "ter", "an", "sho", "ve", "gri", "pel", "und"]

@@ -2,8 +2,8 @@
 
 A known word scores its log frequency in each language.  A word that is not known falls back to the
 longest character n-grams that are known, then to shorter ones, each step at a fixed discount.
-Frequencies come from all training rows; a word or n-gram is known if its share of all counts reaches
-1 / ``entries``, so a table has at most ``entries`` rows however large the corpus is.
+Frequencies come from all training rows; a word or n-gram is known if its share of the counts of some language reaches
+1 / ``entries``, however little of the corpus that language has.  So a table has at most ``entries`` rows for each language.
 """
 
 from __future__ import annotations
@@ -143,15 +143,16 @@ class Seen:
 
 
 def frequent(counts: DataFrame, entries: int) -> DataFrame:
-    """Rows (lang, word, n) of the words whose share of all counts is at least 1 / entries: at most ``entries`` words."""
-    whole = counts.agg(F.sum("n")).first()[0] or 0
-    known = counts.groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") * entries >= whole).select("word")
+    """Rows (lang, word, n) of the words whose share of the counts of any one language is at least 1 / entries: at most
+    ``entries`` words for each language."""
+    whole = counts.groupBy("lang").agg(F.sum("n").alias("whole"))  # one row for each language
+    known = counts.join(F.broadcast(whole), "lang").where(F.col("n") * entries >= F.col("whole")).select("word").distinct()
     return counts.join(known, "word", "left_semi")
 
 
 def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
     """Model from rows (lang, text); null languages and texts teach nothing.  The tables sent to the
-    driver have at most ``entries`` words and as many n-grams of each length, times the languages."""
+    driver have, for each language, at most ``entries`` words and as many n-grams of each length."""
     counts = stored(word_counts(rows.where("lang is not null and text is not null"), "lang", words), "language_words")
     parts = {0: counts}
     for n in GRAMS:
