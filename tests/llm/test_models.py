@@ -91,6 +91,11 @@ def test_toxicity_of_held_out_documents(spark, odd_docs, no_docs):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got.values())
     odd = toxicity.score(odd_docs, model).collect()
     assert len(odd) == 12 and len({r.score for r in odd if r.doc_id in (3, 4, 5)}) == 1 and not any(r.predicted for r in odd)
+    texts = [t for _, t, _ in rows[:64]] + ["", None, "zorkface quimbly"] * 3
+    features = np.array([model.features(t) for t in texts])
+    alone = [model.score(x[None])[0] for x in features]
+    assert alone == model.score(features).tolist() == model.score(features[::-1]).tolist()[::-1]
+    assert all(model.score(features[a:b]).tolist() == alone[a:b] for a in range(0, 64, 7) for b in range(a + 1, 73, 5))
     none = toxicity.train(docs, labels.where("toxic = 0"))
     assert {r.predicted for r in toxicity.score(docs, none).collect()} == {0}
     assert toxicity.score(no_docs, none).count() == 0
