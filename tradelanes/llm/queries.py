@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelanes.llm import bpe, contamination, language, lines, matching, quality, secrets, simhash, toxicity, urls
+from tradelanes.llm import bpe, contamination, language, lines, matching, merkle, quality, rules, secrets, simhash, spelling, toxicity, urls
 from tradelanes.llm.common import table
-from tradelanes.llm.oracle import op10_sql, op6_sql
+from tradelanes.llm.oracle import op10_sql, op11_sql, op12_sql, op6_sql
 
 
 MIN_SITES = 5  # sites from which a line is boilerplate
@@ -84,6 +84,27 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth row by crc32 is edited: its text loses its capitals."""
+    edited = F.when(fold(5) == 0, F.translate("text", UPPER, LOWER))
+    proofs = merkle.build(table(spark, sf_dir, "documents"), edited).proofs()
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), drop_one_in=31, least_chars=7, least=2)
+    return spelling.variants(words, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_secrets": op2_secrets,
@@ -95,9 +116,14 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
+    "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
+    "op13_rules": op13_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op6_line_dedup": op6_sql(min_sites=MIN_SITES),
     "op10_urls": op10_sql(ALLOW, BLOCK, urls.LINK, urls.DAMPING, urls.ROUNDS, urls.THRESHOLD),
+    "op11_merkle": op11_sql(merkle.FIELDS),
+    "op12_spelling": op12_sql(drop_one_in=31, least_chars=7, least=2, ratio=10),
 }
