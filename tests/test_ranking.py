@@ -12,9 +12,11 @@ from tradelanes.operators.ranking import (
     percent_ranks,
     percent_ranks_distributed,
     rank_within,
+    rank_within_distributed,
     top_ranked,
 )
-from conftest import rows
+from tradelanes.plans.registry import QUERIES
+from conftest import SF_SMALL, rows
 
 
 def test_rank_nulls_first_when_descending(spark):
@@ -100,3 +102,19 @@ def test_top_ranked_many_ties_at_cut_has_no_window(spark):
     # NULL first (rank 1), three 10.0 (rank 2), then 297 rows tied at 5.0 (rank 5).
     assert got == [(1,)] + [(2,)] * 3 + [(5,)] * 297
     assert rows(top_ranked(df, "s", 5, "r", distributed=False), "id", "r") == rows(top, "id", "r")
+
+
+def test_rank_within_a_hot_period(spark):
+    """Nine tenths of the rows in one period, ties, NULL values and a NULL period: the ranks of the window, over many tasks."""
+    df = spark.range(4000).select(F.when(F.col("id") % 10 > 0, 2024).when(F.col("id") % 20 > 0, 2023).alias("year"),
+                                  F.when(F.col("id") % 7 > 0, (F.col("id") * 37 % 501).cast("decimal(38,2)")).alias("v"), "id")
+    for down in (True, False):
+        got = rank_within_distributed(df.repartition(6), "year", "v", "r", descending=down)
+        assert rows(got, "id", "year", "v", "r") == rows(rank_within(df, "year", "v", "r", descending=down), "id", "year", "v", "r")
+    assert rank_within_distributed(df.limit(0), "year", "v").count() == 0
+
+
+def test_registered_ranks_have_no_window_over_a_year(spark):
+    plan = QUERIES["rank_within_year"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number" not in line]
+    assert windows and all("part" in line for line in windows) and "rank(" not in plan

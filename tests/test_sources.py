@@ -79,7 +79,7 @@ def test_refresh_replaces_only_present_months(spark, tmp_dir, trade):
 
 
 def _record(source, path, sha, ts):
-    return (source, "u", "f", path, ts, 1, sha, False, None)
+    return (source, "u", "f", path, ts, 1, sha, False, None, 0)
 
 
 def test_changed_items_compare_with_the_newest_record(spark):

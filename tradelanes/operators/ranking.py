@@ -13,10 +13,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelanes.operators.ordered import rows_ahead
 from tradelanes.session import stored
 
+
+def rank_within_distributed(df: DataFrame, period: str, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """Same ranks as ``rank_within`` for periods of any size (W4): one row for each distinct value of a period is
+    range-partitioned and summed up, so a period is split over many tasks, and the ranks are joined back on the value."""
+    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
+    rows = stored(df, "rank_input")
+    counts = rows.groupBy(period, value).agg(F.count(F.lit(1)).alias("n"))
+    ranks = rows_ahead(counts, [period], value, order).select(
+        F.col(period).alias("_period"), F.col(value).alias("_value"), (F.col("before") + 1).cast("bigint").alias(name))
+    return (rows.join(ranks, F.col(period).eqNullSafe(F.col("_period")) & F.col(value).eqNullSafe(F.col("_value")))
+            .drop("_period", "_value"))
+
+
 def rank_within(df: DataFrame, period: str, value: str, name: str = "rank", descending: bool = True) -> DataFrame:
-    """``rank()`` of ``value`` within each ``period`` (W4); NULLs first when
+    """``rank()`` of ``value`` within each ``period`` (W4, periods known to be small: each is one task); NULLs first when
     descending and last when ascending, as PostgreSQL orders them."""
     order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
     w = Window.partitionBy(period).orderBy(order)
@@ -48,17 +62,8 @@ def percent_ranks_distributed(df: DataFrame, columns: Mapping[str, str]) -> Data
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v")) for k, c in enumerate(columns.values())])
     stack = rows.select("_rid", F.explode(pairs).alias("p")).select("_rid", "p.k", "p.v")
     counts = stack.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    ranged = stored(counts.repartitionByRange("k", F.col("v").asc_nulls_last())
-                    .select("k", "v", "n", F.spark_partition_id().alias("part")), "rank_ranges")
-    parts = ranged.groupBy("k", "part").agg(F.sum("n").alias("in_part"))
-    up = Window.partitionBy("k").orderBy("part")
-    offsets = parts.select("k", "part", (F.sum("in_part").over(up) - F.col("in_part")).alias("offset"),
-                           F.sum("in_part").over(Window.partitionBy("k")).alias("all"))
-    inside = Window.partitionBy("k", "part").orderBy(F.col("v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n").over(inside), F.lit(0))
-    table = (ranged.withColumn("before", before).join(offsets, ["k", "part"])
-             .select("k", "v", F.when(F.col("all") <= 1, 0.0)
-                     .otherwise((F.col("offset") + F.col("before")).cast("double") / (F.col("all") - 1)).alias("pr")))
+    table = (rows_ahead(counts, ["k"], "v", F.col("v").asc_nulls_last())
+             .select("k", "v", F.when(F.col("all") <= 1, 0.0).otherwise(F.col("before").cast("double") / (F.col("all") - 1)).alias("pr")))
     ranks = (stack.alias("s").join(table.alias("t"), (F.col("s.k") == F.col("t.k")) & F.col("s.v").eqNullSafe(F.col("t.v")))
              .groupBy("s._rid").agg(*[F.max(F.when(F.col("s.k") == k, F.col("t.pr"))).alias(name) for k, name in enumerate(columns)]))
     return rows.join(ranks, "_rid").drop("_rid")

@@ -22,15 +22,14 @@ from tradelanes.operators.measures import distinct_counts, rollup_measures, shar
 from tradelanes.operators.periods import latest, with_growth, with_previous
 from tradelanes.operators.ranking import (
     composite_score,
-    percent_ranks,
     percent_ranks_distributed,
-    rank_within,
+    rank_within_distributed,
     top_ranked,
 )
 from tradelanes.plans import analogue, chain, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
 from tradelanes.session import scratch_path, stored
-from tradelanes.sources import files, manifest, schemas
+from tradelanes.sources import files, manifest, schemas, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -186,8 +185,8 @@ def _corridor_years(i: Inputs) -> DataFrame:
 
 @register("rank_within_year")
 def q_rank_within_year(i: Inputs) -> DataFrame:
-    """Rank of each corridor's tonnage within its year (descending)."""
-    return rank_within(_corridor_years(i), "year", "corridor_tons", "tonnage_rank")
+    """Rank of each corridor's tonnage within its year (descending), no year in one task."""
+    return rank_within_distributed(_corridor_years(i), "year", "corridor_tons", "tonnage_rank")
 
 
 PR_COLUMNS = {"volume_pct_rank": "total_tons", "value_pct_rank": "total_value",
@@ -201,9 +200,8 @@ def _summary_all_years(i: Inputs) -> DataFrame:
 
 @register("percent_ranks")
 def q_percent_ranks(i: Inputs) -> DataFrame:
-    """Percent ranks of four measures over all corridor-years, with global windows: one row for each
-    pair of zones and year."""
-    return percent_ranks(_summary_all_years(i), PR_COLUMNS)
+    """Percent ranks of four measures over all corridor-years; a test holds it against the global windows."""
+    return percent_ranks_distributed(_summary_all_years(i), PR_COLUMNS)
 
 
 @register("percent_ranks_distributed")
@@ -485,11 +483,11 @@ def _documents(i: Inputs) -> DataFrame:
     """Documents as arriving items: an item is a source and a slot, its versions the documents of that slot by id."""
     d = i.table("documents")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    slot = F.concat(F.lit("slot"), (F.col("n_chars") % 8).cast("string"))
     return d.select("doc_id", "source", "lang", manifest.content_hash("text").alias("sha256"),
-                    F.size(F.split("text", "\n")).cast("long").alias("row_count"),
-                    F.concat(F.lit("slot"), (F.col("n_chars") % 8).cast("string")).alias("slot"),
+                    F.size(F.split("text", "\n")).cast("long").alias("row_count"), slot.alias("slot"),
                     F.concat(F.lit("landing/"), "source", F.lit("/"), name).alias("source_url"), name.alias("filename"),
-                    F.concat(F.lit("bronze/source="), "source", F.lit("/"), name).alias("path"))
+                    F.concat(F.lit("bronze/source="), "source", F.lit("/"), slot).alias("path"))
 
 
 @register("changed_items")
@@ -502,11 +500,13 @@ def q_changed_items(i: Inputs) -> DataFrame:
 
 @register("ingest_manifest")
 def q_ingest_manifest(i: Inputs) -> DataFrame:
-    """Two ingestion runs appended to the manifest."""
+    """Two ingestion runs appended to the manifest, a snapshot between them: the English documents, then all documents, so
+    contents come back after others (A, B, A).  Copies among the documents are equal content under several paths."""
     path, d = scratch_path(i.spark, "manifest"), _documents(i)
     english = F.coalesce(F.col("lang") == "en", F.lit(False))
-    manifest.append_manifest(manifest.ingest(d.where(english), None, "doc_id"), path)
-    manifest.append_manifest(manifest.ingest(d.where(~english), manifest.read_manifest(i.spark, path), "doc_id"), path)
+    manifest.ingest_run(d.where(english), path, "doc_id")
+    manifest.compact(i.spark, path)
+    manifest.ingest_run(d, path, "doc_id")
     return manifest.read_manifest(i.spark, path).drop("timestamp")
 
 
@@ -522,13 +522,14 @@ def q_load_row_counts(i: Inputs) -> DataFrame:
 
 @register("monthly_refresh")
 def q_monthly_refresh(i: Inputs) -> DataFrame:
-    """Full load, then a reload of the newest year with dynamic partition
-    overwrite; every other month survives."""
+    """Full load, a reload of the newest year as the next version, in which every other month survives, and the old
+    version dropped; read by version."""
     path = scratch_path(i.spark, "silver_trade")
     t = silver.silver_monthly_trade(i.raw_monthly_trade)
-    files.refresh(t, path, ("year", "month"))
-    files.refresh(latest(t, "year"), path, ("year", "month"))
-    return i.spark.read.parquet(path)
+    versions.replace(t, path, ("year", "month"))
+    newest = versions.replace(latest(t, "year"), path, ("year", "month"))
+    versions.expire(i.spark, path, keep=1)
+    return versions.read(i.spark, path, newest)
 
 
 @register("gold_layout_read")

@@ -40,6 +40,7 @@ def required_shipment_columns(years: Sequence[int]) -> list[str]:
     return REQUIRED_SHIPMENT_COLUMNS + [f"{m}_{y}" for m in ("tons", "value", "tmiles") for y in ends]
 
 
+# The record's columns up to skipped.
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), True),
     T.StructField("source_url", T.StringType(), True),
@@ -50,6 +51,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("sha256", T.StringType(), True),
     T.StructField("skipped", T.BooleanType(), False),
     T.StructField("reason", T.StringType(), True),
+    T.StructField("arrival", T.LongType(), True),
 ])
 
 # Declared schemas of the driver tables the analogue reads.  A declared schema
