@@ -61,3 +61,29 @@ def test_profile_equals_separate_rules(spark, t):
     # One aggregate: a single exchange (the separate rules plan one per rule).
     assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, sep.collect()))
+
+
+def test_keyed_pass_equals_separate_rules(spark, t):
+    parent = spark.createDataFrame([(1,), (3,), (3,)], "k int")
+    empty = t.limit(0)
+    two = spark.createDataFrame([("a:1", "b"), ("a", "1:b"), ("a:1", "b"), (None, "b"), (None, "b")], "x string, y string")
+    one = quality.keyed([
+        quality.Unique(t, ["k"], "t"), quality.Unique(two, ["x", "y"], "two"), quality.Unique(empty, ["k"], "empty"),
+        quality.Relationship(t, "k", parent, "k", "t", "k"), quality.Relationship(empty, "k", parent, "k", "empty", "k"),
+        quality.Relationship(t, "k", empty, "k", "t2", "k")])
+    sep = quality.report([
+        quality.unique(t, ["k"], "t"), quality.unique(two, ["x", "y"], "two"), quality.unique(empty, ["k"], "empty"),
+        quality.relationships(t, "k", parent, "k", "t", "k"), quality.relationships(empty, "k", parent, "k", "empty", "k"),
+        quality.relationships(t, "k", empty, "k", "t2", "k")])
+    assert one.columns == quality.REPORT_COLUMNS
+    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 4
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, sep.collect()))
+
+
+def test_distinct_share_and_empty_table(spark, t):
+    many = spark.range(5000).selectExpr("id", "id % 10 AS few")
+    rep = quality.profile(many, "m", distinct=[("id", 0.9), ("few", 0.9)])
+    assert _by_column(rep) == {("distinct_share", "id"): (0, True), ("distinct_share", "few"): (1, False)}
+    nothing = quality.profile(t.limit(0), "t", not_null=["k"], bounds=[("x", 0, 1)], min_rows=1, distinct=[("k", 0.5)])
+    assert quality.gate(nothing, raise_on_failure=False) is False and _by_column(nothing)[("row_count", "*")] == (1, False)
+    assert quality.gate(nothing, warn_only={("row_count", "t", "*")}) is True

@@ -139,3 +139,33 @@ def test_load_dim_keeps_na_text(spark, tmp_dir):
     dim = files.load_dim(spark, path, schema)
     got = rows(dim)
     assert got == [(1, "Alabama", "NA", "State"), (11, "Birmingham", "AL", "Metro"), (12, None, "AL", "Metro")]
+
+
+def test_layout_skips_row_groups_for_each_filter(spark, tmp_dir):
+    """Of the files of a year, a filter on the state alone or on the category alone can match few: by statistics, counted."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    states, categories = [f"S{k:02d}" for k in range(16)], [f"C{k:02d}" for k in range(16)]
+    flows = spark.createDataFrame([(2020, s, c, f"z{k % 40}", f"z{k % 30}", "n", "m", float(k)) for k, (s, c) in enumerate(
+        (s, c) for s in states for c in categories for _ in range(8))],
+        "year int, origin_state string, commodity_category string, origin_zone string, destination_zone string, origin_name string, commodity_name string, total_tons double")
+    files.write_gold_flows(flows.repartition(4), tmp_dir, max_records_per_file=64)
+    groups = [g for f in glob.glob(f"{tmp_dir}/year=2020/*.parquet") for m in [pq.read_metadata(f)] for g in map(m.row_group, range(m.num_row_groups))]
+
+    def may_match(column, value):
+        k = next(k for k in range(groups[0].num_columns) if groups[0].column(k).path_in_schema == column)
+        return sum(g.column(k).statistics.min <= value <= g.column(k).statistics.max for g in groups)
+
+    assert len(groups) >= 32
+    assert all(may_match("origin_state", v) <= 0.45 * len(groups) for v in states)
+    assert all(may_match("commodity_category", v) <= 0.45 * len(groups) for v in categories)
+    back = spark.read.parquet(tmp_dir)
+    assert sorted(map(tuple, back.select(*flows.columns).collect())) == sorted(map(tuple, flows.collect()))
+
+
+def test_interleaved_key_of_nulls_and_one_value(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 1), ("b", 1), (None, 1)], "s string, one int")
+    got = files.interleaved(df, ["s", "one"]).orderBy("_z").collect()
+    assert [r.s for r in got] == ["a", "b", None, None] and files.interleaved(df.limit(0), ["s"]).count() == 0

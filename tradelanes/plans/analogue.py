@@ -80,13 +80,18 @@ def region_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("state")))
 
 
+def _seed(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """A few fixed rows as literals: the optimizer knows their size, so a join with them is planned as a broadcast."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def commodity_dim(spark: SparkSession) -> DataFrame:
-    rows = [(code, name, cat) for _, code, name, cat in COMMODITY_SEED]
-    return spark.createDataFrame(rows, "commodity_code int, commodity_name string, commodity_category string")
+    return _seed(spark, [(code, name, cat) for _, code, name, cat in COMMODITY_SEED], ["commodity_code", "commodity_name", "commodity_category"])
 
 
 def mode_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MODE_SEED, "mode_code int, mode_name string, mode_category string")
+    return _seed(spark, MODE_SEED, ["mode_code", "mode_name", "mode_category"])
 
 
 # ---------------------------------------------------------------- fact

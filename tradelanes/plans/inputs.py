@@ -5,11 +5,8 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tradelanes.plans import analogue, gold, silver
-from tradelanes.session import scratch_path
-from tradelanes.sources import files
 
 
 class Inputs:
@@ -51,18 +48,6 @@ class Inputs:
                                                         missing_base=missing_base)
         return self._flows[missing_base]
 
-    @cached_property
-    def gold_flows(self) -> DataFrame:
-        """G1 as a stored mart in the read-optimised layout, for serving."""
-        path = scratch_path(self.spark, "gold_flows")
-        files.write_gold_flows(self.flows(), path)
-        return self.spark.read.parquet(path)
-
-    @cached_property
-    def latest_year(self) -> int | None:
-        """The newest year of the stored mart (a partition column: no data is read)."""
-        return self.gold_flows.agg(F.max("year")).first()[0]
-
     @cached_property
     def raw_indicators(self) -> DataFrame:
         return analogue.raw_indicators(self.spark, self.sf_dir)

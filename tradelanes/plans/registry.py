@@ -28,6 +28,7 @@ from tradelanes.operators.ranking import (
 )
 from tradelanes.plans import analogue, chain, gold, serve, silver
 from tradelanes.plans.inputs import Inputs
+from tradelanes.plans.marts import mart
 from tradelanes.session import scratch_path, stored
 from tradelanes.sources import files, manifest, schemas, versions
 
@@ -360,12 +361,19 @@ def _q_not_null(i: Inputs) -> DataFrame:
     return quality.not_null(i.flows(), FLOW_NOT_NULL, "lane_flows")
 
 
+def _unique_rules(i: Inputs) -> list:
+    return [quality.Unique(i.table("lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"), quality.Unique(i.regions, ["region_code"], "regions"),
+            quality.Unique(i.indicators, ["obs_date"], "silver_indicators")]
+
+
+def _relationship_rules(i: Inputs) -> list:
+    return [quality.Relationship(i.table("lineitem"), "l_partkey", i.table("part"), "p_partkey", "lineitem", "l_partkey"),
+            quality.Relationship(i.table("orders"), "o_custkey", i.table("customer"), "c_custkey", "orders", "o_custkey"),
+            quality.Relationship(i.shipments, "origin_zone", i.regions, zone_key("region_code"), "shipments", "origin_zone")]
+
+
 def _q_unique(i: Inputs) -> DataFrame:
-    return quality.report([
-        quality.unique(i.table("lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"),
-        quality.unique(i.regions, ["region_code"], "regions"),
-        quality.unique(i.indicators, ["obs_date"], "silver_indicators"),
-    ])
+    return quality.keyed(_unique_rules(i))
 
 
 def _q_accepted(i: Inputs) -> DataFrame:
@@ -378,12 +386,7 @@ def _q_accepted(i: Inputs) -> DataFrame:
 
 
 def _q_relationships(i: Inputs) -> DataFrame:
-    return quality.report([
-        quality.relationships(i.table("lineitem"), "l_partkey", i.table("part"), "p_partkey", "lineitem", "l_partkey"),
-        quality.relationships(i.table("orders"), "o_custkey", i.table("customer"), "c_custkey", "orders", "o_custkey"),
-        quality.relationships(i.shipments, "origin_zone", i.regions, zone_key("region_code"), "shipments",
-                              "origin_zone"),
-    ])
+    return quality.keyed(_relationship_rules(i))
 
 
 def _q_ranges(i: Inputs) -> DataFrame:
@@ -415,7 +418,8 @@ def q_quality_report(i: Inputs) -> DataFrame:
 
     The single-pass rules of each table are grouped into one aggregate
     (``quality.profile``), so ``lineitem`` is scanned once for its accepted
-    values, ranges and variance instead of once per rule."""
+    values, ranges and variance instead of once per rule, and the keys of all unique and
+    relationship rules are counted in one pass (``quality.keyed``)."""
     lineitem = quality.profile(
         i.table("lineitem"), "lineitem", accepted=[("l_returnflag", ["A", "N", "R"])],
         bounds=[("l_quantity", 0, 50), ("l_discount", 0, 0.1), ("l_tax", 0, 0.05)], min_rows=1,
@@ -424,12 +428,11 @@ def q_quality_report(i: Inputs) -> DataFrame:
                                  variance=["tsi_freight", "truck_vmt", "rail_carloads"])
     return quality.report([
         _q_not_null(i),
-        _q_unique(i),
+        quality.keyed([*_unique_rules(i), *_relationship_rules(i)]),
         lineitem,
         quality.accepted_values(i.table("orders"), "o_orderstatus", ["F", "O"], "orders"),
         quality.accepted_values(gold.disruption_indicators(i.indicators, season="hour_of_day"), "severity",
                                 ["NORMAL", "MEDIUM", "HIGH"], "disruption_indicators"),
-        _q_relationships(i),
         quality.ranges(i.table("events"), [("value", 0, None)], "events"),
         indicators,
     ])
@@ -536,63 +539,73 @@ def q_monthly_refresh(i: Inputs) -> DataFrame:
 def q_gold_layout_read(i: Inputs) -> DataFrame:
     """Lane flows written with the read-optimised layout, then read
     with a year (partition) and state (row-group) filter."""
-    return i.gold_flows.where((F.col("year") == i.latest_year) & (F.col("origin_state") == SERVE_STATE)).select(*gold.LANE_FLOW_COLUMNS)
+    return mart(i, "lane_flows").where((F.col("year") == latest_year(i)) & (F.col("origin_state") == SERVE_STATE)).select(*gold.LANE_FLOW_COLUMNS)
 
 
 # ------------------------------------------------------------------ serving
 
+def latest_year(i: Inputs) -> int | None:
+    """The newest year of the stored mart: a partition column, so no data is read."""
+    return mart(i, "lane_flows").agg(F.max("year")).first()[0]
+
+
 @register("serve_category_series")
 def q_serve_category_series(i: Inputs) -> DataFrame:
     """Tonnage per commodity category and year at mid-year."""
-    return serve.category_series(gold.commodity_trends(i.gold_flows))
+    return serve.category_series(mart(i, "commodity_trends"))
 
 
 @register("serve_scorecard")
 def q_serve_scorecard(i: Inputs) -> DataFrame:
     """The scorecard table with display scaling."""
-    return serve.scorecard_table(gold.lane_scorecard(i.flows()))
+    return serve.scorecard_table(mart(i, "lane_scorecard"))
 
 
 @register("serve_mode_share_top")
 def q_serve_mode_share_top(i: Inputs) -> DataFrame:
     """D3: mode share pivot of the 5 largest cross-zone corridors of the newest year of the stored mart."""
-    ms = gold.mode_share(i.gold_flows, analogue.DECLINE_MODE_NAME)
-    return serve.mode_share_top(ms, i.latest_year, SERVE_TONNAGE_FLOOR, [m for _, m, _ in analogue.MODE_SEED])
+    return serve.mode_share_top(mart(i, "mode_share"), latest_year(i), SERVE_TONNAGE_FLOOR, [m for _, m, _ in analogue.MODE_SEED])
 
 
 @register("serve_state_lanes")
 def q_serve_state_lanes(i: Inputs) -> DataFrame:
     """Top 15 corridor x category flows from one origin state."""
-    return serve.state_lanes(i.gold_flows, i.latest_year, SERVE_STATE)
+    return serve.state_lanes(mart(i, "lane_flows"), latest_year(i), SERVE_STATE)
 
 
 @register("serve_indicator_series")
 def q_serve_indicator_series(i: Inputs) -> DataFrame:
     """Indicator series since a year, rescaled."""
-    return serve.indicator_series(gold.disruption_indicators(i.indicators, season="hour_of_day"), 2024)
+    return serve.indicator_series(mart(i, "disruption_indicators"), 2024)
 
 
 @register("serve_anomaly_events")
 def q_serve_anomaly_events(i: Inputs) -> DataFrame:
     """Anomaly event annotations."""
-    return serve.anomaly_events(gold.disruption_indicators(i.indicators, season="hour_of_day"))
+    return serve.anomaly_events(mart(i, "disruption_indicators"))
 
 
 @register("serve_growth_bands")
 def q_serve_growth_bands(i: Inputs) -> DataFrame:
     """Growth banded into display classes."""
-    return serve.growth_bands(i.gold_flows.select(*gold.LANE_KEYS, "year", "yoy_growth_pct"))
+    return serve.growth_bands(mart(i, "lane_flows").select(*gold.LANE_KEYS, "year", "yoy_growth_pct"))
 
 
 # ------------------------------------------------------------------ the chain of layers
 
 @register("chain_lane_flows")
 def q_chain_lane_flows(i: Inputs) -> DataFrame:
-    """G1 at the end of the chain: landed CSV -> B1 -> B2 -> G1, with contracts and gates between."""
-    return chain.run(i)["lane_flows"]
+    """G1 at the end of the chain, and only what it needs: landed CSV -> B1 -> B2 -> G1, with contracts and gates between."""
+    return chain.run(i, "lane_flows")["lane_flows"]
 
 
 @register("chain_commodity_trends")
 def q_chain_commodity_trends(i: Inputs) -> DataFrame:
     """G2 from the chain's stored G1."""
-    return chain.run(i)["commodity_trends"]
+    return chain.run(i, "commodity_trends")["commodity_trends"]
+
+
+@register("chain_monthly_trade")
+def q_chain_monthly_trade(i: Inputs) -> DataFrame:
+    """B3 landed by month, under its contract and its gate, a branch of the chain of its own."""
+    return chain.run(i, "silver_monthly_trade")["silver_monthly_trade"]
