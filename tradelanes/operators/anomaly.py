@@ -23,9 +23,9 @@ def seasonal_baseline(df: DataFrame, season: str, columns: Mapping[str, str],
     ``method='aggregate'`` (default) the statistics come from a grouped
     aggregate - partial aggregation makes it indifferent to a season holding
     most of the rows - and are joined back; the statistics table has one row
-    per season (12 months, 24 hours), and it is broadcast only after a size
-    check, otherwise joined by a shuffle.  ``method='window'`` uses a
-    full-partition window instead (one task per season).
+    per season (12 months, 24 hours), and a NULL season is one of them.
+    ``method='window'`` uses a full-partition window instead (one task per season).
+    ``mergeable.add_to_baseline`` keeps the statistics up to date month by month.
 
     ``columns`` maps a metric column to the prefix of its statistics:
     ``{prefix}_mean`` and ``{prefix}_stddev``.
@@ -41,8 +41,8 @@ def seasonal_baseline(df: DataFrame, season: str, columns: Mapping[str, str],
     aggs = []
     for c, p in columns.items():
         aggs += [F.avg(c).alias(f"{p}_mean"), F.stddev_samp(c).alias(f"{p}_stddev")]
-    stats = df.groupBy(season).agg(*aggs)
-    return df.join(stats, on=season, how="left")
+    stats = df.groupBy(F.col(season).alias("_season")).agg(*aggs)
+    return df.join(stats, F.col(season).eqNullSafe(F.col("_season")), "left").drop("_season")
 
 
 def zscore(value: str | Column, mean: str | Column, stddev: str | Column) -> Column:

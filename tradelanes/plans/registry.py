@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import safe_ratio, surrogate_key
 from tradelanes.operators.conform import conform, split_quarantine
-from tradelanes.operators import quality
+from tradelanes.operators import mergeable, quality
 from tradelanes.operators.keys import dedupe
 from tradelanes.operators.reshape import pivot_values, unpivot_union
 from tradelanes.operators.anomaly import seasonal_baseline
@@ -130,6 +130,23 @@ def q_lane_diversity(i: Inputs) -> DataFrame:
                            {"mode_count": "mode_code", "commodity_count": "commodity_code"})
 
 
+@register("distinct_rollups")
+def q_distinct_rollups(i: Inputs) -> DataFrame:
+    """A2: distinct modes, commodities and (by sketch) destinations of corridor-years, corridors and origin states, all merged
+    from one pass over the shipments."""
+    sets = stored(mergeable.code_sets(i.shipments, ["origin_zone", "destination_zone", "year"], {
+        "mode_count": ("mode_code", max(m for m, _, _ in analogue.MODE_SEED)),
+        "commodity_count": ("commodity_code", max(c for _, c, _, _ in analogue.COMMODITY_SEED))}, {"destination_count": "destination_zone"}), "sets")
+    states = i.regions.select(zone_key("region_code").alias("origin_zone"), F.col("state").alias("origin_state"))
+    corridors = mergeable.merge_sets(sets, ["origin_zone", "destination_zone"])
+    of_state = mergeable.merge_sets(sets.join(states, "origin_zone", "left"), ["origin_state"])
+    out = None
+    for level, merged in (("corridor_year", sets), ("corridor", corridors), ("state", of_state)):
+        counts = mergeable.set_counts(merged).withColumn("level", F.lit(level))
+        out = counts if out is None else out.unionByName(counts, allowMissingColumns=True)
+    return out
+
+
 @register("lane_summary")
 def q_lane_summary(i: Inputs) -> DataFrame:
     """A1-A3: corridor summary: sums, distinct counts, average growth."""
@@ -236,6 +253,34 @@ def q_seasonal_baseline(i: Inputs) -> DataFrame:
                     *[F.round(c, 6).alias(c) for c in ("tsi_mean", "tsi_stddev", "vmt_mean", "vmt_stddev")])
 
 
+@register("seasonal_baseline_by_day")
+def q_seasonal_baseline_by_day(i: Inputs) -> DataFrame:
+    """W8 kept up to date: moments of every day but the newest, then the newest day alone, merged to the statistics of each hour
+    of the day."""
+    base = scratch_path(i.spark, "baseline")
+    series = i.indicators.withColumn("day", F.to_date("obs_date"))
+    columns = {"tsi_freight": "tsi", "truck_vmt": "vmt"}
+    newest = series.agg(F.max("day")).first()[0]
+    mergeable.add_to_baseline(series.where(F.col("day") < F.lit(newest)), base, "hour_of_day", "day", columns)
+    mergeable.add_to_baseline(series.where(F.col("day") == F.lit(newest)), base, "hour_of_day", "day", columns)
+    merged = mergeable.baseline(versions.read(i.spark, base), "hour_of_day", "day")
+    return merged.select("hour_of_day", *[F.round(c, 6).alias(c) for c in ("tsi_mean", "tsi_stddev", "vmt_mean", "vmt_stddev")])
+
+
+@register("profile_by_month")
+def q_profile_by_month(i: Inputs) -> DataFrame:
+    """Q5/Q6: profiles of monthly trade kept for each month: all months but those of the newest year, then these alone, merged.
+    The number of distinct values is a sketch's and shown where it is small (and exact)."""
+    base, by = scratch_path(i.spark, "profiles"), ("year", "month")
+    trade = stored(silver.silver_monthly_trade(i.raw_monthly_trade), "trade")
+    newest = trade.agg(F.max("year")).first()[0]
+    for rows in (trade.where(F.col("year") < F.lit(newest)), trade.where(F.col("year") == F.lit(newest))):
+        mergeable.update_profile(rows, base, by, ["shipment_value", "ship_weight", "mode_code"], ["usa_state", "commodity_code", "mexico_state"])
+    merged = mergeable.merged_profile(versions.read(i.spark, base), by)
+    return merged.select("column_name", "n_rows", "n_nulls", "low", "high", F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev"),
+                         F.when(F.col("n_distinct") <= 50, F.col("n_distinct")).alias("few_distinct"))
+
+
 @register("seasonal_zscores")
 def q_seasonal_zscores(i: Inputs) -> DataFrame:
     """Z-scores of the two metrics against their season, rounded to 2."""
