@@ -75,6 +75,18 @@ def test_odd_inputs(spark, odd_docs, no_docs):
     assert rules.judge(odd_docs, labels.limit(0)).count() == len(got)
 
 
+def test_forest_learns_from_the_lowest_hashes(spark, monkeypatch):
+    """The same rows whatever share of the hashes is looked at first, with copies that leave too few."""
+    rows = [(i, t) for i, t, _ in texts(300)] + [(1000 + i, texts(1)[0][1]) for i in range(900)]
+    stats = rules.rule_statistics(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    taken = []
+    monkeypatch.setattr(rules, "Forests", lambda sample, *a: taken.append(sample))
+    rules.grow(stats, trees=10, size=10)
+    monkeypatch.setattr(rules, "min", lambda *a: 1.0, raising=False)  # all of them at once
+    rules.grow(stats, trees=10, size=10)
+    assert taken[0].shape == (100, 4) and np.array_equal(*taken)
+
+
 def plain_path(forest, tree, row):
     node = 0
     while forest.column[tree, node] >= 0:

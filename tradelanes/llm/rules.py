@@ -141,9 +141,20 @@ class Forests:
 
 def grow(stats: DataFrame, trees: int = TREES, size: int = SAMPLE, seed: int = 11) -> Forests:
     """Forests over the texts that pass the fixed rules.  They are grown on ``trees * size`` texts at most, those of the lowest
-    hash over the whole corpus, copies of a text once."""
-    fit = stats.where(~base_failed()).groupBy(F.xxhash64("key", F.lit(seed)).alias("draw")).agg(*[F.first(c).alias(c) for c in COUNTS])
-    drawn = fit.orderBy("draw").limit(trees * size).collect()
+    hash over the whole corpus, copies of a text once.
+
+    Only texts below a hash are looked at, about twice as many as are needed, and more if copies leave too few of them, so
+    what tasks and the driver get does not grow with the corpus."""
+    most, draw = trees * size, F.xxhash64("key", F.lit(seed))
+    passed = stats.where(~base_failed())
+    share = min(1.0, 2 * most / max(1, passed.count()))
+    while True:
+        cut = F.lit(True) if share >= 1 else draw < F.lit(int(-(1 << 63) + share * (1 << 64)))
+        fit = stored(passed.where(cut).groupBy(draw.alias("draw")).agg(*[F.first(c).alias(c) for c in COUNTS]), "drawn")
+        if share >= 1 or fit.count() >= most:
+            break
+        share = min(1.0, 4 * share)
+    drawn = fit.orderBy("draw").limit(most).collect()
     counts = {c: np.array([r[c] for r in drawn], float) for c in COUNTS}
     return Forests(shares_of(counts), trees, size, seed)
 
