@@ -60,13 +60,32 @@ def test_scores(spark):
     edges = [("a", "b", 3.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "spam", 5.0), ("d", "a", 1.0), ("spam", "e", 1.0)]
     trust, distrust = {"a": 1.0, "b": 0.5}, {"spam": 1.0, "a": 0.25}
     seeds = spark.createDataFrame([(h, trust.get(h, 0.0), distrust.get(h, 0.0)) for h in "a b c d spam f".split()], "host string, trust double, distrust double")
-    got = {r.host: (r.trust, r.distrust) for r in urls.scores(spark.createDataFrame(edges, "src string, dst string, n double"), seeds, rounds=5).collect()}
-    right = plain_scores(edges, {h: trust.get(h, 0) for h in "a b c d spam f".split()}, distrust, urls.DAMPING, 5)
+    got = {r.host: (r.trust, r.distrust) for r in urls.scores(spark.createDataFrame(edges, "src string, dst string, n double"), seeds, tolerance=1e-11).collect()}
+    right = plain_scores(edges, {h: trust.get(h, 0) for h in "a b c d spam f".split()}, distrust, urls.DAMPING, 200)
     assert set(got) == set(right[0])
     for h, (t, d) in got.items():
         assert abs(t - right[0][h]) < 1e-9 and abs(d - right[1][h]) < 1e-9
 
 
+def test_scores_travel_any_way(spark):
+    """A way of 40 links: the score reaches its end, and stands still at the default tolerance."""
+    hosts = [f"h{i:02d}" for i in range(41)]
+    edges = [(a, b, 1.0) for a, b in zip(hosts, hosts[1:])]
+    seeds = spark.createDataFrame([(h, float(h == "h00"), float(h == "h40")) for h in hosts], "host string, trust double, distrust double")
+    got = {r.host: (r.trust, r.distrust) for r in urls.scores(spark.createDataFrame(edges, "src string, dst string, n double"), seeds).collect()}
+    right = plain_scores(edges, {"h00": 1.0, **dict.fromkeys(hosts[1:], 0)}, {"h40": 1.0}, urls.DAMPING, 400)
+    assert got["h40"][0] > 0 and got["h00"][1] > 0
+    assert all(abs(got[h][k] - right[k][h]) < 2 * urls.TOLERANCE for h in hosts for k in (0, 1))
+
+
+def test_very_long_url_and_html(spark):
+    long = "http://long.com/" + "p" * 100_000
+    html = "<p>" + "x " * 200_000 + '<a href="http://bad.net/es/1">'
+    rows = [(1, long, html), (2, "http://bad.net/es/1", ""), (3, "http://far.org/" + "?" * 50_000, None)]
+    got = {r.page_id: (r.host, len(r.path), r.verdict) for r in urls.judge(pages(spark, rows), urls.as_rules(spark, ALLOW, BLOCK)).collect()}
+    assert got[1] == ("long.com", 100_001, "allow") and got[2][2] == "block" and got[3][:2] == ("far.org", 1)
+
+
 def test_hosts_that_link_to_blocked_ones_are_blocked(spark):
     link = '<a href="http://bad.net/es/1">x</a> <A HREF = //Bad.net/fr/2>y</A> <a href="/local">z</a>'
     rows = [(i, f"http://bad.net/es/{i}", "") for i in range(5)] + [(10 + i, f"http://farm{i}.org/p", link) for i in range(3)]

@@ -19,8 +19,9 @@ from tradelanes.session import stored
 
 #: Absolute and protocol-relative link targets; relative links stay on their host and add no edge.
 LINK = r"""(?i:href|src)\s*=\s*["']?(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
-DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 1.0
-_CUT = 4  # rounds between written tables
+DAMPING, THRESHOLD = 0.85, 1.0
+TOLERANCE = 1e-4  # change of any host, in multiples of the mean score, at which the scores stand
+_CUT = 6  # rounds between written tables
 
 
 def lower_ascii(text: Column) -> Column:
@@ -66,12 +67,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(tree).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def scores(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def scores(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank of trust (along edges) and distrust (against them).
 
     ``seeds`` has host, trust, distrust (weights from 0 on).  Every host keeps a share of its score by a
     link to itself, so no score is lost at hosts without links.  Returns host, trust, distrust as multiples of
-    the mean over hosts."""
+    the mean over hosts.
+
+    There are as many rounds as it takes, however long the ways from the seeds are: until no host's score has changed by more
+    than ``tolerance`` over _CUT rounds.  One number a check reaches the driver, and every check ends in a written table."""
     hosts = seeds.select("host").union(edges.select("src")).union(edges.select("dst")).distinct()
     loops = hosts.select(F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(1.0).alias("n"))
     ways = (edges.unionByName(loops).select(F.lit("trust").alias("kind"), "src", "dst", "n")
@@ -82,24 +86,33 @@ def scores(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
         F.lit("trust"), F.coalesce("trust", F.lit(0.0)), F.lit("distrust"), F.coalesce("distrust", F.lit(0.0)))).alias("kind", "weight"))
     totals = start.groupBy("kind").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("n"))  # two rows
     start = stored(start.join(F.broadcast(totals), "kind").select("kind", "host", "n", F.when(F.col("total") > 0, F.col("weight") / F.col("total")).otherwise(0.0).alias("seed")), "seeds")
-    rank = start.select("kind", "host", F.col("seed").alias("score"))
-    for i in range(1, rounds + 1):
+    def step(rank: DataFrame) -> DataFrame:
         sent = (rank.withColumnRenamed("host", "src").join(ways, ["kind", "src"])
                 .select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("part"))
                 .groupBy("kind", "host").agg(F.sum("part").alias("got")))
-        rank = (start.join(sent, ["kind", "host"], "left")
-                .select("kind", "host", ((1 - damping) * F.col("seed") + damping * F.coalesce("got", F.lit(0.0))).alias("score")))
-        if i % _CUT == 0 and i < rounds:
-            rank = stored(rank, "rank")
+        return (start.join(sent, ["kind", "host"], "left")
+                .select("kind", "host", "n", ((1 - damping) * F.col("seed") + damping * F.coalesce("got", F.lit(0.0))).alias("score")))
+
+    rank = start.select("kind", "host", "n", F.col("seed").alias("score"))
+    while True:
+        new = rank
+        for _ in range(_CUT):
+            new = step(new)
+        new = stored(new, "rank")
+        moved = (new.join(rank.select("kind", "host", F.col("score").alias("before")), ["kind", "host"])
+                 .agg(F.max(F.abs(F.col("score") - F.col("before")) * F.col("n"))).first()[0])
+        rank = new
+        if moved is None or moved <= tolerance:
+            break
     value = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score") * F.col("n"))), F.lit(0.0)).alias(kind)
-    return rank.join(start, ["kind", "host"]).groupBy("host").agg(value("trust"), value("distrust"))
+    return rank.groupBy("host").agg(value("trust"), value("distrust"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD, damping: float = DAMPING, rounds: int = ROUNDS,
+def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD, damping: float = DAMPING, tolerance: float = TOLERANCE,
           id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each page, repeats included: page_id, host, path, rule, verdict, trust, distrust.
 
-    A null url, or one without ``://``, has an empty host and path; such pages no rule can cover and hosts
+    Urls and html of any length are read whole.  A null url, or one without ``://``, has an empty host and path; such pages no rule can cover and hosts
     without any score are allowed.  Null html has no links; null ids stay null; other columns are not read."""
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
     sent = rows.drop("html")
@@ -114,7 +127,7 @@ def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD, damp
     share = lambda verdict: (F.sum(F.when(F.col("hit.verdict") == verdict, F.col("pages")).otherwise(0)) / F.sum("pages"))
     seeds = stored(ruled(counted).where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")), "host_seeds")
     edges = stored(host_edges(rows.select("host", "html")), "host_edges")
-    scored = scores(edges, seeds, damping, rounds)
+    scored = scores(edges, seeds, damping, tolerance)
     out = ruled(sent).join(scored, "host", "left")
     blocked = F.round(F.col("distrust") - F.col("trust"), 9) > threshold
     return out.select("page_id", "host", "path", F.col("hit.rule").alias("rule"),
