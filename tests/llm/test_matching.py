@@ -40,17 +40,20 @@ def test_next_and_edited_texts(make_docs):
 def test_band_counts_all_documents(make_docs):
     rows = corpus()
     n = Counter(t for _, text, *_ in rows for t in matching.terms(text))
-    kept = {t: c for t, c in n.items() if c > 1}
-    for entries in (1 << 17, 50):
-        right = {t for t, c in kept.items() if c * entries >= sum(kept.values()) and c <= 0.25 * len(rows)}
-        assert set(matching.band(make_docs(rows), entries=entries)) == right
-        assert len(right) <= entries
+    docs = sum(bool(text) for _, text, *_ in rows)
+    for rare, common in ((1 / 500, 1 / 4), (0.02, 0.1)):
+        right = {t for t, c in n.items() if c > 1 and rare * docs <= c <= common * docs}
+        assert set(matching.band(make_docs(rows), rare=rare, common=common)) == right and right
+    # The band is one of idf: the same terms in a corpus of twice the size
+    twice = rows + [(5000 + i, *r) for i, *r in rows]
+    assert set(matching.band(make_docs(twice), rare=0.02, common=0.1)) == right
 
 
 def test_fingerprint_is_sorted_terms_of_each_lexicon():
     lexicons = matching.Lexicons(sorted(matching.terms("alpha beta gamma delta epsilon zeta eta theta")))
     assert lexicons.fingerprint("Beta alpha, beta! gamma") == lexicons.fingerprint("gamma alpha beta unknown")
-    assert matching.likeness(lexicons.fingerprint(None), lexicons.fingerprint("unknown")) == 1.0
+    assert matching.likeness(lexicons.fingerprint(None), lexicons.fingerprint("unknown")) == 0.0
+    assert matching.likeness(lexicons.fingerprint(None), lexicons.fingerprint("")) == 1.0
     assert lexicons.fingerprint("") == matching.EMPTY * matching.LEXICONS
     assert matching.likeness(lexicons.fingerprint("alpha"), lexicons.fingerprint("theta")) == 0.0
 

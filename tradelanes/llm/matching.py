@@ -1,6 +1,6 @@
 """Document fingerprints: I-Match over several randomised lexicons.
 
-The lexicon has the terms whose inverse document frequency lies in a band: rare terms (typing
+The lexicon has the terms whose inverse document frequency lies in a band, whatever the size of the corpus: rare terms (typing
 errors, cut words) and terms of every other document say little about which document it is.  Each of several
 lexicons keeps a random part of it, some a quarter, some one in five hundred, so short and long documents both have lexicons
 that hold a handful of their terms.  A document's distinct terms in a lexicon are sorted and hashed; the fingerprint
@@ -24,13 +24,12 @@ from pyspark.sql import functions as F
 from tradelanes.llm.common import text_key, word_counts
 from tradelanes.session import stored
 
-LEXICONS = 32
+LEXICONS = 64
 LEVELS = 8  # lexicon i keeps a term with chance 1 / 2 ** (2 + i % LEVELS)
 DIGITS = 8  # hexadecimal digits of one lexicon's hash
 EMPTY = "0" * DIGITS  # no term of the lexicon
 ODD = "13579bdf"  # last digits of the hashes of lexicon terms
-COMMON = 0.25  # largest share of documents a term may be in
-ENTRIES = 1 << 17  # terms of the lexicon at most
+RARE, COMMON = 1 / 500, 1 / 4  # least and largest share of documents that a term may be in: the idf band
 SEED = 11
 MARKS = ".,;:!?\"'()[]{}|"
 
@@ -56,10 +55,10 @@ class Lexicons:
         own = terms(text or "")
         found = sorted(i for t in own if (i := self.row.get(t)) is not None)
         rows = np.array(found, np.int64)
-        within, hashes, out = self.within[rows], self.keys[rows], []
-        for i in range(LEXICONS):
-            kept = hashes[within[:, i]]
-            out.append(f"{xxhash.xxh32_intdigest(kept.tobytes(), SEED) | 1:0{DIGITS}x}" if len(kept) else EMPTY)
+        lexicon, at = np.nonzero(self.within[rows].T)  # by lexicon, in each by key
+        kept, ends = self.keys[rows[at]].tobytes(), np.searchsorted(lexicon, np.arange(LEXICONS + 1)) * 8
+        cuts = ends.tolist()
+        out = [f"{xxhash.xxh32_intdigest(kept[a:b], SEED) | 1:0{DIGITS}x}" if a < b else EMPTY for a, b in zip(cuts, cuts[1:])]
         if text and out.count(EMPTY) == LEXICONS:
             whole = np.array(sorted(own), np.int64).tobytes() or text.encode()
             out = [f"{xxhash.xxh32_intdigest(whole, SEED + 1 + i) & ~1 | 2:0{DIGITS}x}" for i in range(LEXICONS)]
@@ -68,28 +67,27 @@ class Lexicons:
 
 def likeness(a: str, b: str) -> float:
     """Share of lexicons with equal hashes among those where either side has a term.  Without any, 1 if the fingerprints
-    are equal, or if one is of an empty text."""
+    are equal, else 0."""
     parts = [(a[i: i + DIGITS], b[i: i + DIGITS]) for i in range(0, len(a), DIGITS)]
     told = [x == y for x, y in parts if x[-1] in ODD or y[-1] in ODD]
-    empty = EMPTY * LEXICONS
-    return sum(told) / len(told) if told else float(a == b or empty in (a, b))
+    return sum(told) / len(told) if told else float(a == b)
 
 
-def band(docs: DataFrame, text_col: str = "text", common: float = COMMON, entries: int = ENTRIES) -> list[int]:
-    """Terms of the band, counted over all documents.
+def band(docs: DataFrame, text_col: str = "text", rare: float = RARE, common: float = COMMON) -> list[int]:
+    """Terms of the band, counted over all documents: those that at least ``rare`` and at most ``common`` of the documents with a text
+    hold, and two documents at least.
 
-    Terms of a single document are out.  The upper end of idf is where a term's documents are fewer than all (document,
-    term) pairs over ``entries``: at most ``entries`` terms have more, however many documents there are, so the band
-    can be sent to the driver and back.  The lower end is ``common``."""
+    A document with d distinct terms adds to d counts, so at most d / ``rare`` terms reach ``rare`` of all documents, d their mean:
+    some 150,000 for documents of 300 terms, however many documents there are, which the driver and every task can hold."""
     rows = docs.select(F.lit(0).alias("all"), F.col(text_col).alias("text"))
     counts = stored(word_counts(rows, "all", terms, "long", 500_000).where("n > 1").select("word", "n"), "term_documents")
-    pairs, n = counts.agg(F.sum("n")).first()[0] or 0, docs.count()
-    kept = counts.where((F.col("n") * entries >= pairs) & (F.col("n") <= max(2, common * n))).select("word")
+    n = docs.where(F.length(text_col) > 0).count()
+    kept = counts.where((F.col("n") >= rare * n) & (F.col("n") <= max(2, common * n))).select("word")
     return [r.word for r in kept.collect()]
 
 
 def fingerprints(docs: DataFrame, lexicons: Lexicons, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint of every input row; null and empty texts have an empty one."""
+    """doc_id and fingerprint of every input row; null and empty texts have an empty one, texts of any length are read whole."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     @F.pandas_udf("string")
@@ -146,7 +144,7 @@ def near_report(docs: DataFrame, lexicons: Lexicons, id_col: str = "doc_id", tex
     (likeness to its edited text and to the next document).
 
     Null texts count as empty; equal ids stand by text key, null ids come first; repeated rows come back as often as
-    they came; a single document is its own next; other columns are not read."""
+    they came; a single document is its own next; texts of any length are read whole; other columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
