@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -53,6 +55,54 @@ def test_language_of_odd_inputs(odd_docs, no_docs, small_language):
     assert language.predict(no_docs, empty).count() == 0
 
 
+def plain_language(rows, text, entries):
+    """Language and score from the definitions, all counts in one place."""
+    langs = sorted({lang for lang, _ in rows})
+    count = {0: {x: Counter() for x in langs}, **{n: {x: Counter() for x in langs} for n in language.GRAMS}}
+    for lang, t in rows:
+        for w in language.words(t):
+            count[0][lang][w] += 1
+            for n in language.GRAMS:
+                count[n][lang].update(language.grams(w, n))
+    held = {n: {e for x in langs for e, c in of[x].items() if c * entries >= of[x].total()} for n, of in count.items()}
+    whole = {n: {x: of[x].total() + 0.5 * (len(held[n]) + 1) for x in langs} for n, of in count.items()}
+    log = lambda n, e, x: math.log((count[n][x][e] + 0.5) / whole[n][x])
+
+    def back(word, step, x):
+        n = language.GRAMS[step]
+        last = step + 1 == len(language.GRAMS)
+        further = lambda part: math.log(0.4) + (math.log(0.5 / whole[n][x]) if last else back(part, step + 1, x))
+        parts = language.grams(word, n)
+        if not parts:
+            return further(word)
+        return sum(log(n, p, x) if p in held[n] else further(p.strip("^$") or p) for p in parts) / len(parts)
+
+    total, found = dict.fromkeys(langs, 0.0), language.words(text)
+    for w in found:
+        known = any(count[0][x][w] for x in langs)
+        each = {x: log(0, w, x) if known else back(w, 0, x) for x in langs}
+        for x in langs:
+            total[x] += (each[x] - sum(each.values()) / len(langs)) / max(1, len(found) / 10)
+    best = max(langs, key=lambda x: (total[x], [-ord(c) for c in x]))
+    return best, 1 / sum(math.exp(total[x] - total[best]) for x in langs)
+
+
+def test_language_equals_a_plain_scorer(spark):
+    """Words of the held tables, of the stored one and of neither, in texts of one word and of many."""
+    rng = random.Random(9)
+    lexicon = {x: ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(300)] for x, letters in (("aa", "abcdeé"), ("bb", "bcdefg"), ("cc", "cdefgh"))}
+    draw = lambda x, k: " ".join(lexicon[x][min(int(rng.expovariate(0.02)), 299)] for _ in range(k))
+    rows = [(x, draw(x, 40)) for x in lexicon for _ in range(25)]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string"), entries=60)
+    assert len(model.row[0]) < 180 < model.rare.count()
+    texts = [draw(rng.choice("abc") * 2, k) for k in [1, 2, 5, 30, 200] * 6] + ["".join(rng.choices("abcdefgh", k=9)) + " zzz" for _ in range(10)]
+    texts += [lexicon["bb"][299], "éa"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), model).collect()}
+    for i, text in enumerate(texts):
+        best, score = plain_language(rows, text, 60)
+        assert got[i][0] == best and abs(got[i][1] - score) < 1e-4, text
+
+
 def test_language_with_a_thousandth_of_the_rows(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("abcdefgh", k=7))

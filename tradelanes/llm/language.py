@@ -2,8 +2,10 @@
 
 A known word scores its log frequency in each language.  A word that is not known falls back to the
 longest character n-grams that are known, then to shorter ones, each step at a fixed discount.
-Frequencies come from all training rows; a word or n-gram is known if its share of the counts of some language reaches
-1 / ``entries``, however little of the corpus that language has.  So a table has at most ``entries`` rows for each language.
+Frequencies come from all training rows, and every word of these is known, so what is learnt grows with the corpus.  Words whose share of the
+counts of some language reaches 1 / ``entries``, at most ``entries`` for each language, are held by every task, and so are such
+n-grams.  All other words are a stored table: a document is scored as if it knew none of them, its words that may be there
+are joined with the table, and those that are correct the score.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,7 @@ UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 3, 2, 1)  # lengths of n-grams, in the order of falling back
 BACK = np.log(0.4)  # discount of each step back
+INDEPENDENT = 10  # words of a text that count in full: the words of a long one are not independent
 
 
 def words(text: str) -> list[str]:
@@ -44,6 +48,7 @@ class Model:
         """``counts`` has for words (0) and each n-gram length the entries and a row of counts by language for each;
         ``totals`` the counts of all words or n-grams, known or not, by language."""
         self.languages, self.remember = languages, remember
+        self.totals, self.rare = totals, None  # rare: the stored table of the words that the tables here lack
         self.seen = None  # scores of the words met so far, in the worker that meets them
         self.row, self.logs, self.floor = {}, {}, {}
         for n, (entries, found) in counts.items():
@@ -53,6 +58,9 @@ class Model:
             self.logs[n] = np.log((found + 0.5) / whole).astype(np.float32)
             self.floor[n] = np.log(0.5 / whole)
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "rare": None, "seen": None}  # tasks have no use for a table
+
     def known(self, n: int, entry: str) -> np.ndarray | None:
         at = self.row[n].get(entry)
         return None if at is None else self.logs[n][at]
@@ -75,23 +83,38 @@ class Model:
                 total += BACK + (self.backoff(part.strip("^$") or part, step + 1) if shorter else self.floor[n])
         return total / len(parts)
 
-    def predict(self, text: str) -> tuple[str, float]:
+    def evidence(self, text: str) -> tuple[np.ndarray | None, float, list[int], list[int]]:
+        """What a text says by the tables held here: the sum of its words' scores (None without a letter), the words with a
+        letter, and the keys and counts of its words that the stored table may know."""
         counts = Counter(words(text))
         if not counts or not self.languages:
-            return UNKNOWN, 0.0
+            return None, 0.0, [], []
         if self.seen is None or self.seen.full(len(counts)):
             self.seen = Seen(self, max(self.remember, len(counts)))
         rows = self.seen.rows(counts)
         n = np.fromiter(counts.values(), float, len(counts))
         lettered = float(n @ self.seen.lettered[rows])
         if not lettered:
+            return None, 0.0, [], []
+        keys = self.seen.keys[rows]
+        other = np.nonzero(keys)[0]
+        return (n[:, None] * self.seen.scores[rows]).sum(0), lettered, keys[other].tolist(), n[other].astype(int).tolist()
+
+    def predict(self, text: str) -> tuple[str, float]:
+        """Language and score by the tables held here alone."""
+        total, lettered, _, _ = self.evidence(text)
+        if total is None:
             return UNKNOWN, 0.0
-        # The evidence of a long text is that of many words that are not independent
-        total = n @ self.seen.scores[rows] / max(1.0, lettered / 10)
+        total = total / max(1.0, lettered / INDEPENDENT)
         best = int(np.argmax(total))
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
+def key_of(word: str) -> int:
+    """64-bit key of a word in the stored table; never 0."""
+    return (xxhash.xxh64_intdigest(word) - (1 << 63)) or 1
+
+
 class Grams(dict):
     """Longest n-gram -> row of its scores, each with its way back to shorter ones walked once."""
 
@@ -117,6 +140,7 @@ class Seen:
         self.model, self.room, self.row, self.grams = model, room, {}, Grams(model)
         self.scores = np.zeros((room, len(model.languages)))
         self.lettered = np.zeros(room)
+        self.keys = np.zeros(room, np.int64)  # of words that the held table lacks, else 0
 
     def full(self, more: int) -> bool:
         return len(self.row) + more > self.room or len(self.grams) > self.room
@@ -132,6 +156,7 @@ class Seen:
             old = [i for i, k in enumerate(known) if k is not None]
             scores[old] = self.model.logs[0][[known[i] for i in old]]
             fresh = [i for i, k in enumerate(known) if k is None]
+            self.keys[at.start: at.stop] = [0 if k is not None else key_of(w) for w, k in zip(new, known)]
             if fresh:
                 size, grams = GRAMS[0], self.grams
                 parts = [[grams[m[j: j + size]] for j in range(max(1, len(m) - size + 1))] for m in (f"^{new[i]}$" for i in fresh)]
@@ -152,7 +177,8 @@ def frequent(counts: DataFrame, entries: int) -> DataFrame:
 
 def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
     """Model from rows (lang, text); null languages and texts teach nothing.  The tables sent to the
-    driver have, for each language, at most ``entries`` words and as many n-grams of each length."""
+    driver have, for each language, at most ``entries`` words and as many n-grams of each length; all other words stay in a
+    stored table."""
     counts = stored(word_counts(rows.where("lang is not null and text is not null"), "lang", words), "language_words")
     parts = {0: counts}
     for n in GRAMS:
@@ -174,21 +200,71 @@ def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
             for lang, c in r.by.items():
                 matrix[i, at[lang]] = c
         tables[n] = ([r.word for r in found], matrix)
-    return Model(languages, tables, totals)
+    model = Model(languages, tables, totals)
+    model.rare = corrections(counts, model)
+    return model
+
+
+def corrections(counts: DataFrame, model: Model) -> DataFrame:
+    """The stored table: key and c0, c1, ... of every counted word (lang, word, n) that the model's own table lacks: by how much
+    its score in each language differs from what falling back to n-grams gives."""
+    at = {lang: i for i, lang in enumerate(model.languages)}
+    shared = counts.sparkSession.sparkContext.broadcast(model)
+    names = ["key", *(f"c{i}" for i in range(len(at)))]
+
+    def correct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        whole = held.totals[0] + 0.5 * (len(held.row[0]) + 1) if held.languages else 0
+        for batch in batches:
+            keys, found, by = [], [], []
+            for word, ns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if word not in held.row[0]:
+                    n = np.zeros(len(at))
+                    for lang, c in ns:
+                        n[at[lang]] = c
+                    keys.append(key_of(word))
+                    found.append(word)
+                    by.append(np.log((n + 0.5) / whole))
+            if not keys:
+                continue
+            logs = np.array(by)
+            seen = Seen(held, len(found))
+            scores = logs - logs.mean(1, keepdims=True) - seen.scores[seen.rows(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(np.ascontiguousarray(scores[:, i])) for i in range(len(at)))], names)
+
+    by_word = counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    return stored(by_word.mapInArrow(correct, ", ".join(["key long", *(f"{c} double" for c in names[1:])])), "language_rare")
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score (share of the best language, 0 to 1) for every input row.
 
     Null texts and texts without a letter, and all texts if nothing was learnt, are ``und`` with score 0.
-    Equal scores go to the first language in order; null ids and repeated rows stay; other columns are not read."""
+    Equal scores go to the first language in order; null ids and repeated rows stay; texts of any length are read whole; other columns
+    are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    size = range(len(model.languages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()),
-                                              pa.array([f[1] for f in found], pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double")
+            found = [shared.value.evidence(t or "") for t in batch.column(1).to_pylist()]
+            kinds = (pa.list_(pa.float64()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            columns = [[None if f[0] is None else f[0].tolist() for f in found], *([f[k] for f in found] for k in (1, 2, 3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
+                                             ["doc_id", "total", "lettered", "keys", "ns"])
+
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
+        run, "doc_id long, total array<double>, lettered double, keys array<long>, ns array<int>")
+    if not model.languages:
+        return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "language_evidence")
+    # One row for each document and word, however often it occurs there; a word of many documents is a skewed key of the join
+    asked = rows.select("row", F.explode(F.arrays_zip("keys", "ns")).alias("w")).select("row", F.col("w.keys").alias("key"), F.col("w.ns").alias("n"))
+    fixes = asked.join(model.rare, "key").groupBy("row").agg(*[F.sum(F.col("n") * F.col(f"c{i}")).alias(f"c{i}") for i in size])
+    each = F.array(*[(F.col("total")[i] + F.coalesce(F.col(f"c{i}"), F.lit(0.0))) / F.greatest(F.lit(1.0), F.col("lettered") / INDEPENDENT) for i in size])
+    out = rows.select("row", "doc_id", "total", "lettered").join(fixes, "row", "left").select("doc_id", F.col("total").isNotNull().alias("told"), each.alias("each"))
+    best = F.array_max("each")
+    share = 1 / F.aggregate("each", F.lit(0.0), lambda a, x: a + F.exp(x - best))
+    named = F.element_at(F.array(*[F.lit(name) for name in model.languages]), F.array_position("each", best).cast("int"))
+    # Corrections are summed in any order, so the last digits are not told
+    return out.select("doc_id", F.when(F.col("told"), named).otherwise(UNKNOWN).alias("lang_pred"), F.when(F.col("told"), F.round(share, 9)).otherwise(0.0).alias("score"))
