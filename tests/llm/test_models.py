@@ -79,7 +79,7 @@ def plain_language(rows, text, entries):
 
     total, found = dict.fromkeys(langs, 0.0), language.words(text)
     for w in found:
-        known = any(count[0][x][w] for x in langs)
+        known = w in held[0] or sum(count[0][x][w] for x in langs) > 1
         each = {x: log(0, w, x) if known else back(w, 0, x) for x in langs}
         for x in langs:
             total[x] += (each[x] - sum(each.values()) / len(langs)) / max(1, len(found) / 10)

@@ -2,10 +2,10 @@
 
 A known word scores its log frequency in each language.  A word that is not known falls back to the
 longest character n-grams that are known, then to shorter ones, each step at a fixed discount.
-Frequencies come from all training rows, and every word of these is known, so what is learnt grows with the corpus.  Words whose share of the
+Frequencies come from all training rows, and every word that occurs twice in these is known, so what is learnt grows with the corpus.  Words whose share of the
 counts of some language reaches 1 / ``entries``, at most ``entries`` for each language, are held by every task, and so are such
 n-grams.  All other words are a stored table: a document is scored as if it knew none of them, its words that may be there
-are joined with the table, and those that are correct the score.
+(a Bloom filter of fixed size spares most that are not) are joined with the table, and those that are correct the score.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ from tradelanes.llm.common import word_counts
 from tradelanes.session import stored
 
 UNKNOWN = "und"
+NO_KEYS, NO_COUNTS = np.zeros(0, np.int64), np.zeros(0, np.int32)
 WORD = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 3, 2, 1)  # lengths of n-grams, in the order of falling back
 BACK = np.log(0.4)  # discount of each step back
+FILTER_BITS = 25  # of the Bloom filter's size: 4 MB; a larger table makes it let more words through, not fewer
 INDEPENDENT = 10  # words of a text that count in full: the words of a long one are not independent
 
 
@@ -48,7 +50,8 @@ class Model:
         """``counts`` has for words (0) and each n-gram length the entries and a row of counts by language for each;
         ``totals`` the counts of all words or n-grams, known or not, by language."""
         self.languages, self.remember = languages, remember
-        self.totals, self.rare = totals, None  # rare: the stored table of the words that the tables here lack
+        self.totals = totals
+        self.rare, self.bits = None, None  # the stored table of the words that the tables here lack, and its filter
         self.seen = None  # scores of the words met so far, in the worker that meets them
         self.row, self.logs, self.floor = {}, {}, {}
         for n, (entries, found) in counts.items():
@@ -83,22 +86,22 @@ class Model:
                 total += BACK + (self.backoff(part.strip("^$") or part, step + 1) if shorter else self.floor[n])
         return total / len(parts)
 
-    def evidence(self, text: str) -> tuple[np.ndarray | None, float, list[int], list[int]]:
+    def evidence(self, text: str) -> tuple[np.ndarray | None, float, np.ndarray, np.ndarray]:
         """What a text says by the tables held here: the sum of its words' scores (None without a letter), the words with a
         letter, and the keys and counts of its words that the stored table may know."""
         counts = Counter(words(text))
         if not counts or not self.languages:
-            return None, 0.0, [], []
+            return None, 0.0, NO_KEYS, NO_COUNTS
         if self.seen is None or self.seen.full(len(counts)):
             self.seen = Seen(self, max(self.remember, len(counts)))
         rows = self.seen.rows(counts)
         n = np.fromiter(counts.values(), float, len(counts))
         lettered = float(n @ self.seen.lettered[rows])
         if not lettered:
-            return None, 0.0, [], []
+            return None, 0.0, NO_KEYS, NO_COUNTS
         keys = self.seen.keys[rows]
         other = np.nonzero(keys)[0]
-        return (n[:, None] * self.seen.scores[rows]).sum(0), lettered, keys[other].tolist(), n[other].astype(int).tolist()
+        return n @ self.seen.scores[rows], lettered, keys[other], n[other].astype(np.int32)
 
     def predict(self, text: str) -> tuple[str, float]:
         """Language and score by the tables held here alone."""
@@ -115,6 +118,25 @@ def key_of(word: str) -> int:
     return (xxhash.xxh64_intdigest(word) - (1 << 63)) or 1
 
 
+def filter_bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a key in the filter."""
+    mask = (1 << FILTER_BITS) - 1
+    return keys & mask, keys >> FILTER_BITS & mask
+
+
+def key_filter(rare: DataFrame) -> np.ndarray:
+    """The filter of all keys of the stored table, set by pieces of 4 KB that are merged by aggregation: at most all pieces of its
+    fixed size reach the driver."""
+    mask = F.lit((1 << FILTER_BITS) - 1).cast("long")
+    bits = F.explode(F.array(F.col("key").bitwiseAND(mask), F.shiftright("key", FILTER_BITS).bitwiseAND(mask)))
+    pieces = rare.select(bits.alias("bit")).select((F.col("bit") + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("set"))
+    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for r in pieces.collect():
+        part = np.frombuffer(r["set"], np.uint8)
+        out[(r.piece - 1) * len(part):r.piece * len(part)] = part
+    return out
+
+
 class Grams(dict):
     """Longest n-gram -> row of its scores, each with its way back to shorter ones walked once."""
 
@@ -156,7 +178,10 @@ class Seen:
             old = [i for i, k in enumerate(known) if k is not None]
             scores[old] = self.model.logs[0][[known[i] for i in old]]
             fresh = [i for i, k in enumerate(known) if k is None]
-            self.keys[at.start: at.stop] = [0 if k is not None else key_of(w) for w, k in zip(new, known)]
+            keys = np.array([0 if k is not None else key_of(w) for w, k in zip(new, known)], np.int64)
+            if self.model.bits is not None:
+                keys[~np.logical_and(*(self.model.bits[p >> 3] >> (p & 7) & 1 for p in filter_bits(keys)))] = 0
+            self.keys[at.start: at.stop] = keys
             if fresh:
                 size, grams = GRAMS[0], self.grams
                 parts = [[grams[m[j: j + size]] for j in range(max(1, len(m) - size + 1))] for m in (f"^{new[i]}$" for i in fresh)]
@@ -202,11 +227,12 @@ def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
         tables[n] = ([r.word for r in found], matrix)
     model = Model(languages, tables, totals)
     model.rare = corrections(counts, model)
+    model.bits = key_filter(model.rare)
     return model
 
 
 def corrections(counts: DataFrame, model: Model) -> DataFrame:
-    """The stored table: key and c0, c1, ... of every counted word (lang, word, n) that the model's own table lacks: by how much
+    """The stored table: key and c0, c1, ... of every word counted twice (lang, word, n) that the model's own table lacks: by how much
     its score in each language differs from what falling back to n-grams gives."""
     at = {lang: i for i, lang in enumerate(model.languages)}
     shared = counts.sparkSession.sparkContext.broadcast(model)
@@ -219,20 +245,22 @@ def corrections(counts: DataFrame, model: Model) -> DataFrame:
             keys, found, by = [], [], []
             for word, ns in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if word not in held.row[0]:
-                    n = np.zeros(len(at))
-                    for lang, c in ns:
-                        n[at[lang]] = c
                     keys.append(key_of(word))
                     found.append(word)
-                    by.append(np.log((n + 0.5) / whole))
+                    by.append(ns)
             if not keys:
                 continue
-            logs = np.array(by)
+            n = np.zeros((len(keys), len(at)))
+            for i, ns in enumerate(by):
+                for lang, c in ns:
+                    n[i, at[lang]] = c
+            logs = np.log((n + 0.5) / whole)
             seen = Seen(held, len(found))
             scores = logs - logs.mean(1, keepdims=True) - seen.scores[seen.rows(found)]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(np.ascontiguousarray(scores[:, i])) for i in range(len(at)))], names)
 
-    by_word = counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    by_word = counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("all"))
+    by_word = by_word.where(F.col("all") > 1).select("word", "by")
     return stored(by_word.mapInArrow(correct, ", ".join(["key long", *(f"{c} double" for c in names[1:])])), "language_rare")
 
 
@@ -248,9 +276,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shared.value.evidence(t or "") for t in batch.column(1).to_pylist()]
-            kinds = (pa.list_(pa.float64()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            columns = [[None if f[0] is None else f[0].tolist() for f in found], *([f[k] for f in found] for k in (1, 2, 3))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, kind) for c, kind in zip(columns, kinds))],
+            ends = np.concatenate(([0], np.cumsum([len(f[2]) for f in found]))).astype(np.int32)
+            keys, ns = (pa.ListArray.from_arrays(ends, np.concatenate([none, *(f[k] for f in found)])) for k, none in ((2, NO_KEYS), (3, NO_COUNTS)))
+            total = pa.array([None if f[0] is None else f[0].tolist() for f in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), total, pa.array([f[1] for f in found], pa.float64()), keys, ns],
                                              ["doc_id", "total", "lettered", "keys", "ns"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
