@@ -5,6 +5,9 @@ template.  Windows of template words are hash-joined with those of the benchmark
 in one stretch of a document, the values that fill its placeholders are compared: they have to be put in consistently, each value of
 the item replaced by one value all through, else the likeness is one of form only.  Windows of the raw lower-case words stand
 beside them: a copy word for word is found whatever its words are.
+
+Items with the same windows, and the same slots filled alike, cannot be told apart by any document, so they form a class
+that is searched and judged once, however many questions a benchmark makes from one template.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ LIKENESS = 0.8  # share of an item's windows that have to line up, and of its sl
 PLAIN = 3  # words of a template window that are no placeholders, at least
 RAW = 100  # apart from any size: marks windows of raw words
 STRETCH = 2  # an item lies in a stretch of a document of at most so many times its words
-FILTER_BITS = 22  # the window filter has 2 ** FILTER_BITS bits, whatever the size of the benchmark
+FILTER_BITS = 26  # the window filter has at most 2 ** FILTER_BITS bits (8 MB); a benchmark that needs more is joined without it
+SPARSE = 8  # bits of the filter for each hash of the benchmark, at least
+CHUNK = 1 << 15  # bits in one of Spark's bitmaps
 
 # Words that stand for numbers, and units of measure.
 NUMBER_WORDS = set("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -113,18 +118,55 @@ def windows(owner: np.ndarray, codes: np.ndarray, slot: np.ndarray | None, size:
     return at, hashes[at]
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+class Filter:
+    """Bits set at the leading bits of each wanted hash, eight to a byte."""
+
+    def __init__(self, bits: int, chunks: list[tuple[int, bytes]]):
+        self.bits, self.packed = bits, np.zeros(1 << (bits - 3), np.uint8)
+        for number, chunk in chunks:
+            self.packed[number * CHUNK // 8: (number + 1) * CHUNK // 8] = np.frombuffer(chunk, np.uint8)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.packed[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def window_filter(windows: DataFrame, most: int = FILTER_BITS) -> Filter | None:
+    """Filter of the hashes ``h``, with SPARSE bits or more for each of these rows; None where that takes over 2 ** ``most`` bits.
+    The bits come to the driver as bitmaps of 4 KB, 2,048 at most."""
+    bits = max(15, (windows.count() * SPARSE - 1).bit_length())
+    if bits > most:
+        return None
+    at = F.shiftrightunsigned(F.col("h"), 64 - bits)
+    chunks = windows.groupBy((at / CHUNK).cast("long").alias("number")).agg(F.bitmap_construct_agg(at % CHUNK).alias("chunk"))
+    return Filter(bits, [(r.number, bytes(r.chunk)) for r in chunks.collect()])
+
+
+SCHEMA = "id long, key long, pos int, h long, words int, raw boolean, slots array<string>, class long"
+_KIND = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("words", pa.int32()), ("raw", pa.bool_()), ("slots", pa.list_(pa.string())), ("class", pa.int64())])
 
 
-SCHEMA = "id long, key long, pos int, h long, words int, raw boolean, slots array<string>"
-_KIND = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("words", pa.int32()), ("raw", pa.bool_()), ("slots", pa.list_(pa.string()))])
+def _as_classes(found: list[tuple]) -> list[tuple]:
+    """Windows of items with their slot values numbered in order, and the class of their item: a hash of all this."""
+    forms = {}
+    for window in found:
+        forms.setdefault((window[0], window[4]), []).append(window)
+    out = []
+    for (_, raw), form in forms.items():
+        numbers: dict[str, str] = {}
+        form = [(*w[:5], [numbers.setdefault(v, str(len(numbers))) for v in w[5]]) for w in form]
+        seal = xxhash.xxh64(str(raw))
+        for w in form:
+            seal.update(f"{w[1]} {w[2]} {w[3]} {w[5]};")
+        out += [(*w, np.uint64(seal.intdigest()).view(np.int64)) for w in form]
+    return out
 
 
 def _windows(sizes: tuple[int, ...], item: bool, wanted=None):
     """Rows (id, key, text) -> windows of template words, with the values of their slots, and of raw words.  Of an ``item``
     with fewer than WINDOW words all of them are one window; under PLAIN words they match texts that have no others.  In
-    other texts a name that begins a window may also be a plain word with a capital.  ``wanted`` is a filter of hashes."""
+    other texts a name that begins a window may also be a plain word with a capital.  Windows of items have a class and numbers
+    for the values of their slots.  ``wanted`` is a filter of hashes."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
@@ -145,21 +187,22 @@ def _windows(sizes: tuple[int, ...], item: bool, wanted=None):
                         if size < PLAIN or item and size < WINDOW:
                             keep = length[owner[pos]] == size
                         if wanted is not None:
-                            keep &= wanted.value[_bits(hashes)]
+                            keep &= wanted.value.has(hashes)
                         for p, h in zip(pos[keep].tolist(), hashes[keep].view(np.int64).tolist()):
                             values = [] if is_raw else [f"{slot[i]}:{words.bare[ids[i]]}" for i in range(p + skip, p + size) if slot[i]]
                             out.append((owner[p], p - first[owner[p]], h, length[owner[p]], is_raw, values))
+                out = _as_classes(out) if item else [(*o, None) for o in out]
                 rows = np.array([o[0] for o in out], np.int64)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array([int(o[1]) for o in out], pa.int32()),
                     pa.array([o[2] for o in out], pa.int64()), pa.array([int(o[3]) for o in out], pa.int32()), pa.array([o[4] for o in out], pa.bool_()),
-                    pa.array([o[5] for o in out], pa.list_(pa.string()))], schema=_KIND)
+                    pa.array([o[5] for o in out], pa.list_(pa.string())), pa.array([o[6] for o in out], pa.int64())], schema=_KIND)
 
     return of
 
 
 def _places(least: float):
-    """Rows of one pair of document and item (q, windows, words, item_slots, pos, slots) -> its best place that passes, if any.
+    """Rows of one pair of document and class (q, windows, words, item_slots, pos, slots) -> its best place that passes, if any.
 
     A place is a stretch from a matched window on.  Of the places of a window of the item the one counts that follows
     the window before most closely."""
@@ -186,9 +229,9 @@ def _places(least: float):
             held[q[start]].popleft()
             if not held[q[start]]:
                 del held[q[start]]
-        row = [[order[c][0].as_py()] for c in ("id", "key", "item_id")] + [[x] for x in found] if found else [[]] * 5
+        row = [[order[c][0].as_py()] for c in ("id", "key", "class")] + [[x] for x in found] if found else [[]] * 5
         return pa.table([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
-                        ["doc_id", "key", "item_id", "covered", "consistent"])
+                        ["doc_id", "key", "class", "covered", "consistent"])
 
     return best
 
@@ -198,55 +241,86 @@ def _rows(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return frame.select(F.col(id_col).cast("long").alias("id"), text_key(text).alias("key"), text.alias("text"))
 
 
+def item_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """Windows (id, key, pos, h, words, raw, slots, class) of all items, a table; rows that repeat id and text count once."""
+    sizes = tuple(range(1, WINDOW + 1))
+    return stored(_rows(benchmark, item_col, text_col).dropDuplicates(["id", "key"]).mapInArrow(_windows(sizes, True), SCHEMA), "item_windows")
+
+
+def members(windows: DataFrame) -> DataFrame:
+    """(class, raw, item_id, item_key) of ``item_windows``: an item is in one class by its template and in one by its raw words,
+    as far as it has such windows."""
+    return windows.select("class", "raw", F.col("id").alias("item_id"), F.col("key").alias("item_key")).distinct()
+
+
+def _met(hits: DataFrame, classes: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """Pairs (id, key, class) -> those whose place in the document passes, with ``covered`` and ``consistent``."""
+    of_pair = ["id", "key", "class"]
+    wide = pairs.join(classes.select("class", "q", "h", "item_slots", "windows", "words"), "class").withColumnRenamed("id", "__id")
+    lined = (wide.join(hits.select("id", "key", "h", "pos", "slots"), ["key", "h"]).where(F.col("__id").eqNullSafe(F.col("id")))
+             .select(*of_pair, "q", "windows", "words", "item_slots", "pos", "slots")
+             .withColumn("met", F.size(F.collect_set("q").over(Window.partitionBy(*of_pair)))))
+    return lined.where(F.col("met") >= least * F.col("windows")).drop("met").groupBy(*of_pair).applyInArrow(
+        _places(least), "doc_id long, key long, class long, covered double, consistent double")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Pairs (doc_id, key, item_id, covered, consistent) of documents that hold a benchmark item.
+    """Rows (doc_id, key, item_id, n_items, covered, consistent) of documents that hold benchmark items.
+
+    A row stands for all items that are alike: ``item_id`` is the smallest id among them (null if none has one) and ``n_items`` their number.
+    Items are alike by template (the same windows and the same of their slots equal) or by their raw words; ``members`` lists them.
+    Where a document holds a template that several items share, no raw copies of these are sought beside it.
 
     ``covered`` is the share of the item's windows that lie in one stretch of the document, of at most STRETCH times the
     item's words, ``consistent`` the share of its slots that have one value there; both are ``least`` or more, and of all
     places where they are the best counts.  Windows of raw words and of template words are counted apart, and either may do.  An item of fewer than WINDOW words is one window of
     all of them; one under PLAIN words is found only as a whole text.  Items without PLAIN plain words in a window are found by their
-    raw words; null or empty texts match nothing.  A text that occurs
-    under several ids counts for each; rows that repeat id and text give one pair; null ids are kept."""
+    raw words; null or empty texts match nothing, texts of any length are read whole.  A text that occurs
+    under several ids counts for each; rows that repeat id and text count once; null ids are kept, of documents and of items.
+    Other columns are not read, an empty table on either side gives no rows."""
     spark = docs.sparkSession
-    sizes = tuple(range(1, WINDOW + 1))
-    items = stored(_rows(benchmark, item_col, item_text_col).where("id is not null").dropDuplicates(["id", "key"])
-                   .mapInArrow(_windows(sizes, True), SCHEMA).withColumnsRenamed({"id": "item_id", "key": "item_key", "pos": "q", "slots": "item_slots"}), "item_windows")
-    of_item = Window.partitionBy("item_id", "item_key", "raw")
+    items = item_windows(benchmark, item_col, item_text_col)
+    classes = items.dropDuplicates(["class", "pos"]).select("class", "raw", F.col("pos").alias("q"), "h", "words", F.col("slots").alias("item_slots"))
     # An item needs least of its windows, so at least one of its rarest others-plus-one windows is in the document.
-    seen = items.groupBy("h").agg(F.count(F.lit(1)).alias("seen"))
-    ranked = (items.join(seen, "h").withColumn("windows", F.count(F.lit(1)).over(of_item))
-              .withColumn("nr", F.row_number().over(of_item.orderBy("seen", "q"))))
-    anchors = ranked.where(F.col("nr") <= F.col("windows") - F.ceil(F.col("windows") * least) + 1).select("h", "item_id", "item_key", "raw").distinct()
-    sized = ranked.select("item_id", "item_key", "raw", "q", "h", "item_slots", "windows", "words")
-
-    # At most 2 ** FILTER_BITS positions, however large the benchmark
-    bits = np.zeros(1 << FILTER_BITS, bool)
-
-    def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bits(batch.column(0).to_numpy().view(np.uint64))))], ["bit"])
-
-    for r in items.select("h").mapInArrow(positions, "bit long").distinct().toLocalIterator():
-        bits[r.bit] = True
-    used = tuple(sorted({r.size for r in items.select(F.least("words", F.lit(WINDOW)).alias("size")).distinct().collect()} & set(sizes)))
-    wanted = spark.sparkContext.broadcast(bits)
-    hits = stored(_rows(docs, id_col, text_col).mapInArrow(_windows(used, False, wanted), SCHEMA).drop("raw", "words").join(seen.select("h"), "h", "left_semi"), "window_hits")
-
-    of_pair = ["id", "key", "item_id", "item_key", "raw"]
-    pairs = hits.select("id", "key", "h").join(anchors, "h").select(*of_pair).distinct()
-    wide = pairs.join(sized, ["item_id", "item_key", "raw"]).withColumnRenamed("id", "__id")
-    lined = (wide.join(hits.select("id", "key", "h", "pos", "slots"), ["key", "h"]).where(F.col("__id").eqNullSafe(F.col("id")))
-             .select(*of_pair, "q", "windows", "words", "item_slots", "pos", "slots")
-             .withColumn("met", F.size(F.collect_set("q").over(Window.partitionBy(*of_pair)))))
-    judged = lined.where(F.col("met") >= least * F.col("windows")).drop("met").groupBy(*of_pair).applyInArrow(
-        _places(least), "doc_id long, key long, item_id long, covered double, consistent double")
-    return (judged.groupBy("doc_id", "key", "item_id").agg(F.max(F.struct("covered", "consistent")).alias("best"))
-            .select("doc_id", "key", "item_id", "best.*"))
+    seen = classes.groupBy("h").agg(F.count(F.lit(1)).alias("seen"))
+    ranked = stored(classes.join(seen, "h").withColumn("windows", F.count(F.lit(1)).over(Window.partitionBy("class")))
+                    .withColumn("nr", F.row_number().over(Window.partitionBy("class").orderBy("seen", "q"))), "item_classes")
+    anchors = ranked.where(F.col("nr") <= F.col("windows") - F.ceil(F.col("windows") * least) + 1).select("h", "class", "raw").distinct()
+    alike = members(items)
+    sized = alike.groupBy("class", "raw").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"),
+                                             F.bit_xor(F.xxhash64("item_id", "item_key")).alias("set"))
+
+    used = tuple(r.size for r in ranked.select(F.least("words", F.lit(WINDOW)).alias("size")).distinct().orderBy("size").collect())
+    bits = window_filter(ranked.select("h").distinct())
+    wanted = spark.sparkContext.broadcast(bits) if bits else None
+    windows = _rows(docs, id_col, text_col).mapInArrow(_windows(used, False, wanted), SCHEMA).drop("raw", "words", "class")
+    hits = stored(windows.join(ranked.select("h"), "h", "left_semi"), "window_hits")
+
+    met = hits.select("id", "key", "h").distinct()
+    by_template = stored(_met(hits, ranked, met.join(anchors.where("not raw"), "h").select("id", "key", "class").distinct(), least), "template_leaks")
+    # Raw classes whose items all share one template class: asked for only where the document does not hold that.
+    shared = sized.where("not raw and n_items > 1").select(F.col("class").alias("parent"))
+    above = (alike.where("not raw").select(F.col("class").alias("parent"), F.col("item_id").alias("__id"), F.col("item_key").alias("__key"))
+             .join(shared, "parent"))
+    parents = (alike.where("raw").join(above, (F.col("item_key") == F.col("__key")) & F.col("item_id").eqNullSafe(F.col("__id")), "left")
+               .groupBy("class").agg(F.min("parent").alias("low"), F.max("parent").alias("high"), F.count("parent").alias("below"), F.count(F.lit(1)).alias("all"))
+               .select("class", F.when((F.col("low") == F.col("high")) & (F.col("below") == F.col("all")), F.col("low")).alias("parent")))
+    raw = stored(anchors.where("raw").join(parents, "class").select("h", "class", "parent"), "raw_anchors")
+    held = by_template.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("class").alias("__class"))
+    open_pairs = (met.join(raw.select("h", "parent").distinct(), "h")
+                  .join(held, (F.col("key") == F.col("__key")) & F.col("id").eqNullSafe(F.col("__id")) & (F.col("parent") == F.col("__class")), "left_anti")
+                  .withColumnsRenamed({"h": "__h", "parent": "__parent"}))
+    raw_pairs = open_pairs.join(raw, (F.col("h") == F.col("__h")) & F.col("parent").eqNullSafe(F.col("__parent"))).select("id", "key", "class").distinct()
+    both = by_template.unionByName(_met(hits, ranked, raw_pairs, least))
+    return (both.join(sized, "class").groupBy("doc_id", "key", "set").agg(
+        F.max(F.struct("covered", "consistent")).alias("best"), F.min("item_id").alias("item_id"), F.min("n_items").alias("n_items"))
+        .select("doc_id", "key", "item_id", "n_items", "best.*"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LIKENESS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows, with all their columns, whose text holds no benchmark item."""
+    """The input rows, with all their columns, whose text holds no benchmark item; null and empty texts hold none, rows that
+    repeat go or stay together, an empty benchmark or table takes nothing away."""
     found = leaks(docs, benchmark, least, id_col, text_col).select(F.col("doc_id").alias("__leak_id"), F.col("key").alias("__leak_key")).distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("__id"), text_key(F.coalesce(F.col(text_col), F.lit(""))).alias("__key"))
     same = (F.col("__key") == F.col("__leak_key")) & F.col("__id").eqNullSafe(F.col("__leak_id"))

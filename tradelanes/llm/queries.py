@@ -49,7 +49,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "item_id", "covered", "consistent")
+    return found.select("doc_id", "item_id", "n_items", "covered", "consistent")
 
 
 def fold(folds: int) -> Column:
