@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from conftest import SF_SMALL
 
 from odd_inputs import no_docs, odd_docs  # noqa: F401
@@ -191,6 +192,61 @@ def test_weak_labels_find_accuracies():
     assert ((p >= 0.5) == good).mean() > 0.97
 
 
+def test_weak_labels_outvote_a_noisy_labeller():
+    """Two kinds of bad documents, told by three labellers each; another labeller says bad on one in eight of all documents."""
+    rng = np.random.default_rng(2)
+    kind = rng.choice(3, 30_000, p=[0.85, 0.1, 0.05])  # 0 is good
+    hit = np.array([[0.002] * 8, [0.9, 0.8, 0.7, 0.01, 0.01, 0.01, 0.01, 0.01], [0.01, 0.01, 0.01, 0.9, 0.6, 0.7, 0.01, 0.01]])
+    hit[:, 7] = 0.125
+    vote = np.where(rng.random((len(kind), 8)) < hit[kind], quality.BAD, quality.GOOD)
+    patterns, where, counts = np.unique(vote @ 3 ** np.arange(8), return_inverse=True, return_counts=True)
+    is_good = quality.weak_labels(patterns, counts.astype(float))[where] >= 0.5
+    assert (is_good == (kind == 0)).mean() > 0.98
+    noise_alone = (vote[:, 7] == quality.BAD) & (vote[:, :7] == quality.GOOD).all(1)
+    assert noise_alone.sum() > 3000 and is_good[noise_alone].all()
+    assert ((vote != quality.BAD).all(1) == (kind == 0)).mean() < 0.9  # the plain rule
+
+
+def test_quality_of_long_texts_and_words():
+    few, prose = "alpha beta gamma ", " ".join(f"w{i % 997} of {i} and" for i in range(40_000))
+    assert {quality.votes(few * n)[4] for n in (15, 600, 1000, 60_000)} == {quality.BAD}
+    assert quality.votes(prose)[4] == quality.GOOD
+    half = few * 20_000 + prose[:200]
+    assert quality.votes(half)[4] == quality.BAD  # the whole text counts
+    long = "a1" * 40
+    assert quality.shape(long + "!") != quality.shape(long) and quality.shape(long + "-b") != quality.shape(long + "b")
+    assert quality.shape("x" * 5000 + "!!") == "a!+" and len(quality.shape("a1" * 10_000)) <= quality.LONG_NAME
+    rows = quality._WORDS.rows(f"{'x' * 70}! {'x' * 70} x!")
+    names = list(quality._WORDS.shapes)
+    assert [names[i] for i in quality._WORDS.shape[rows]] == ["a!", "a", "a!"]
+
+
+def plain_features(text):
+    """The features by a dictionary of their names, one word after the other."""
+    words = text.split()
+    names = [quality.shape(w) for w in words]
+    found = Counter()
+    for name in names:
+        found[f"1 {name}"] += 1 / len(words)
+    for a, b in zip(names, names[1:]):
+        found[f"2 {a} {b}"] += 1 / len(words)
+    found["again -1"] = sum(a == b for a, b in zip(words, words[1:])) / len(words)
+    found["again -2"] = len(set(words)) / len(words)
+    out = np.zeros(quality.BUCKETS)
+    for name, share in found.items():
+        h = xxhash.xxh64_intdigest(name.encode())
+        out[h % quality.BUCKETS] += share * (1 if h >> 63 else -1)
+    return out
+
+
+def test_features_are_those_of_the_plain_version():
+    rng = random.Random(4)
+    pieces = ["the", "The", "X", "IBM", "U.S.", "12", "a1!!", "--", "word,", "end.", "é", "x" * 90, "x" * 90 + ".", "a-1" * 30, "(b)", "§§§", "²", "ǅ"]
+    for _ in range(200):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 60)))
+        assert np.allclose(quality.features(text), plain_features(text), atol=1e-12)
+
+
 def test_quality_keeps_prose_and_drops_junk(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}

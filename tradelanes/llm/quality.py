@@ -24,8 +24,9 @@ from tradelanes.session import stored
 BAD, GOOD, NONE = 0, 1, 2
 BUCKETS = 1024  # of hashed shapes
 FULL = 20  # words from which a text's shapes count in full; fewer tell less
-FALSE_ALARMS, TEMPER = 0.01, 0.5
 ROWS = 4000  # documents of each weak label that the scorer learns from, at most
+BLOCK = 500  # words within which words are told apart, as long texts have fewer new ones
+LONG_NAME = 64  # characters of a shape's name that are kept as they are
 SYMBOLS = re.compile(r"[^\w\s]{2,}$")
 END = re.compile(r"[.!?]\W*$")
 
@@ -63,7 +64,7 @@ class Words(dict):
         if upper is not None and bare.isalpha():
             self.facts[row] = len(bare), upper, len(bare), len(word), 0, 0, mark in (".", "!", "?"), len(word) <= 3
             name = ("" if not upper else "A" if len(bare) == 1 else "Aa") or "a"
-            name += mark if len(bare) < 64 else ""
+            name += mark
         else:
             alnum = sum(map(str.isalnum, word))
             self.facts[row] = (sum(map(str.isalpha, word)), sum(map(str.isupper, word)), alnum, len(word), alnum == 0,
@@ -90,13 +91,13 @@ def votes(text: str | None) -> list[int]:
         return [NONE] * LABELLERS
     letters, upper, alnum, printed, wordless, marked, ends, short = _WORDS.facts[rows].sum(0).tolist()
     again = int((rows[1:] == rows[:-1]).sum())
-    distinct = len(np.unique(rows))
+    distinct = len(np.unique(np.arange(n) // BLOCK * (1 << 32) + rows))  # in each block of the text
     return [
         _defect(again / n, 0.25, n >= 10),  # the same word again and again
         _defect(marked / n, 0.25, n >= 5),  # words that end in strings of symbols
         _defect(upper / max(1, letters), 0.60, letters >= 20),  # shouting
         _defect(wordless / n, 0.15, n >= 5),  # separators between words, as in tables and menus
-        _defect(1 - distinct / n, 0.90, 30 <= n <= 2000),  # few distinct words
+        _defect(1 - distinct / n, 0.90, n >= 30),  # few distinct words in a block
         _defect(1 - alnum / max(1, printed), 0.20, printed >= 20),  # few letters and digits
         _usual(n / max(1, ends), (2, 40), (1.2, 80), n >= 20),  # words in a sentence
         _usual(short / n, (0.10, 0.75), (0.03, 0.90), n >= 30),  # function words
@@ -111,35 +112,38 @@ def pattern(text: str | None) -> int:
     return sum(v * 3**i for i, v in enumerate(votes(text)))
 
 
-def weak_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Probability of good for each vote pattern, by expectation-maximisation over two classes in which
-    labellers vote independently; no vote is no evidence.  It starts from "bad if any labeller says so" and takes it that
-    a labeller finds its defect in at most FALSE_ALARMS of the good documents, so the classes keep their meaning.  Labellers
-    overlap in the defects they do not find, so each good vote counts as TEMPER of an independent one."""
+def weak_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> np.ndarray:
+    """Probability of good for each vote pattern, by expectation-maximisation over good documents and one kind of bad ones
+    for each labeller, those with its defect.  Within good documents and within a kind labellers vote independently, so what
+    several say of one defect, or do not find in documents of another, is not counted as if it came from the whole of the bad ones; no
+    vote is no evidence.  It starts from the kinds of the labellers that say bad, and half a vote of either sort stands beside those counted.
+
+    A kind in which mostly no second labeller says bad is no more than its labeller's word: its documents are
+    false alarms and count as good, unless other kinds have them."""
     vote = patterns[:, None] // 3 ** np.arange(LABELLERS) % 3
     said = np.stack([vote == BAD, vote == GOOD], 2).astype(float)  # patterns x labellers x votes
-    evidence = said * np.array([1.0, TEMPER])
-    p = np.where((vote == BAD).any(1), 0.1, 0.95)
+    bad = vote == BAD
+    of = np.column_stack([np.where(bad.any(1), 0.1, 1.0), 0.9 * bad / np.maximum(1, bad.sum(1, keepdims=True))])  # good first
     for _ in range(rounds):
-        weight = np.stack([counts * (1 - p), counts * p])  # class x patterns
-        # Pseudo-counts: bad documents get one bad vote for four good ones, good documents hardly any
-        behave = np.einsum("cp,plo->clo", weight, said) + np.array([[1.0, 4.0], [0.05, 10.0]])[:, None, :]
+        weight = (of * counts[:, None]).T  # classes x patterns
+        behave = np.einsum("cp,plo->clo", weight, said) + 0.5
         behave /= behave.sum(2, keepdims=True)
-        behave[1, :, 0] = np.minimum(behave[1, :, 0], FALSE_ALARMS)
-        behave[1, :, 1] = 1 - behave[1, :, 0]
-        prior = np.log((weight.sum(1) + 1) / (counts.sum() + 2))
-        odds = prior + np.einsum("plo,clo->pc", evidence, np.log(behave))
-        new = 1 / (1 + np.exp(np.clip(odds[:, 0] - odds[:, 1], -50, 50)))
-        done, p = np.abs(new - p).max() < 1e-7, new
+        fit = np.log((weight.sum(1) + 0.5) / (counts.sum() + 0.5 * len(weight))) + np.einsum("plo,clo->pc", said, np.log(behave))
+        new = np.exp(fit - fit.max(1, keepdims=True))
+        new /= new.sum(1, keepdims=True)
+        done, of = np.abs(new - of).max() < 1e-7, new
         if done:
             break
-    return p
+    alone = np.prod(np.where(np.eye(LABELLERS, dtype=bool), 1.0, behave[1:, :, 1]), axis=1)  # chance that no other says bad
+    return of[:, 0] + of[:, 1:] @ (alone >= 0.5)
 
 
 def shape(word: str) -> str:
-    """Kinds of characters of a word in order, runs as one: letters a or A, digits 9, marks as they are."""
-    kinds = ("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
-    return "".join(k + ("+" if len(list(run)) > 1 and k not in "aA9" else "") for k, run in groupby(kinds))
+    """Kinds of characters of the whole word in order, runs as one: letters a or A, digits 9, marks as they are.  A hash stands
+    for a long name, so what a worker keeps does not grow with the words."""
+    kinds = ("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word)
+    name = "".join(k + ("+" if len(list(run)) > 1 and k not in "aA9" else "") for k, run in groupby(kinds))
+    return name if len(name) <= LONG_NAME else f"long {xxhash.xxh64_hexdigest(name.encode())}"
 
 
 class Slots(dict):
@@ -275,11 +279,12 @@ def score_column(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> Col
 
 
 def score(docs: DataFrame, scorer: Scorer, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score and keep (1 from ``threshold`` on) for every input row, repeats and null ids included."""
+    """doc_id, score and keep (1 from ``threshold`` on) for every input row, repeats and null ids included; null and empty texts
+    score 0, long ones are read whole, other columns are not looked at, an empty table gives no rows."""
     scored = docs.select(F.col(id_col).alias("doc_id"), score_column(docs, scorer, text_col).alias("score"))
     return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("keep"))
 
 
 def keep_good(docs: DataFrame, scorer: Scorer, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The input rows, with all their columns, that score ``threshold`` or more."""
+    """The input rows, with all their columns, that score ``threshold`` or more: none of null or empty text, equal texts alike."""
     return docs.where(score_column(docs, scorer, text_col) >= threshold)
