@@ -107,8 +107,9 @@ def test_filter_holds_every_hash_or_is_left_out(spark):
     every = np.array([r.h for r in hashes.collect()]).view(np.uint64)
     made = contamination.window_filter(hashes)
     others = np.random.default_rng(1).integers(0, 1 << 63, 20000).astype(np.uint64) * np.uint64(2)
-    assert made.has(every).all() and made.bits == 16 and made.has(others).mean() < 0.15
-    assert contamination.window_filter(hashes, most=15) is None
+    assert made.has(every).all() and made.bits == 19 and made.has(others).mean() < 0.02
+    tight = contamination.window_filter(hashes, most=16)
+    assert tight.has(every).all() and tight.bits == 16 and contamination.window_filter(hashes, most=15) is None
 
 
 def test_same_rows_without_the_filter(make_docs, items, monkeypatch):

@@ -31,7 +31,7 @@ PLAIN = 3  # words of a template window that are no placeholders, at least
 RAW = 100  # apart from any size: marks windows of raw words
 STRETCH = 2  # an item lies in a stretch of a document of at most so many times its words
 FILTER_BITS = 26  # the window filter has at most 2 ** FILTER_BITS bits (8 MB); a benchmark that needs more is joined without it
-SPARSE = 8  # bits of the filter for each hash of the benchmark, at least
+SPARSE, CLOSE = 64, 8  # bits of the filter for each hash of the benchmark: as it is made, and at least
 CHUNK = 1 << 15  # bits in one of Spark's bitmaps
 
 # Words that stand for numbers, and units of measure.
@@ -132,11 +132,12 @@ class Filter:
 
 
 def window_filter(windows: DataFrame, most: int = FILTER_BITS) -> Filter | None:
-    """Filter of the hashes ``h``, with SPARSE bits or more for each of these rows; None where that takes over 2 ** ``most`` bits.
+    """Filter of the hashes ``h``, with SPARSE bits for each of these rows as far as 2 ** ``most`` bits go; None where these are not CLOSE for each.
     The bits come to the driver as bitmaps of 4 KB, 2,048 at most."""
-    bits = max(15, (windows.count() * SPARSE - 1).bit_length())
-    if bits > most:
+    count = windows.count()
+    if count * CLOSE > 1 << most:
         return None
+    bits = min(most, max(15, (count * SPARSE - 1).bit_length()))
     at = F.shiftrightunsigned(F.col("h"), 64 - bits)
     chunks = windows.groupBy((at / CHUNK).cast("long").alias("number")).agg(F.bitmap_construct_agg(at % CHUNK).alias("chunk"))
     return Filter(bits, [(r.number, bytes(r.chunk)) for r in chunks.collect()])
