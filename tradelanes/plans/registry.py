@@ -248,7 +248,8 @@ def q_top_ranked(i: Inputs) -> DataFrame:
 @register("seasonal_baseline")
 def q_seasonal_baseline(i: Inputs) -> DataFrame:
     """Per-season mean and sample stddev attached to every observation (rounded to 6)."""
-    b = seasonal_baseline(i.indicators, "hour_of_day", {"tsi_freight": "tsi", "truck_vmt": "vmt"})
+    series = stored(i.indicators, "indicators")  # events are read and summed once
+    b = seasonal_baseline(series, "hour_of_day", {"tsi_freight": "tsi", "truck_vmt": "vmt"})
     return b.select("obs_date", "hour_of_day", "tsi_freight", "truck_vmt",
                     *[F.round(c, 6).alias(c) for c in ("tsi_mean", "tsi_stddev", "vmt_mean", "vmt_stddev")])
 
