@@ -77,11 +77,12 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def word_counts(rows: DataFrame, group: str, words_of, word_type: str = "string", held: int = 200_000) -> DataFrame:
+def word_counts(rows: DataFrame, group: str, words_of, word_type: str = "string", held: int = 200_000, by_word: bool = False) -> DataFrame:
     """(group, word, n) over all rows (group, text): n counts what ``words_of(text)`` yields for each text.
 
     Counts are added up in each task before they are shuffled; a task holds ``held`` words and passes
-    its counts on when it has more."""
+    its counts on when it has more.  With ``by_word`` all rows of a word come to one task, whatever their group, so a grouping
+    by word needs no further shuffle."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
 
@@ -102,4 +103,5 @@ def word_counts(rows: DataFrame, group: str, words_of, word_type: str = "string"
 
     schema = f"{group} {rows.schema[group].dataType.simpleString()}, word {word_type}, n long"
     parts = rows.select(group, "text").mapInArrow(count, schema)
+    parts = parts.repartition("word") if by_word else parts
     return parts.groupBy(group, "word").agg(F.sum("n").alias("n"))

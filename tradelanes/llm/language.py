@@ -17,14 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelanes.llm.common import word_counts
 from tradelanes.session import stored
 
 UNKNOWN = "und"
-NO_KEYS, NO_COUNTS = np.zeros(0, np.int64), np.zeros(0, np.int32)
+RUN = 1 << 14  # words by text that are scored in one step
 WORD = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 3, 2, 1)  # lengths of n-grams, in the order of falling back
 BACK = np.log(0.4)  # discount of each step back
@@ -86,29 +86,41 @@ class Model:
                 total += BACK + (self.backoff(part.strip("^$") or part, step + 1) if shorter else self.floor[n])
         return total / len(parts)
 
-    def evidence(self, text: str) -> tuple[np.ndarray | None, float, np.ndarray, np.ndarray]:
-        """What a text says by the tables held here: the sum of its words' scores (None without a letter), the words with a
-        letter, and the keys and counts of its words that the stored table may know."""
-        counts = Counter(words(text))
-        if not counts or not self.languages:
-            return None, 0.0, NO_KEYS, NO_COUNTS
-        if self.seen is None or self.seen.full(len(counts)):
-            self.seen = Seen(self, max(self.remember, len(counts)))
-        rows = self.seen.rows(counts)
-        n = np.fromiter(counts.values(), float, len(counts))
-        lettered = float(n @ self.seen.lettered[rows])
-        if not lettered:
-            return None, 0.0, NO_KEYS, NO_COUNTS
-        keys = self.seen.keys[rows]
-        other = np.nonzero(keys)[0]
-        return n @ self.seen.scores[rows], lettered, keys[other], n[other].astype(np.int32)
+    def evidence(self, texts: Iterator[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """What texts say by the tables held here, in runs of some texts: for each the sum of its words' scores, its words with a
+        letter, and how many of the keys and counts that follow are its own: of its words that the stored table may know."""
+        run, size = [], 0
+        for text in texts:
+            run.append(Counter(words(text)))
+            size += len(run[-1])
+            if size >= RUN:
+                yield self.evidence_of(run)
+                run, size = [], 0
+        if run:
+            yield self.evidence_of(run)
+
+    def evidence_of(self, run: list[Counter]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        sizes = [len(c) for c in run]
+        if self.seen is None or self.seen.full(sum(sizes)):
+            self.seen = Seen(self, max(self.remember, sum(sizes)))
+        seen = self.seen
+        rows = np.array(seen.rows([w for c in run for w in c]), np.int64)
+        n = np.fromiter((k for c in run for k in c.values()), float, len(rows))
+        text = np.repeat(np.arange(len(run)), sizes)
+        lettered = np.bincount(text, n * seen.lettered[rows], len(run))
+        total = np.zeros((len(run), len(self.languages)))
+        for i in range(len(self.languages)):
+            total[:, i] = np.bincount(text, n * seen.scores[rows, i], len(run))
+        keys = seen.keys[rows]
+        other = np.nonzero((keys != 0) & (lettered[text] > 0))[0]
+        return total, lettered, np.bincount(text[other], minlength=len(run)), keys[other], n[other].astype(np.int32)
 
     def predict(self, text: str) -> tuple[str, float]:
         """Language and score by the tables held here alone."""
-        total, lettered, _, _ = self.evidence(text)
-        if total is None:
+        total, lettered, *_ = next(self.evidence([text]))
+        if not lettered[0] or not self.languages:
             return UNKNOWN, 0.0
-        total = total / max(1.0, lettered / INDEPENDENT)
+        total = total[0] / max(1.0, lettered[0] / INDEPENDENT)
         best = int(np.argmax(total))
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -169,7 +181,7 @@ class Seen:
 
     def rows(self, words) -> list[int]:
         row = self.row
-        if new := [w for w in words if w not in row]:
+        if new := list(dict.fromkeys(w for w in words if w not in row)):
             at = range(len(row), len(row) + len(new))
             row.update(zip(new, at))
             self.lettered[at.start: at.stop] = [w.isalpha() or any(map(str.isalpha, w)) for w in new]
@@ -192,39 +204,61 @@ class Seen:
         return [row[w] for w in words]
 
 
-def frequent(counts: DataFrame, entries: int) -> DataFrame:
-    """Rows (lang, word, n) of the words whose share of the counts of any one language is at least 1 / entries: at most
-    ``entries`` words for each language."""
-    whole = counts.groupBy("lang").agg(F.sum("n").alias("whole"))  # one row for each language
-    known = counts.join(F.broadcast(whole), "lang").where(F.col("n") * entries >= F.col("whole")).select("word").distinct()
-    return counts.join(known, "word", "left_semi")
+def frequent(counts: DataFrame, whole: dict[str, int], entries: int) -> DataFrame:
+    """Rows (word, by) of the words whose share of the counts of any one language is at least 1 / entries: at most ``entries`` words for
+    each language.  ``whole`` has the counts of all words of each."""
+    if not whole:
+        return counts.limit(0)
+    of = F.create_map(*(F.lit(x) for pair in whole.items() for x in pair))
+    return counts.where(F.exists(F.map_entries("by"), lambda e: e["value"] * entries >= of[e["key"]]))
+
+
+def by_language(counts: DataFrame, *more: str) -> DataFrame:
+    """(word, by) of rows (lang, word, n): the counts of a word by language in one row."""
+    return counts.groupBy(*more, "word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+
+
+def totals_of(counts: DataFrame) -> dict[str, int]:
+    """Language -> counts of all its words, languages in order."""
+    found = counts.select(F.explode("by").alias("lang", "n")).groupBy("lang").agg(F.sum("n").alias("n")).collect()
+    return dict(sorted((r.lang, r.n) for r in found))
+
+
+def matrix_of(found: DataFrame, at: dict[str, int]) -> tuple[list[str], np.ndarray]:
+    """Words of rows (word, by) and their counts, a column for each language."""
+    rows = found.toArrow()
+    matrix = np.zeros((rows.num_rows, len(at)), np.float32)
+    start = 0
+    for by in rows["by"].chunks:
+        row = start + np.repeat(np.arange(len(by)), np.diff(by.offsets.to_numpy()))
+        matrix[row, [at[x] for x in by.keys.to_pylist()]] = by.items.to_numpy()
+        start += len(by)
+    return rows["word"].to_pylist(), matrix
+
+
+def pieces(n: int) -> Column:
+    """All n-grams of a word, with their length, as ``grams`` has them; one shorter than n where the word is."""
+    marked = F.concat(F.lit("^"), "word", F.lit("$")) if n > 1 else F.col("word")
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(marked) - n + 1))
+    return F.transform(places, lambda i: F.struct(F.lit(n).alias("length"), F.substr(marked, i, F.lit(n)).alias("gram")))
 
 
 def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
     """Model from rows (lang, text); null languages and texts teach nothing.  The tables sent to the
     driver have, for each language, at most ``entries`` words and as many n-grams of each length; all other words stay in a
     stored table."""
-    counts = stored(word_counts(rows.where("lang is not null and text is not null"), "lang", words), "language_words")
-    parts = {0: counts}
-    for n in GRAMS:
-        marked = F.concat(F.lit("^"), "word", F.lit("$")) if n > 1 else F.col("word")
-        size = F.length("marked") - n + 1
-        spread = (counts.select("lang", "n", marked.alias("marked")).where(size > 0)
-                  .select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), size), lambda i: F.substr("marked", i, F.lit(n)))).alias("word")))
-        parts[n] = stored(spread.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language_grams")
-    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    # Dealt by word alone, so the counts of a word in all languages are in one place from the first shuffle on
+    counts = word_counts(rows.where("lang is not null and text is not null"), "lang", words, by_word=True)
+    counts = stored(by_language(counts), "language_words")
+    spread = counts.select(F.explode(F.concat(*map(pieces, GRAMS))).alias("p"), "by").where(F.length("p.gram") == F.col("p.length"))
+    spread = spread.select("p.length", F.col("p.gram").alias("word"), F.explode("by").alias("lang", "n"))
+    grams_by = stored(by_language(spread.groupBy("length", "word", "lang").agg(F.sum("n").alias("n")), "length"), "language_grams")
+    parts = {0: counts, **{n: grams_by.where(F.col("length") == n).select("word", "by") for n in GRAMS}}
+    whole = {n: totals_of(part) for n, part in parts.items()}
+    languages = list(whole[0])
     at = {lang: i for i, lang in enumerate(languages)}
-    tables, totals = {}, {}
-    for n, part in parts.items():
-        totals[n] = np.zeros(len(languages))
-        for r in part.groupBy("lang").agg(F.sum("n").alias("n")).collect():
-            totals[n][at[r.lang]] = r.n
-        found = frequent(part, entries).groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy("word").collect()
-        matrix = np.zeros((len(found), len(languages)), np.float32)
-        for i, r in enumerate(found):
-            for lang, c in r.by.items():
-                matrix[i, at[lang]] = c
-        tables[n] = ([r.word for r in found], matrix)
+    totals = {n: np.array([found.get(lang, 0) for lang in languages], float) for n, found in whole.items()}
+    tables = {n: matrix_of(frequent(part, whole[n], entries), at) for n, part in parts.items()}
     model = Model(languages, tables, totals)
     model.rare = corrections(counts, model)
     model.bits = key_filter(model.rare)
@@ -232,7 +266,7 @@ def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
 
 
 def corrections(counts: DataFrame, model: Model) -> DataFrame:
-    """The stored table: key and c0, c1, ... of every word counted twice (lang, word, n) that the model's own table lacks: by how much
+    """The stored table: key and c0, c1, ... of every word counted twice (word, by) that the model's own table lacks: by how much
     its score in each language differs from what falling back to n-grams gives."""
     at = {lang: i for i, lang in enumerate(model.languages)}
     shared = counts.sparkSession.sparkContext.broadcast(model)
@@ -259,9 +293,8 @@ def corrections(counts: DataFrame, model: Model) -> DataFrame:
             scores = logs - logs.mean(1, keepdims=True) - seen.scores[seen.rows(found)]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(np.ascontiguousarray(scores[:, i])) for i in range(len(at)))], names)
 
-    by_word = counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("all"))
-    by_word = by_word.where(F.col("all") > 1).select("word", "by")
-    return stored(by_word.mapInArrow(correct, ", ".join(["key long", *(f"{c} double" for c in names[1:])])), "language_rare")
+    twice = counts.where(F.aggregate(F.map_values("by"), F.lit(0).cast("long"), lambda a, x: a + x) > 1).select("word", "by")
+    return stored(twice.mapInArrow(correct, ", ".join(["key long", *(f"{c} double" for c in names[1:])])), "language_rare")
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,11 +308,13 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.evidence(t or "") for t in batch.column(1).to_pylist()]
-            ends = np.concatenate(([0], np.cumsum([len(f[2]) for f in found]))).astype(np.int32)
-            keys, ns = (pa.ListArray.from_arrays(ends, np.concatenate([none, *(f[k] for f in found)])) for k, none in ((2, NO_KEYS), (3, NO_COUNTS)))
-            total = pa.array([None if f[0] is None else f[0].tolist() for f in found], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), total, pa.array([f[1] for f in found], pa.float64()), keys, ns],
+            found = list(shared.value.evidence(t or "" for t in batch.column(1).to_pylist()))
+            if not found:
+                continue
+            total, lettered, asked, keys, ns = (np.concatenate(x) for x in zip(*found))
+            ends = np.concatenate(([0], np.cumsum(asked))).astype(np.int32)
+            listed = pa.ListArray.from_arrays(np.arange(len(total) + 1, dtype=np.int32) * len(size), total.ravel(), mask=pa.array(lettered == 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), listed, pa.array(lettered), pa.ListArray.from_arrays(ends, keys), pa.ListArray.from_arrays(ends, ns)],
                                              ["doc_id", "total", "lettered", "keys", "ns"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(
