@@ -104,6 +104,24 @@ def test_language_equals_a_plain_scorer(spark):
         assert got[i][0] == best and abs(got[i][1] - score) < 1e-4, text
 
 
+def test_language_learnt_from_one_language(spark, odd_docs):
+    model = language.train(spark.createDataFrame([("en", "one two three two three")] * 3, "lang string, text string"), entries=2)
+    assert model.languages == ["en"]
+    lettered = {r.lang_pred: r.score for r in language.predict(odd_docs, model).collect()}
+    assert lettered["en"] == 1.0 and set(lettered) <= {"en", "und"}
+
+
+def test_language_score_does_not_depend_on_the_rows_beside(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choices(letters, k=5))
+    rows = [(x, " ".join(word(letters) for _ in range(60)) + f" rare{x}") for x, letters in (("aa", "abcdef"), ("bb", "cdefgh")) for _ in range(30)]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string"), entries=20)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    whole = {r.doc_id: r.score for r in language.predict(docs.coalesce(1), model).collect()}
+    alone = {r.doc_id: r.score for r in language.predict(docs.repartition(17), model).collect()}
+    assert whole == alone
+
+
 def test_language_with_a_thousandth_of_the_rows(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("abcdefgh", k=7))

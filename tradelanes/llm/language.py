@@ -24,6 +24,7 @@ from tradelanes.llm.common import word_counts
 from tradelanes.session import stored
 
 UNKNOWN = "und"
+UNIT = 1 << 24  # steps of 1 in a correction: whole numbers, whose sum does not depend on the order
 RUN = 1 << 14  # words by text that are scored in one step
 WORD = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 3, 2, 1)  # lengths of n-grams, in the order of falling back
@@ -213,9 +214,9 @@ def frequent(counts: DataFrame, whole: dict[str, int], entries: int) -> DataFram
     return counts.where(F.exists(F.map_entries("by"), lambda e: e["value"] * entries >= of[e["key"]]))
 
 
-def by_language(counts: DataFrame, *more: str) -> DataFrame:
+def by_language(counts: DataFrame) -> DataFrame:
     """(word, by) of rows (lang, word, n): the counts of a word by language in one row."""
-    return counts.groupBy(*more, "word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    return counts.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
 
 
 def totals_of(counts: DataFrame) -> dict[str, int]:
@@ -237,23 +238,22 @@ def matrix_of(found: DataFrame, at: dict[str, int]) -> tuple[list[str], np.ndarr
 
 
 def pieces(n: int) -> Column:
-    """All n-grams of a word, with their length, as ``grams`` has them; one shorter than n where the word is."""
+    """All n-grams of a word, as ``grams`` has them."""
     marked = F.concat(F.lit("^"), "word", F.lit("$")) if n > 1 else F.col("word")
-    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(marked) - n + 1))
-    return F.transform(places, lambda i: F.struct(F.lit(n).alias("length"), F.substr(marked, i, F.lit(n)).alias("gram")))
+    places = F.sequence(F.lit(1), F.length(marked) - n + 1)
+    return F.when(F.length(marked) >= n, F.transform(places, lambda i: F.substr(marked, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
 
 
-def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
+def train(rows: DataFrame, entries: int = 1 << 17) -> Model:
     """Model from rows (lang, text); null languages and texts teach nothing.  The tables sent to the
     driver have, for each language, at most ``entries`` words and as many n-grams of each length; all other words stay in a
     stored table."""
     # Dealt by word alone, so the counts of a word in all languages are in one place from the first shuffle on
-    counts = word_counts(rows.where("lang is not null and text is not null"), "lang", words, by_word=True)
+    counts = word_counts(rows.where("lang is not null and text is not null"), "lang", words, held=500_000, by_word=True)
     counts = stored(by_language(counts), "language_words")
-    spread = counts.select(F.explode(F.concat(*map(pieces, GRAMS))).alias("p"), "by").where(F.length("p.gram") == F.col("p.length"))
-    spread = spread.select("p.length", F.col("p.gram").alias("word"), F.explode("by").alias("lang", "n"))
-    grams_by = stored(by_language(spread.groupBy("length", "word", "lang").agg(F.sum("n").alias("n")), "length"), "language_grams")
-    parts = {0: counts, **{n: grams_by.where(F.col("length") == n).select("word", "by") for n in GRAMS}}
+    spread = counts.select(F.explode(F.concat(*map(pieces, GRAMS))).alias("word"), "by").select("word", F.explode("by").alias("lang", "n"))
+    grams_by = stored(by_language(spread.groupBy("word", "lang").agg(F.sum("n").alias("n"))), "language_grams")
+    parts = {0: counts, **{n: grams_by.where(F.length("word") == n) for n in GRAMS}}
     whole = {n: totals_of(part) for n, part in parts.items()}
     languages = list(whole[0])
     at = {lang: i for i, lang in enumerate(languages)}
@@ -267,10 +267,11 @@ def train(rows: DataFrame, entries: int = 1 << 16) -> Model:
 
 def corrections(counts: DataFrame, model: Model) -> DataFrame:
     """The stored table: key and c0, c1, ... of every word counted twice (word, by) that the model's own table lacks: by how much
-    its score in each language differs from what falling back to n-grams gives."""
+    its score in each language but the last differs from what falling back to n-grams gives, less the same of the last, in
+    steps of 1 / UNIT.  Only differences between languages count in a prediction."""
     at = {lang: i for i, lang in enumerate(model.languages)}
     shared = counts.sparkSession.sparkContext.broadcast(model)
-    names = ["key", *(f"c{i}" for i in range(len(at)))]
+    names = ["key", *(f"c{i}" for i in range(len(at) - 1))]
 
     def correct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
@@ -291,10 +292,11 @@ def corrections(counts: DataFrame, model: Model) -> DataFrame:
             logs = np.log((n + 0.5) / whole)
             seen = Seen(held, len(found))
             scores = logs - logs.mean(1, keepdims=True) - seen.scores[seen.rows(found)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(np.ascontiguousarray(scores[:, i])) for i in range(len(at)))], names)
+            steps = np.rint((scores - scores[:, -1:]) * UNIT).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(steps[:, i].copy()) for i in range(len(at) - 1))], names)
 
     twice = counts.where(F.aggregate(F.map_values("by"), F.lit(0).cast("long"), lambda a, x: a + x) > 1).select("word", "by")
-    return stored(twice.mapInArrow(correct, ", ".join(["key long", *(f"{c} double" for c in names[1:])])), "language_rare")
+    return stored(twice.mapInArrow(correct, ", ".join(["key long", *(f"{c} long" for c in names[1:])])), "language_rare")
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -324,11 +326,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "language_evidence")
     # One row for each document and word, however often it occurs there; a word of many documents is a skewed key of the join
     asked = rows.select("row", F.explode(F.arrays_zip("keys", "ns")).alias("w")).select("row", F.col("w.keys").alias("key"), F.col("w.ns").alias("n"))
-    fixes = asked.join(model.rare, "key").groupBy("row").agg(*[F.sum(F.col("n") * F.col(f"c{i}")).alias(f"c{i}") for i in size])
-    each = F.array(*[(F.col("total")[i] + F.coalesce(F.col(f"c{i}"), F.lit(0.0))) / F.greatest(F.lit(1.0), F.col("lettered") / INDEPENDENT) for i in size])
+    fixes = asked.join(model.rare, "key").groupBy("row").agg(F.sum("n").alias("known"), *[F.sum(F.col("n") * F.col(f"c{i}")).alias(f"c{i}") for i in size[:-1]])
+    fix = [F.coalesce(F.col(f"c{i}") / UNIT, F.lit(0.0)) for i in size[:-1]] + [F.lit(0.0)]
+    each = F.array(*[(F.col("total")[i] + fix[i]) / F.greatest(F.lit(1.0), F.col("lettered") / INDEPENDENT) for i in size])
     out = rows.select("row", "doc_id", "total", "lettered").join(fixes, "row", "left").select("doc_id", F.col("total").isNotNull().alias("told"), each.alias("each"))
     best = F.array_max("each")
     share = 1 / F.aggregate("each", F.lit(0.0), lambda a, x: a + F.exp(x - best))
     named = F.element_at(F.array(*[F.lit(name) for name in model.languages]), F.array_position("each", best).cast("int"))
-    # Corrections are summed in any order, so the last digits are not told
-    return out.select("doc_id", F.when(F.col("told"), named).otherwise(UNKNOWN).alias("lang_pred"), F.when(F.col("told"), F.round(share, 9)).otherwise(0.0).alias("score"))
+    return out.select("doc_id", F.when(F.col("told"), named).otherwise(UNKNOWN).alias("lang_pred"), F.when(F.col("told"), share).otherwise(0.0).alias("score"))
