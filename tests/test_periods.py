@@ -53,3 +53,26 @@ def test_latest_literal_reaches_scan(spark, tmp_dir, series):
     df = latest(spark.read.parquet(path), "year", mode="literal")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "= 2020)" in plan
+
+
+def test_latest_period_of_a_computed_frame_reads_it_once(spark, series):
+    """Same rows in every mode; the stored one reads the newest period's folder and runs what is behind the frame once."""
+    newest = sorted(r.asDict().items() for r in latest(series, "year").collect())
+    for mode in ("subquery", "stored"):
+        assert sorted(r.asDict().items() for r in latest(series, "year", mode).collect()) == newest
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(len(b))
+            yield b
+
+    got = latest(series.coalesce(1).mapInPandas(count, series.schema), "year", "stored")
+    assert got.columns == series.columns and got.count() == 2
+    assert runs.value == 4
+    assert "PartitionFilters: [isnotnull(year" in got._jdf.queryExecution().toString()
+
+
+def test_latest_period_of_an_empty_frame(series):
+    for mode in ("literal", "subquery", "stored"):
+        assert latest(series.limit(0), "year", mode).count() == 0

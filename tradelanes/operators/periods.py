@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelanes.functions.scalar import capped_growth_pct, growth_pct
+from tradelanes.session import stored
 
 
 def latest(df: DataFrame, period: str = "year", mode: str = "literal") -> DataFrame:
@@ -16,8 +17,13 @@ def latest(df: DataFrame, period: str = "year", mode: str = "literal") -> DataFr
     ``mode='literal'`` reads the 1-row maximum first and filters with it as a
     literal, so the filter reaches the parquet scan and prunes year partitions
     of a stored mart.  ``mode='subquery'`` keeps it as an uncorrelated scalar
-    subquery inside one plan.
+    subquery inside one plan, which runs what is behind ``df`` twice.
+    ``mode='stored'`` is for a ``df`` that is computed: its rows are written once
+    in a folder for each period, and of these only the newest is read back.
     """
+    if mode == "stored":
+        by_period = stored(df.hint("rebalance", F.col(period)), "by_period", period)
+        return latest(by_period.select(*df.columns), period, "subquery")
     if mode == "subquery":
         return df.where(F.col(period) == df.select(F.max(period)).scalar())
     if mode != "literal":

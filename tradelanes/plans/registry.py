@@ -165,7 +165,7 @@ def q_value_per_ton(i: Inputs) -> DataFrame:
 @register("latest_period")
 def q_latest_period(i: Inputs) -> DataFrame:
     """P5: corridor summary rows of the newest year."""
-    return latest(gold.corridor_summary(i.flows()), "year", mode="subquery")
+    return latest(gold.corridor_summary(i.flows()), "year", mode="stored")
 
 
 @register("previous_period")

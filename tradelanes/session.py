@@ -45,13 +45,6 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def cut_lineage(df):
-    """Reliable checkpoint to the shared folder: later jobs (and a task rerun
-    after a lost executor) read the written files instead of the upstream plan."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_base(spark: SparkSession) -> str:
     """This application's own folder under the shared folder."""
     return f"{shared_dir(spark)}/tradelanes-{spark.sparkContext.applicationId}"
@@ -62,11 +55,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df, name: str):
+def stored(df, name: str, *folders: str):
     """Write ``df`` as a Parquet table in the scratch folder and read it back: the
-    lineage ends there, and later steps get column pruning and statistics."""
+    lineage ends there, and later steps get column pruning and statistics.
+    ``folders`` are columns whose values get folders of their own."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
